@@ -13,7 +13,7 @@ from .. import constants as C
 from . import prefix
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def erfc(x: pd.Series) -> pd.Series:
     """Complementary error function; only ever applied to one aggregated row per test."""
     return x.map(lambda v: None if v is None or math.isnan(v) else math.erfc(v))
