@@ -6,11 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .scalar import lane_arrival_s
+
+
+def fixed(x: Column, digits: int) -> Column:
+    """A non-negative double with ``digits`` decimals, rounded by its exact binary value, ties to even.
+
+    The fraction is taken apart into two exact halves, so 45.25 gives 45.2 and 45.45, which is
+    stored a little larger, gives 45.5. (``format_string`` rounds the shortest decimal form half up.)
+    """
+    n, unit, half = 10**digits, 2**26, 2**25
+    whole = F.floor(x)
+    part = (x - whole) * unit
+    high = F.floor(part)
+    low = (part - high) * n
+    steps = high * n + F.floor(low)
+    k, rest = F.floor(steps / unit).cast("long"), steps % unit
+    beyond = (rest > half) | ((rest == half) & (low > F.floor(low)))
+    tie_up = (rest == half) & (low == F.floor(low)) & (k % 2 == 1)
+    k = F.when(beyond | tie_up, k + 1).otherwise(k)
+    carry = F.when(k == n, 1).otherwise(0)
+    return F.concat(
+        (whole + carry).cast("string"), F.lit("."), F.lpad((k % n).cast("string"), digits, "0")
+    )
 
 
 def _two(x: Column) -> Column:
-    return F.format_string("%.2f", x)
+    return fixed(x, 2)
 
 
 def scenario_text(vehicles: Column) -> Column:
@@ -37,7 +58,7 @@ def report_text(vehicles: Column) -> Column:
 
 def arrival_text(vehicles: Column) -> Column:
     """One line per vehicle with its time of arrival; a stopped vehicle counts as 0.1 m/s."""
-    one = lambda x: F.format_string("%.1f", x)
+    one = lambda x: fixed(x, 1)
     eta = lambda v: v["distance_to_intersection"] / F.greatest(v["speed"] * 1000 / 3600, F.lit(0.1))
     say = lambda v: F.concat(
         F.lit("Vehicle "), v["vehicle_id"], F.lit(": lane="), v["lane"].cast("string"), F.lit(", dir="), v["direction"],

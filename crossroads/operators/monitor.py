@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.text import fixed
 from . import metrics
 
 # fixed values: upper bounds of the latency histogram, in seconds
@@ -13,7 +14,7 @@ LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2
 
 
 def _three(x: Column) -> Column:
-    return F.format_string("%.3f", x)
+    return fixed(x, 3)
 
 
 def window_counts(by: list[str] = []) -> list[Column]:
