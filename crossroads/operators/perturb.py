@@ -109,14 +109,13 @@ def reordered(scenarios: DataFrame, shuffles: int = 3, seed: int = 7, always_rev
     names = ["reverse"] + [f"shuffle{k}" for k in range(1, shuffles + 1)]
     out = scenarios.withColumn("delta", F.explode(F.array(*map(F.lit, names))))
     draw = lambda v: F.md5(F.concat_ws("|", F.lit(seed), F.col("delta"), F.col("scenario_id"), v["seq"]))
-    drawn = F.array_sort(F.transform("vehicles", lambda v: F.struct(draw(v).alias("k"), v["seq"].alias("seq"))))
-    order = F.when(
-        F.col("delta") == "reverse", F.reverse(F.transform("vehicles", lambda v: v["seq"]))
-    ).otherwise(F.transform(drawn, lambda x: x["seq"]))
+    drawn = F.array_sort(F.transform("vehicles", lambda v, i: F.struct(draw(v).alias("k"), i.alias("i"))))
+    index = F.transform("vehicles", lambda v, i: i)
+    order = F.when(F.col("delta") == "reverse", F.reverse(index)).otherwise(F.transform(drawn, lambda x: x["i"]))
     out = out.withColumn("order", order)
-    same = F.col("order") == F.transform("vehicles", lambda v: v["seq"])
+    same = F.col("order") == index
     keep = ~same | (F.col("delta") == "reverse") if always_reverse else ~same
-    place = F.transform("order", lambda s, i: F.filter("vehicles", lambda v: v["seq"] == s)[0].withField("seq", i + 1))
+    place = F.transform("order", lambda i, j: F.get("vehicles", i).withField("seq", j + 1))
     return out.filter(keep).withColumn("vehicles", place).drop("order")
 
 
@@ -144,14 +143,13 @@ def records(scenarios: DataFrame, feature: str, predictor: Predictor = lane_rule
 # --- the lane rule by pairs ------------------------------------------------------
 
 
-def lane_records(scenarios: DataFrame, feature: str) -> DataFrame:
-    """``records`` of a speed or distance shift under the lane rule.
+def lane_records(scenarios: DataFrame, *features: str) -> DataFrame:
+    """``records`` of speed and distance shifts under the lane rule, both in one pass when asked.
 
     Whether paths cross does not depend on the shift, so only crossing pairs meet the deltas.
     The first vehicle meets itself once, which keeps scenarios without crossing pairs.
     """
     a, b = F.col("a"), F.col("b")
-    delta = F.col("delta")
     first = scenarios.select("scenario_id", F.size("vehicles").alias("n_vehicles"), "vehicles",
                              F.posexplode("vehicles").alias("i", "a"))
     start = F.when(F.col("i") == 0, 1).otherwise(F.col("i") + 2)
@@ -159,106 +157,98 @@ def lane_records(scenarios: DataFrame, feature: str) -> DataFrame:
                         F.posexplode(F.slice("vehicles", start, F.size("vehicles"))).alias("j", "b"))
     itself = (F.col("i") == 0) & (F.col("j") == 0)
     crossing = both.filter(itself | lane.paths_cross(a, b))
-    if feature == "speed":
-        deltas, arrival = C.SPEED_DELTAS, lambda v: scalar.lane_arrival_s(
-            _floored(v["speed"], delta), v["distance_to_intersection"])
-    else:
-        deltas, arrival = C.DISTANCE_DELTAS, lambda v: scalar.lane_arrival_s(
-            v["speed"], _floored(v["distance_to_intersection"], delta))
+    deltas = {"speed": C.SPEED_DELTAS, "distance": C.DISTANCE_DELTAS}
+    shifts = F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.lit(x).alias("delta")) for f in features for x in deltas[f]
+    ])
+    rows = crossing.select("*", F.inline(shifts))
+    shifted_by = lambda name, value: F.when(F.col("feature") == name, _floored(value, F.col("delta"))).otherwise(value)
+    arrival = lambda v: scalar.lane_arrival_s(
+        shifted_by("speed", v["speed"]), shifted_by("distance", v["distance_to_intersection"]))
     close = lambda t1, t2: F.coalesce(F.abs(t1 - t2) <= C.ARRIVAL_GAP_S, F.lit(False))
-    rows = crossing.select("*", F.explode(F.array(*map(F.lit, deltas))).alias("delta"))
-    out = rows.groupBy("scenario_id", "n_vehicles", "delta").agg(
+    out = rows.groupBy("scenario_id", "n_vehicles", "feature", "delta").agg(
         F.max(~itself & close(a["t"], b["t"])).alias("base"),
         F.max(~itself & close(arrival(a), arrival(b))).alias("new"),
     )
-    return _as_records(out, F.lit(feature), delta)
+    return _as_records(out)
 
 
-def _as_records(df: DataFrame, feature: Column, delta: Column) -> DataFrame:
+def _as_records(df: DataFrame) -> DataFrame:
     base, new = F.col("base"), F.col("new")
     return df.select(
-        "scenario_id", feature.alias("feature"), delta.cast("string").alias("delta"),
+        "scenario_id", "feature", F.col("delta").cast("string").alias("delta"),
         scalar.yes_no(base).alias("base_pred"), scalar.yes_no(new).alias("perturbed_pred"),
         (base != new).alias("changed"), "n_vehicles",
     )
 
 
-def _shift_choices(deltas: list[int], feature: str) -> Column:
-    return F.array(*[
-        F.struct(F.lit(feature).alias("feature"), F.lit(str(x)).alias("delta"), F.lit(float(x)).alias("shift"),
-                 F.lit(None).cast("int").alias("lane"), F.lit(None).cast("string").alias("destination"))
-        for x in deltas
-    ])
-
-
-def _field_choices(values: Column, feature: str, kind: str) -> Column:
-    field = "lane" if feature == "lane" else "destination"
-    pick = lambda x, name: x if name == field else F.lit(None)
-    return F.transform(values, lambda x, k: F.struct(
-        F.lit(feature).alias("feature"), k.cast("string").alias("delta"), F.lit(None).cast("double").alias("shift"),
-        pick(x, "lane").cast("int").alias("lane"), pick(x, "destination").cast("string").alias("destination")))
+def _choice(feature: str, delta: Column, t: Column | None = None, m: Column | None = None) -> Column:
+    """One change to one vehicle: its name, and the arrival or the movement it leads to."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return F.struct(
+        F.lit(feature).alias("feature"), delta.alias("delta"),
+        (none("double") if t is None else t).alias("new_t"), (none("string") if m is None else m).alias("new_m"),
+    )
 
 
 def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_first: bool = False) -> DataFrame:
     """One row per changed vehicle and choice under the lane rule: feature, delta, base, new, changed.
 
-    A scenario's other pairs keep their answer: ``others`` counts them once per vehicle, and
-    only the changed vehicle's own pairs are tested again. With ``lanes_of_first`` every
-    vehicle tries the lanes of the first vehicle's direction, as the sensitivity score does;
-    otherwise the lane of its own direction it is not in.
+    A scenario's other pairs keep their answer (``others``), so only the changed vehicle's own
+    pairs count. A shift leaves movements alone and only needs the arrivals of the partners it
+    crosses; a new lane or destination leaves arrivals alone and only needs the movements of
+    the partners that arrive close to it. Both short lists are made once per vehicle.
+
+    With ``lanes_of_first`` every vehicle tries the lanes of the first vehicle's direction, as
+    the sensitivity score does; otherwise the lane of its own direction it is not in.
     """
     a, b = F.col("a"), F.col("b")
     rows = lane.with_partners(scenarios.withColumn("first_direction", F.col("vehicles")[0]["direction"]), "first_direction")
-    slim = F.struct(b["seq"].alias("seq"), b["d"].alias("d"), b["m"].alias("m"), b["t"].alias("t"))
     per_vehicle = rows.groupBy("scenario_id", "first_direction", a["seq"].alias("seq")).agg(
         F.first(F.when(a["seq"] == b["seq"], a), ignorenulls=True).alias("a"),
         F.count_if(lane.conflict(a, b)).alias("own"),
-        F.collect_list(F.when(a["seq"] != b["seq"], slim)).alias("partners"),
+        F.collect_list(F.when(lane.paths_cross(a, b), b["t"])).alias("crossing"),
+        F.collect_list(F.when((a["seq"] != b["seq"]) & lane.arrivals_close(a, b), F.struct(b["d"], b["m"]))).alias("close"),
     )
     within = Window.partitionBy("scenario_id")
     total = F.sum("own").over(within) / 2
-    base = per_vehicle.select(
+    vehicle = per_vehicle.select(
         "*", (total > 0).alias("base"), (total - F.col("own") > 0).alias("others"),
         F.count("*").over(within).cast("int").alias("n_vehicles"),
     )
-    lane_list = (
+    lanes = (
         F.filter(_lanes_of(F.col("first_direction")), lambda x: x != a["lane"]) if lanes_of_first
         else F.slice(F.filter(_lanes_of(a["direction"]), lambda x: x != a["lane"]), 1, 1)
     )
+    # the lane's delta is the vehicle's index in the list; in the score it only tells copies apart
+    lane_delta = (lambda k: k) if lanes_of_first else (lambda k: F.col("seq") - 1)
     made = {
-        "speed": lambda: _shift_choices(C.SPEED_DELTAS, "speed"),
-        "distance": lambda: _shift_choices(C.DISTANCE_DELTAS, "distance"),
-        "lane": lambda: _field_choices(lane_list, "lane", "int"),
-        "destination": lambda: _field_choices(destination_alternatives(a), "destination", "string"),
+        "speed": lambda: F.array(*[
+            _choice("speed", F.lit(str(x)), t=scalar.lane_arrival_s(_floored(a["speed"], F.lit(x)), a["distance_to_intersection"]))
+            for x in C.SPEED_DELTAS]),
+        "distance": lambda: F.array(*[
+            _choice("distance", F.lit(str(x)), t=scalar.lane_arrival_s(a["speed"], _floored(a["distance_to_intersection"], F.lit(x))))
+            for x in C.DISTANCE_DELTAS]),
+        "lane": lambda: F.transform(lanes, lambda x, k: _choice(
+            "lane", lane_delta(k).cast("string"), m=scalar.movement(a["direction"], x, a["destination"]))),
+        "destination": lambda: F.transform(destination_alternatives(a), lambda x, k: _choice(
+            "destination", k.cast("string"), m=scalar.movement(a["direction"], a["lane"], x))),
     }
     choices = F.concat(*[made[f]() for f in features])
-    each = base.select("scenario_id", "n_vehicles", "base", "others", "partners", "a", F.inline(choices))
-    shift = F.col("shift")
-    by = lambda name, field: F.when(F.col("feature") == name, _floored(a[field], shift)).otherwise(a[field])
-    moved = F.coalesce(F.col("lane"), a["lane"]), F.coalesce(F.col("destination"), a["destination"])
-    redirected = F.col("lane").isNotNull() | F.col("destination").isNotNull()
-    new = F.struct(
-        a["seq"].alias("seq"), a["d"].alias("d"),
-        F.when(redirected, scalar.movement(a["direction"], *moved)).otherwise(a["m"]).alias("m"),
-        scalar.lane_arrival_s(by("speed", "speed"), by("distance", "distance_to_intersection")).alias("t"),
-    )
-    tested = (
-        each.select("scenario_id", "n_vehicles", "base", "others", "feature", "delta", "partners", new.alias("new_a"))
-        .select("*", F.explode("partners").alias("b"))
-        .groupBy("scenario_id", "n_vehicles", "base", "others", "feature", "delta", F.col("new_a.seq").alias("seq"))
-        .agg(F.max(lane.conflict(F.col("new_a"), b)).alias("hit"))
-        .withColumn("new", F.col("others") | F.col("hit"))
+    each = vehicle.select(
+        "scenario_id", "n_vehicles", "base", "others", "crossing", "close", a["d"].alias("d"), F.inline(choices)
     )
-    # the lane's delta is the vehicle's index in the list, as in the whole-list records
-    delta = F.when(F.col("feature") == "lane", (F.col("seq") - 1).cast("string")).otherwise(F.col("delta"))
-    return _as_records(tested, F.col("feature"), F.col("delta") if lanes_of_first else delta)
+    changed_way = F.exists("close", lambda p: lane.paths_cross(
+        {"d": F.col("d"), "m": F.col("new_m")}, {"d": p["d"], "m": p["m"]}))
+    changed_time = F.exists("crossing", lambda t: F.abs(t - F.col("new_t")) <= C.ARRIVAL_GAP_S)
+    hit = F.coalesce(F.when(F.col("new_m").isNotNull(), changed_way).otherwise(changed_time), F.lit(False))
+    return _as_records(each.withColumn("new", F.col("others") | hit))
 
 
 def all_records(scenarios: DataFrame) -> DataFrame:
     """The five robustness tests under the lane rule, in one table."""
     return prefix.union_all([
-        lane_records(scenarios, "speed"),
-        lane_records(scenarios, "distance"),
+        lane_records(scenarios, "speed", "distance"),
         single_vehicle_records(scenarios, ["lane", "destination"]),
         records(scenarios, "vehicle_order"),
     ])
@@ -335,11 +325,12 @@ def sensitivity(scenarios: DataFrame) -> DataFrame:
     )
     recs = single.select("scenario_id", "feature", "changed").unionByName(moved)
     per_scenario = recs.groupBy("scenario_id", "feature").agg(F.avg(F.col("changed").cast("int")).alias("score"))
-    scenarios_n = scenarios.agg(F.count("*").alias("n"))
-    sums = per_scenario.groupBy("feature").agg(F.sum("score").alias("total"))
-    table = sums.join(F.broadcast(scenarios_n), F.col("n") > 0)  # one row
-    rows = table.select("feature", F.round(F.col("total") / F.col("n"), 4).alias("importance"))
-    top = F.max("importance").over(Window.partitionBy(F.lit(0)))  # at most five rows
+    sums = per_scenario.groupBy("feature").agg(F.sum("score").alias("total"), F.count("*").alias("n"))
+    everything = Window.partitionBy(F.lit(0))  # over at most five rows
+    # the order feature tests every scenario, so its count is the number of scenarios
+    scenarios_n = F.max(F.when(F.col("feature") == "vehicle_order", F.col("n"))).over(everything)
+    rows = sums.select("feature", F.round(F.col("total") / scenarios_n, 4).alias("importance"))
+    top = F.max("importance").over(everything)
     return rows.select(
         "feature", "importance",
         F.round(F.col("importance") / F.when(top == 0, 1.0).otherwise(top), 4).alias("normalised"),

@@ -641,8 +641,7 @@ def speed_flip_table(spark, d):
 
 @query
 def heat_table(spark, d):
-    s = A.scenarios(spark, d)
-    return perturb.heat_table(perturb.lane_records(s, "speed").unionByName(perturb.lane_records(s, "distance")))
+    return perturb.heat_table(perturb.lane_records(A.scenarios(spark, d), "speed", "distance"))
 
 
 @query
