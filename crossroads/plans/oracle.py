@@ -713,3 +713,11 @@ define("vehicle_csv_scan", "select cast(scenario_id as varchar) as scenario_id,
 define("prediction_log_scan", """select l.scenario_id, l.n as n_vehicles, g.given_label as predicted, l.is_conflict as ground_truth,
   g.given_label = l.is_conflict as rule_agreement, round(l.scenario_id % 1000 / 7.0::double, 1) as latency_ms
   from labels l join given g using (scenario_id)""", "labels", "given")
+define("reply_validity", "select scenario_id, scenario_id % 7 <> 0 and scenario_id % 11 <> 0 as json_valid from sc", "sc")
+define("answer_labels", """select scenario_id, is_conflict as contained, case when scenario_id % 3 = 1 then 'no' else is_conflict end as exact from labels""", "labels")
+define("scenario_type_filter", "select scenario_id, n as n_vehicles from sc where n = 4", "sc")
+define("feature_parquet_scan", "select user_id, event_id, value from events where cast(ts as date) between date '2024-01-08' and date '2024-01-14'")
+define("stream_rule_labels", """select l.scenario_id, l.is_conflict as ground_truth, l.is_conflict = g.given_label as rule_agreement
+  from labels l join given g using (scenario_id)""", "labels", "given")
+define("lane_pairs_all_sizes", "select * from lr", "lr")
+define("exploded_layout_movements", "select scenario_id, seq, m as movement from m", "m")

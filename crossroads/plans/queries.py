@@ -811,3 +811,66 @@ def prediction_log_scan(spark, d):
     return flat.select(
         F.col("scenario_id").cast("long").alias("scenario_id"), F.size("vehicles").alias("n_vehicles"),
         F.col("`prediction.is_conflict`").alias("predicted"), "ground_truth", "rule_agreement", "latency_ms")
+
+
+@query
+def reply_validity(spark, d):
+    """Replies as JSON: some lack a key, some are cut off."""
+    i = F.col("scenario_id")
+    made = lane.decisions(A.scenarios(spark, d))
+    whole = F.to_json(F.struct("is_conflict", "decisions", "priority_order", "waiting_times"))
+    lacking = F.to_json(F.struct("is_conflict", "decisions"))
+    reply = F.when(i % 7 == 0, lacking).when(i % 11 == 0, F.left(whole, F.lit(20))).otherwise(whole)
+    return made.select("scenario_id", scalar.reply_is_valid(reply).alias("json_valid"))
+
+
+@query
+def answer_labels(spark, d):
+    """Free-text answers to labels, by containment and by equality."""
+    i = F.col("scenario_id")
+    answer = F.when(i % 3 == 0, F.concat(F.lit(" "), F.upper("is_conflict"), F.lit(" "))).when(
+        i % 3 == 1, F.concat("is_conflict", F.lit(", they meet."))).otherwise(F.col("is_conflict"))
+    return _labels_only(spark, d).select(
+        "scenario_id", scalar.answer_label(answer).alias("contained"), scalar.answer_label(answer, exact=True).alias("exact"))
+
+
+@query
+def scenario_type_filter(spark, d):
+    return S.only_size(A.scenarios(spark, d), 4).select("scenario_id", F.size("vehicles").alias("n_vehicles"))
+
+
+@query
+def feature_parquet_scan(spark, d):
+    """Stored features, partitioned by date, read back for one week."""
+    path = new_table_path(spark, "features")
+    ev = A.table(spark, d, "events").select("user_id", F.col("ts").alias("event_timestamp"), "event_id", "value")
+    writers.write_features(ev, path)
+    week = F.col("event_date").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))
+    return readers.features(spark, path).filter(week).select("user_id", "event_id", "value")
+
+
+@query
+def stream_rule_labels(spark, d):
+    """Scenarios arriving as a stream get the rule's label on the way, without state."""
+    path = new_table_path(spark, "incoming")
+    given = A.scenarios(spark, d).join(A.order_labels(spark, d), "scenario_id")
+    given.select("scenario_id", "vehicles", F.struct(F.col("given_label").alias("is_conflict")).alias("prediction")).write.parquet(path)
+    incoming = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    done = stream.run_to_table(stream.labelled(incoming), "labelled", "append")
+    return spark.read.parquet(done).select("scenario_id", "ground_truth", "rule_agreement")
+
+
+@query
+def lane_pairs_all_sizes(spark, d):
+    """Whole orders as scenarios, split by size, each part by the form that suits it."""
+    return lane.all_pairs(A.raw_rows(spark, d))
+
+
+@query
+def exploded_layout_movements(spark, d):
+    """Movement of each vehicle by joining the layout table, the table form of the lookup."""
+    layout = readers.lane_layout(spark).select("direction", "lane", "destination", "place")  # twenty rows
+    rows = A.vehicles(spark, d).join(F.broadcast(layout), ["direction", "lane", "destination"], "left")
+    turn = F.when(F.col("place").isNull(), "unknown").when(F.col("lane") % 2 == 0, "left").when(
+        F.col("place") == 0, "right").when(F.col("place") == 1, "straight").otherwise("left")
+    return rows.select("scenario_id", "seq", turn.alias("movement"))
