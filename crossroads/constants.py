@@ -30,7 +30,6 @@ NEAR_DISTANCE_M = 80.0  # near rule: both within this distance
 ARRIVAL_GAP_S = 4.0  # lane rule: arrivals at most this far apart
 SAME_TIME_S = 1.0  # lane rule: up to here movement decides, beyond it arrival order
 CLEARING_S = 2  # seconds one vehicle needs to clear the junction
-YIELD_TEXT = "Potential conflict: Vehicle {loser} must yield to Vehicle {winner}"
 
 # --- fixed values: request contract ----------------------------------------
 MIN_VEHICLES, MAX_VEHICLES = 2, 20
@@ -73,6 +72,54 @@ BALANCE_MIN = 0.40
 TRAINING_SEEDS = [42, 123]
 REQUIRED_REPLY_KEYS = ["is_conflict", "decisions", "priority_order", "waiting_times"]
 
+# --- fixed values: bands, right-closed: (above, up to, name) -----------------
+SPEED_BANDS = [(0, 40, "slow (<40)"), (40, 70, "medium (40-70)"), (70, 9999, "fast (>70)")]
+DISTANCE_BANDS = [(0, 50, "near (<50m)"), (50, 150, "mid (50-150m)"), (150, 99999, "far (>150m)")]
+SMALL_UP_TO = 4
+SIZE_NAMES = ("small (2-4)", "large (5-8)")
+DENSITY_NAMES = ("no conflict", "single", "multi (2+)")
+PARITY_NAMES = ("left-turn", "straight")  # even lanes, odd lanes
+
+# --- fixed values: sentence formats -------------------------------------------
+YIELD_TEXT = "Potential conflict: Vehicle {loser} must yield to Vehicle {winner}"
+SCENARIO_SENTENCE = (
+    "Vehicle {vehicle_id} is in lane {lane}, moving {direction} at a speed of {speed} km/h, "
+    "and is {distance} meters away from the intersection, heading towards {destination}."
+)
+REPORT_SENTENCE = (
+    "Vehicle {vehicle_id} is in lane {lane}, approaching from the {direction}, traveling at {speed} km/h, "
+    "and is {distance} meters away from the intersection, heading towards {destination}."
+)
+ARRIVAL_SENTENCE = (
+    "Vehicle {vehicle_id}: lane={lane}, dir={direction}, dest={destination}, "
+    "speed={speed}km/h, dist={distance}m, ETA={eta}s"
+)
+ANALYSIS = {
+    "none": "No conflict detected.",
+    "found": "Conflict detected.",
+    "count": "Number of conflicts: {n}",
+    "pair": "Vehicle {first} and Vehicle {second}",
+    "involved": "Involved vehicles: {pairs}.",
+    "no_pairs": "No vehicles involved in conflicts.",
+    "actions": "Actions & Decisions:",
+    "no_actions": "No decisions made.",
+    "ranks": "Priority Order:",
+    "rank": "Vehicle {vehicle_id}: Priority {value}",
+    "no_ranks": "No priority information available.",
+    "waits": "Waiting Times:",
+    "wait": "Vehicle {vehicle_id}: {value} second(s)",
+    "no_waits": "No waiting times recorded.",
+}
+TRIGGER_TEXT = {
+    "fnr": "FNR={value} > threshold {limit} (safety-critical)",
+    "recall": "Recall={value} < threshold {limit}",
+    "json_failure_rate": "JSON failure rate={value} > threshold {limit}",
+    "rule_agreement_rate": "Rule agreement={value} < threshold {limit}",
+    "drift": "Data drift detected in input features",
+    "fine": "All metrics within thresholds",
+    "empty": "No predictions logged yet",
+}
+
 # --- fixed values: chat record texts ----------------------------------------
 CHAT_QUESTION = (
     "Analyze the following scenario and determine if there is a conflict "

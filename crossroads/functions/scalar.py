@@ -67,29 +67,32 @@ def answer_label(answer: Column, exact: bool = False) -> Column:
     return yes_no(text == "yes" if exact else text.contains("yes"))
 
 
+def band(value: Column, bands: list[tuple[float, float, str]]) -> Column:
+    """Name of the right-closed band; a value in none of them (0 among them) gives NULL."""
+    return F.coalesce(*[F.when((value > low) & (value <= high), name) for low, high, name in bands])
+
+
 def speed_band(speed: Column) -> Column:
-    """Right-closed bands; 0 belongs to none and gives NULL."""
-    return F.when((speed > 0) & (speed <= 40), "slow (<40)").when(
-        (speed > 40) & (speed <= 70), "medium (40-70)"
-    ).when((speed > 70) & (speed <= 9999), "fast (>70)")
+    return band(speed, C.SPEED_BANDS)
 
 
 def distance_band(distance: Column) -> Column:
-    return F.when((distance > 0) & (distance <= 50), "near (<50m)").when(
-        (distance > 50) & (distance <= 150), "mid (50-150m)"
-    ).when((distance > 150) & (distance <= 99999), "far (>150m)")
+    return band(distance, C.DISTANCE_BANDS)
 
 
 def density_band(conflicts: Column) -> Column:
-    return F.when(conflicts == 0, "no conflict").when(conflicts == 1, "single").otherwise("multi (2+)")
+    none, one, more = C.DENSITY_NAMES
+    return F.when(conflicts == 0, none).when(conflicts == 1, one).otherwise(more)
 
 
 def lane_parity(lane: Column) -> Column:
-    return F.when(lane % 2 == 0, "left-turn").otherwise("straight")
+    even, odd = C.PARITY_NAMES
+    return F.when(lane % 2 == 0, even).otherwise(odd)
 
 
 def size_band(vehicles: Column) -> Column:
-    return F.when(vehicles <= 4, "small (2-4)").otherwise("large (5-8)")
+    small, large = C.SIZE_NAMES
+    return F.when(vehicles <= C.SMALL_UP_TO, small).otherwise(large)
 
 
 def own_wait(waits: Column, vehicle_id: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,67 +36,63 @@ def _two(x: Column) -> Column:
     return fixed(x, 2)
 
 
+def fill(template: str, **values: Column | str) -> Column:
+    """A fixed format with its {names} replaced by columns."""
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name:
+            parts.append(values[name] if isinstance(values[name], Column) else F.lit(values[name]))
+    return F.concat(*parts)
+
+
+def _sentence(template: str, v: Column, **numbers: Column) -> Column:
+    return fill(template, vehicle_id=v["vehicle_id"], lane=v["lane"].cast("string"), direction=v["direction"],
+                destination=v["destination"], **numbers)
+
+
 def scenario_text(vehicles: Column) -> Column:
     """One sentence per vehicle, joined by a space."""
-    say = lambda v: F.concat(
-        F.lit("Vehicle "), v["vehicle_id"], F.lit(" is in lane "), v["lane"].cast("string"),
-        F.lit(", moving "), v["direction"], F.lit(" at a speed of "), _two(v["speed"]),
-        F.lit(" km/h, and is "), _two(v["distance_to_intersection"]),
-        F.lit(" meters away from the intersection, heading towards "), v["destination"], F.lit("."),
-    )
+    say = lambda v: _sentence(C.SCENARIO_SENTENCE, v, speed=_two(v["speed"]), distance=_two(v["distance_to_intersection"]))
     return F.array_join(F.transform(vehicles, say), " ")
 
 
 def report_text(vehicles: Column) -> Column:
     """The readable report, one line per vehicle."""
-    say = lambda v: F.concat(
-        F.lit("Vehicle "), v["vehicle_id"], F.lit(" is in lane "), v["lane"].cast("string"),
-        F.lit(", approaching from the "), v["direction"], F.lit(", traveling at "), _two(v["speed"]),
-        F.lit(" km/h, and is "), _two(v["distance_to_intersection"]),
-        F.lit(" meters away from the intersection, heading towards "), v["destination"], F.lit("."),
-    )
+    say = lambda v: _sentence(C.REPORT_SENTENCE, v, speed=_two(v["speed"]), distance=_two(v["distance_to_intersection"]))
     return F.array_join(F.transform(vehicles, say), "\n")
 
 
 def arrival_text(vehicles: Column) -> Column:
     """One line per vehicle with its time of arrival; a stopped vehicle counts as 0.1 m/s."""
-    one = lambda x: fixed(x, 1)
     eta = lambda v: v["distance_to_intersection"] / F.greatest(v["speed"] * 1000 / 3600, F.lit(0.1))
-    say = lambda v: F.concat(
-        F.lit("Vehicle "), v["vehicle_id"], F.lit(": lane="), v["lane"].cast("string"), F.lit(", dir="), v["direction"],
-        F.lit(", dest="), v["destination"], F.lit(", speed="), one(v["speed"]), F.lit("km/h, dist="),
-        one(v["distance_to_intersection"]), F.lit("m, ETA="), _two(eta(v)), F.lit("s"),
-    )
+    say = lambda v: _sentence(C.ARRIVAL_SENTENCE, v, speed=fixed(v["speed"], 1),
+                              distance=fixed(v["distance_to_intersection"], 1), eta=_two(eta(v)))
     return F.array_join(F.transform(vehicles, say), "\n")
 
 
 def analysis_text(decision: dict[str, Column]) -> Column:
     """The analysis report of one decision: status, pairs, actions, ranks (NULL ones left out), waits."""
+    say = C.ANALYSIS
     pairs, actions = decision["conflict_vehicles"], decision["decisions"]
-    ranks = F.map_filter(decision["priority_order"], lambda k, v: v.isNotNull())
-    waits = decision["waiting_times"]
-    pair_list = F.transform(
-        pairs, lambda p: F.concat(F.lit("Vehicle "), p["vehicle1_id"], F.lit(" and Vehicle "), p["vehicle2_id"])
-    )
-    involved = F.when(F.size(pairs) > 0, F.concat(F.lit("Involved vehicles: "), F.array_join(pair_list, ", "), F.lit(".")))
-    lines = lambda m, before, after: F.array_join(
-        F.transform(F.map_entries(m), lambda e: F.concat(
-            F.lit("Vehicle "), e["key"], F.lit(before), e["value"].cast("string"), F.lit(after))), "\n")
-    rank_part = F.when(
-        F.size(decision["priority_order"]) > 0, F.concat(F.lit("Priority Order:\n"), lines(ranks, ": Priority ", ""))
-    ).otherwise("No priority information available.")
-    wait_part = F.when(
-        F.size(waits) > 0, F.concat(F.lit("Waiting Times:\n"), lines(waits, ": ", " second(s)"))
-    ).otherwise("No waiting times recorded.")
+    pair_list = F.transform(pairs, lambda p: fill(say["pair"], first=p["vehicle1_id"], second=p["vehicle2_id"]))
+
+    def listing(title: str, line: str, entries: Column, otherwise: str) -> Column:
+        shown = F.filter(F.map_entries(entries), lambda e: e["value"].isNotNull())
+        lines = F.transform(shown, lambda e: fill(line, vehicle_id=e["key"], value=e["value"].cast("string")))
+        body = F.concat(F.lit(title + "\n"), F.array_join(lines, "\n"))
+        return F.when(F.size(entries) > 0, body).otherwise(otherwise)
+
     found = F.concat_ws(
-        "\n", F.lit("Conflict detected."),
-        F.concat(F.lit("Number of conflicts: "), decision["number_of_conflicts"].cast("string")),
-        F.coalesce(involved, F.lit("No vehicles involved in conflicts.")),
-        F.lit("Actions & Decisions:"),
-        F.when(F.size(actions) > 0, F.array_join(actions, "\n")).otherwise("No decisions made."),
-        rank_part, wait_part,
+        "\n", F.lit(say["found"]), fill(say["count"], n=decision["number_of_conflicts"].cast("string")),
+        F.when(F.size(pairs) > 0, fill(say["involved"], pairs=F.array_join(pair_list, ", "))).otherwise(say["no_pairs"]),
+        F.lit(say["actions"]),
+        F.when(F.size(actions) > 0, F.array_join(actions, "\n")).otherwise(say["no_actions"]),
+        listing(say["ranks"], say["rank"], decision["priority_order"], say["no_ranks"]),
+        listing(say["waits"], say["wait"], decision["waiting_times"], say["no_waits"]),
     )
-    return F.when(decision["is_conflict"] == "no", "No conflict detected.").otherwise(found)
+    return F.when(decision["is_conflict"] == "no", say["none"]).otherwise(found)
 
 
 def rule_reason(rule: Column, winner: Column, loser: Column) -> Column:

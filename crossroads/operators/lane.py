@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
+from ..functions.text import fill
 from . import scenarios as S
 
 
@@ -277,9 +278,7 @@ def decisions(scenarios: DataFrame, trusted_label: str | None = None) -> DataFra
 
 
 def yield_text(loser: Column, winner: Column) -> Column:
-    before, rest = C.YIELD_TEXT.split("{loser}")
-    middle, after = rest.split("{winner}")
-    return F.concat(F.lit(before), loser, F.lit(middle), winner, F.lit(after))
+    return fill(C.YIELD_TEXT, loser=loser, winner=winner)
 
 
 def fallback_decisions(scenarios: DataFrame, label: str) -> DataFrame:

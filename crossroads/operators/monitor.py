@@ -6,18 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.text import fixed
+from ..functions.text import fill, fixed
 from . import metrics
 
 # fixed values: upper bounds of the latency histogram, in seconds
 LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
 
-def _three(x: Column) -> Column:
-    return fixed(x, 3)
-
-
-def window_counts(by: list[str] = []) -> list[Column]:
+def window_counts() -> list[Column]:
     labelled = F.col("ground_truth").isNotNull()
     t, p = F.col("ground_truth") == "yes", F.col("predicted") == "yes"
     agree = F.col("rule_agreement")
@@ -49,20 +45,21 @@ def trigger(window: DataFrame, by: list[str] = [], drift_detected: bool = False)
                          failure.alias("json_failure_rate"), agreement.alias("rule_agreement_rate"),
                          rate.alias("conflict_rate"))
     c = F.col
+    breached = {
+        "fnr": (c("fnr") > C.FNR_MAX, C.FNR_MAX),
+        "recall": (c("recall") < C.RECALL_MIN, C.RECALL_MIN),
+        "json_failure_rate": (c("json_failure_rate") > C.JSON_FAILURE_MAX, C.JSON_FAILURE_MAX),
+        "rule_agreement_rate": (c("rule_agreement_rate") < C.RULE_AGREEMENT_MIN, C.RULE_AGREEMENT_MIN),
+    }
     reasons = F.array_compact(F.array(
-        F.when(c("fnr") > C.FNR_MAX, F.concat(F.lit("FNR="), _three(c("fnr")), F.lit(f" > threshold {C.FNR_MAX} (safety-critical)"))),
-        F.when(c("recall") < C.RECALL_MIN, F.concat(F.lit("Recall="), _three(c("recall")), F.lit(f" < threshold {C.RECALL_MIN}"))),
-        F.when(c("json_failure_rate") > C.JSON_FAILURE_MAX,
-               F.concat(F.lit("JSON failure rate="), _three(c("json_failure_rate")), F.lit(f" > threshold {C.JSON_FAILURE_MAX}"))),
-        F.when(c("rule_agreement_rate") < C.RULE_AGREEMENT_MIN,
-               F.concat(F.lit("Rule agreement="), _three(c("rule_agreement_rate")), F.lit(f" < threshold {C.RULE_AGREEMENT_MIN}"))),
-        F.when(F.lit(drift_detected) & (c("n_window") > 0), F.lit("Data drift detected in input features")),
+        *[F.when(cond, fill(C.TRIGGER_TEXT[n], value=fixed(c(n), 3), limit=str(limit))) for n, (cond, limit) in breached.items()],
+        F.when(F.lit(drift_detected) & (c("n_window") > 0), C.TRIGGER_TEXT["drift"]),
     ))
     rounded = ["recall", "fnr", "json_failure_rate", "rule_agreement_rate", "conflict_rate"]
     out = rows.withColumn("triggers", reasons)
-    reason = F.when(c("n_window") == 0, "No predictions logged yet").when(
+    reason = F.when(c("n_window") == 0, C.TRIGGER_TEXT["empty"]).when(
         F.size("triggers") > 0, F.array_join("triggers", "; ")
-    ).otherwise("All metrics within thresholds")
+    ).otherwise(C.TRIGGER_TEXT["fine"])
     return out.select(
         *by, (F.size("triggers") > 0).alias("should_retrain"), reason.alias("reason"), "triggers",
         "n_window", "n_labeled", *[F.round(c(r), 4).alias(r) for r in rounded],

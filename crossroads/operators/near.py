@@ -71,11 +71,12 @@ def with_label(scenarios: DataFrame, name: str = "near_label", inclusive: bool =
     return scenarios.withColumn(name, scalar.yes_no(F.size(directions) >= 2))
 
 
-def ranked(scenarios: DataFrame, inclusive: bool = True, *keep: str) -> DataFrame:
+def ranked(scenarios: DataFrame, inclusive: bool = True, list_pairs: bool = False) -> DataFrame:
     """One row per vehicle of every packed scenario, before ranks are numbered.
 
     The first win of a vehicle is against its earliest weaker counterpart, the first loss
     against its earliest stronger one, so two minima per vehicle replace the walk over pairs.
+    ``list_pairs`` adds ``led``, the pairs in which the vehicle is the earlier one.
     """
     a, b = F.col("a"), F.col("b")
     reach = lambda v: scalar.is_near(v["distance_to_intersection"], inclusive)
@@ -85,18 +86,19 @@ def ranked(scenarios: DataFrame, inclusive: bool = True, *keep: str) -> DataFram
         b["seq"].alias("seq"), b["vehicle_id"].alias("vehicle_id"),
         scalar.near_arrival_s(b["speed"], b["distance_to_intersection"]).alias("t"),
     )
+    leads = meet & (a["seq"] < b["seq"])
+    pair = F.struct(b["seq"].alias("seq2"), a["vehicle_id"].alias("vehicle1_id"), b["vehicle_id"].alias("vehicle2_id"))
+    listed = [F.array_sort(F.collect_list(F.when(leads, pair))).alias("led")] if list_pairs else []
     per_vehicle = (
-        with_partners(scenarios, *keep)
-        .groupBy("scenario_id", *keep, a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"))
+        with_partners(scenarios)
+        .groupBy("scenario_id", a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"))
         .agg(
             F.min(F.when(meet & beats, b["seq"])).alias("weaker"),
             F.min(F.when(meet & ~beats, stronger)).alias("stronger"),
-            F.count_if(meet & (a["seq"] < b["seq"])).alias("pairs_led"),
+            F.count_if(leads).alias("pairs_led"), *listed,
         )
     )
-    return per_vehicle.select(
-        "scenario_id", *keep, "seq", "vehicle_id", "weaker", "stronger", "pairs_led", *standing()
-    )
+    return per_vehicle.select("*", *standing())
 
 
 def standing() -> list[Column]:
@@ -120,10 +122,12 @@ def priorities(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
     )
 
 
-def decisions(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
-    """One decision per scenario, with or without conflict."""
-    order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
-    rows = ranked(scenarios, inclusive).withColumn("rank", F.row_number().over(order))
+def summary(rows: DataFrame) -> DataFrame:
+    """Ranked vehicle rows (with ``led``, ``rank`` and ``wait``) to one row per scenario.
+
+    ``losses`` has one text per losing vehicle in the order of first losses, ``pairs`` all
+    pairs in list order, ``entries`` the vehicles in list order. At most 20 vehicles each.
+    """
     lost = F.col("stronger").isNotNull()
     loss = F.struct(
         F.least("seq", "stronger.seq").alias("p1"), F.greatest("seq", "stronger.seq").alias("p2"),
@@ -132,33 +136,25 @@ def decisions(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
     out = rows.groupBy("scenario_id").agg(
         F.sum("pairs_led").cast("int").alias("number_of_conflicts"),
         F.array_sort(F.collect_list(F.when(lost, loss))).alias("losses"),
-        F.array_sort(F.collect_list(F.struct("rank", "vehicle_id", "wait"))).alias("ranking"),
-    )
-    entries = lambda value: F.map_from_entries(
-        F.transform("ranking", lambda r: F.struct(r["vehicle_id"], r[value]))
+        F.array_sort(F.collect_list(F.struct("seq", "led"))).alias("led"),
+        F.array_sort(F.collect_list(F.struct("seq", "vehicle_id", "rank", "wait"))).alias("entries"),
     )
+    any_pair = F.col("number_of_conflicts") > 0
+    bare = lambda p: F.struct(p["vehicle1_id"], p["vehicle2_id"])
     return out.select(
-        "scenario_id",
-        scalar.yes_no(F.col("number_of_conflicts") > 0).alias("is_conflict"),
-        "number_of_conflicts",
-        F.when(F.col("number_of_conflicts") > 0, F.array(F.lit("intersection")))
-        .otherwise(F.array().cast("array<string>")).alias("places_of_conflicts"),
-        F.transform("losses", lambda x: x["text"]).alias("decisions"),
-        entries("rank").alias("priority_order"),
-        entries("wait").alias("waiting_times"),
+        "scenario_id", scalar.yes_no(any_pair).alias("is_conflict"), "number_of_conflicts",
+        F.when(any_pair, F.array(F.lit("intersection"))).otherwise(F.array().cast("array<string>")).alias("places_of_conflicts"),
+        F.transform(F.flatten(F.transform("led", lambda x: x["led"])), bare).alias("conflict_vehicles"),
+        F.transform("losses", lambda x: x["text"]).alias("decisions"), "entries",
     )
 
 
-def conflict_vehicles(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
-    """(scenario_id, conflict_vehicles): the listed pairs of scenarios that have any."""
-    pair = F.struct("seq1", "seq2", "vehicle1_id", "vehicle2_id")
-    return (
-        pairs(scenarios, inclusive).groupBy("scenario_id").agg(F.array_sort(F.collect_list(pair)).alias("p"))
-        .select(
-            "scenario_id",
-            F.transform("p", lambda x: F.struct(x["vehicle1_id"], x["vehicle2_id"])).alias("conflict_vehicles"),
-        )
-    )
+def decisions(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
+    """One decision per scenario, with or without conflict."""
+    order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
+    out = summary(ranked(scenarios, inclusive, list_pairs=True).withColumn("rank", F.row_number().over(order)))
+    by_id = lambda value: F.map_from_entries(F.transform("entries", lambda e: F.struct(e["vehicle_id"], e[value])))
+    return out.withColumns({"priority_order": by_id("rank"), "waiting_times": by_id("wait")}).drop("entries")
 
 
 def generator_wait(scenario_id: Column, seq: Column, seed: int) -> Column:

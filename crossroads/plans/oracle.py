@@ -199,8 +199,9 @@ define("near_pairs", "select * from np", "np")
 for name in ("near_priorities", "near_priorities_any_size"):
     define(name, "select scenario_id, seq, vehicle_id, rank, wait, grp = 2 as only_loses from nr", "nr")
 define("near_decisions", """select l.scenario_id, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts,
-  coalesce(t.decisions, '') as decisions, t.priority_order
-  from nlabels l left join (select scenario_id, count(*) as c from np group by 1) c using (scenario_id)
+  coalesce(t.decisions, '') as decisions, coalesce(c.pairs, '') as pairs, t.priority_order
+  from nlabels l left join (select scenario_id, count(*) as c, string_agg(vehicle1_id || '-' || vehicle2_id, ',' order by seq1, seq2) as pairs
+    from np group by 1) c using (scenario_id)
   join (select scenario_id, string_agg('Potential conflict: Vehicle ' || vehicle_id || ' must yield to Vehicle ' || winner_id, '; '
       order by loss_at) filter (where loss_at is not null) as decisions,
     string_agg(vehicle_id || ':' || rank, ',' order by vehicle_id) as priority_order from nr group by scenario_id) t using (scenario_id)""",

@@ -124,6 +124,7 @@ def near_priorities_any_size(spark, d):
 def near_decisions(spark, d):
     return near.decisions(A.scenarios(spark, d)).select(
         "scenario_id", "is_conflict", "number_of_conflicts", F.array_join("decisions", "; ").alias("decisions"),
+        F.array_join(F.transform("conflict_vehicles", lambda p: F.concat(p["vehicle1_id"], F.lit("-"), p["vehicle2_id"])), ",").alias("pairs"),
         _map_text("priority_order").alias("priority_order"),
     )
 

@@ -138,38 +138,25 @@ def raw_dataset(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     Ranks, waits and texts are made and spread to the vehicles within the scenario's partition.
     """
     made = scenarios(spark, sf_dir)
-    ranked = near.ranked(made, False)
     order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
-    lost = F.col("stronger").isNotNull()
+    drawn = near.generator_wait(F.col("scenario_id"), F.col("seq"), seed)
+    rows = near.ranked(made, False, list_pairs=True).withColumns({
+        "rank": F.when(F.col("group") != 2, F.row_number().over(order)),
+        "wait": F.when(F.col("stronger").isNotNull(), drawn).otherwise(0),
+    })
     quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
-    per_vehicle = ranked.select(
-        "scenario_id", "seq", "vehicle_id", "pairs_led", "stronger",
-        F.when(F.col("group") != 2, F.row_number().over(order)).alias("rank"),
-        F.when(lost, near.generator_wait(F.col("scenario_id"), F.col("seq"), seed)).otherwise(0).alias("wait"),
-        F.struct(
-            F.least("seq", "stronger.seq").alias("p1"), F.greatest("seq", "stronger.seq").alias("p2"),
-            near.yield_text(F.col("vehicle_id"), F.col("stronger.vehicle_id")).alias("text"),
-        ).alias("loss"),
-    )
-    entries = F.array_sort(F.collect_list(F.struct("seq", "vehicle_id", F.coalesce(F.col("rank").cast("string"), F.lit("None")).alias("rank"), "wait")))
-    per_scenario = per_vehicle.groupBy("scenario_id").agg(
-        F.sum("pairs_led").cast("int").alias("number_of_conflicts"), entries.alias("e"),
-        F.array_sort(F.collect_list(F.when(F.col("stronger").isNotNull(), F.col("loss")))).alias("losses"),
-    )
-    dict_text = lambda value: F.concat(F.lit("{"), F.array_join(F.transform(
-        "e", lambda x: F.concat(quoted(x["vehicle_id"]), F.lit(": "), value(x))), ", "), F.lit("}"))
-    listed = near.conflict_vehicles(made, False).select("scenario_id", F.concat(F.lit("["), F.array_join(F.transform(
-        "conflict_vehicles", lambda p: F.concat(
-            F.lit("{'vehicle1_id': "), quoted(p["vehicle1_id"]), F.lit(", 'vehicle2_id': "), quoted(p["vehicle2_id"]), F.lit("}"))),
-        ", "), F.lit("]")).alias("conflict_vehicles"))
-    labels = per_scenario.join(listed, "scenario_id", "left").select(
-        "scenario_id", scalar.yes_no(F.col("number_of_conflicts") > 0).alias("is_conflict"), "number_of_conflicts",
-        F.when(F.col("number_of_conflicts") > 0, "['intersection']").otherwise("[]").alias("places_of_conflicts"),
-        F.coalesce("conflict_vehicles", F.lit("[]")).alias("conflict_vehicles"),
-        F.concat(F.lit("["), F.array_join(F.transform("losses", lambda x: quoted(x["text"])), ", "), F.lit("]")).alias("decisions"),
-        dict_text(lambda x: x["rank"]).alias("priority_order"),
-        dict_text(lambda x: x["wait"].cast("string")).alias("waiting_times"),
-    )
+    listed = lambda items: F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    dict_text = lambda value: F.concat(F.lit("{"), F.array_join(F.transform("entries", lambda e: F.concat(
+        quoted(e["vehicle_id"]), F.lit(": "), F.coalesce(e[value].cast("string"), F.lit("None")))), ", "), F.lit("}"))
+    pair_text = lambda p: F.concat(
+        F.lit("{'vehicle1_id': "), quoted(p["vehicle1_id"]), F.lit(", 'vehicle2_id': "), quoted(p["vehicle2_id"]), F.lit("}"))
+    labels = near.summary(rows).select(
+        "scenario_id", "is_conflict", "number_of_conflicts",
+        listed(F.transform("places_of_conflicts", quoted)).alias("places_text"),
+        listed(F.transform("conflict_vehicles", pair_text)).alias("pairs_text"),
+        listed(F.transform("decisions", quoted)).alias("decisions_text"),
+        dict_text("rank").alias("priority_order"), dict_text("wait").alias("waiting_times"),
+    ).withColumnsRenamed({"places_text": "places_of_conflicts", "pairs_text": "conflict_vehicles", "decisions_text": "decisions"})
     return S.unpack(made).drop("seq", *S.PREPARED_FIELDS).join(labels, "scenario_id")
 
 
