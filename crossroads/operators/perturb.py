@@ -182,12 +182,11 @@ def _as_records(df: DataFrame) -> DataFrame:
     )
 
 
-def _choice(feature: str, delta: Column, t: Column | None = None, m: Column | None = None) -> Column:
-    """One change to one vehicle: its name, and the arrival or the movement it leads to."""
-    none = lambda kind: F.lit(None).cast(kind)
+def _choice(feature: str, delta: Column, shift: float | None = None, m: Column | None = None) -> Column:
+    """One change to one vehicle: its name, and the shift or the movement it leads to."""
     return F.struct(
-        F.lit(feature).alias("feature"), delta.alias("delta"),
-        (none("double") if t is None else t).alias("new_t"), (none("string") if m is None else m).alias("new_m"),
+        F.lit(feature).alias("feature"), delta.alias("delta"), F.lit(shift).cast("double").alias("shift"),
+        (F.lit(None).cast("string") if m is None else m).alias("new_m"),
     )
 
 
@@ -223,12 +222,8 @@ def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_f
     # the lane's delta is the vehicle's index in the list; in the score it only tells copies apart
     lane_delta = (lambda k: k) if lanes_of_first else (lambda k: F.col("seq") - 1)
     made = {
-        "speed": lambda: F.array(*[
-            _choice("speed", F.lit(str(x)), t=scalar.lane_arrival_s(_floored(a["speed"], F.lit(x)), a["distance_to_intersection"]))
-            for x in C.SPEED_DELTAS]),
-        "distance": lambda: F.array(*[
-            _choice("distance", F.lit(str(x)), t=scalar.lane_arrival_s(a["speed"], _floored(a["distance_to_intersection"], F.lit(x))))
-            for x in C.DISTANCE_DELTAS]),
+        "speed": lambda: F.array(*[_choice("speed", F.lit(str(x)), shift=x) for x in C.SPEED_DELTAS]),
+        "distance": lambda: F.array(*[_choice("distance", F.lit(str(x)), shift=x) for x in C.DISTANCE_DELTAS]),
         "lane": lambda: F.transform(lanes, lambda x, k: _choice(
             "lane", lane_delta(k).cast("string"), m=scalar.movement(a["direction"], x, a["destination"]))),
         "destination": lambda: F.transform(destination_alternatives(a), lambda x, k: _choice(
@@ -236,11 +231,15 @@ def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_f
     }
     choices = F.concat(*[made[f]() for f in features])
     each = vehicle.select(
-        "scenario_id", "n_vehicles", "base", "others", "crossing", "close", a["d"].alias("d"), F.inline(choices)
+        "scenario_id", "n_vehicles", "base", "others", "crossing", "close", a["d"].alias("d"),
+        a["speed"].alias("speed"), a["distance_to_intersection"].alias("distance"), F.inline(choices),
     )
+    moved = lambda name: F.when(F.col("feature") == name, _floored(F.col(name), F.col("shift"))).otherwise(F.col(name))
+    each = each.withColumn("new_t", scalar.lane_arrival_s(moved("speed"), moved("distance")))
     changed_way = F.exists("close", lambda p: lane.paths_cross(
         {"d": F.col("d"), "m": F.col("new_m")}, {"d": p["d"], "m": p["m"]}))
-    changed_time = F.exists("crossing", lambda t: F.abs(t - F.col("new_t")) <= C.ARRIVAL_GAP_S)
+    new_t = F.col("new_t")
+    changed_time = new_t.isNotNull() & F.exists("crossing", lambda t: F.abs(t - new_t) <= C.ARRIVAL_GAP_S)
     hit = F.coalesce(F.when(F.col("new_m").isNotNull(), changed_way).otherwise(changed_time), F.lit(False))
     return _as_records(each.withColumn("new", F.col("others") | hit))
 
@@ -323,8 +322,10 @@ def sensitivity(scenarios: DataFrame) -> DataFrame:
         "scenario_id", F.lit("vehicle_order").alias("feature"),
         (F.col("prediction") != F.col("base_pred")).alias("changed"),
     )
-    recs = single.select("scenario_id", "feature", "changed").unionByName(moved)
-    per_scenario = recs.groupBy("scenario_id", "feature").agg(F.avg(F.col("changed").cast("int")).alias("score"))
+    # scored before the union: each side is still partitioned by scenario
+    score = lambda recs: recs.groupBy("scenario_id", "feature").agg(
+        (F.count_if("changed") / F.count("*")).alias("score"))
+    per_scenario = score(single).unionByName(score(moved))
     sums = per_scenario.groupBy("feature").agg(F.sum("score").alias("total"), F.count("*").alias("n"))
     everything = Window.partitionBy(F.lit(0))  # over at most five rows
     # the order feature tests every scenario, so its count is the number of scenarios
