@@ -77,10 +77,5 @@ def numbered(df: DataFrame, keys: list[str], order: list, name: str = "idx") ->
     return running(df, keys, order, {name: ("sum", F.lit(1))}).withColumn(name, F.col(name) - 1)
 
 
-def with_totals(df: DataFrame, keys: list[str], totals: DataFrame) -> DataFrame:
-    """Joins per-key totals back; the join strategy is left to the planner."""
-    return df.join(totals, keys)
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
