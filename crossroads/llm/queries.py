@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, pii, quality, token_counts
+from crossroads.llm import decontamination, pii, quality, substring_dedup, token_counts
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +44,9 @@ def op8_benchmark_hits(spark, sf_dir):
 @_query
 def op9_quality_rules(spark, sf_dir):
     return quality.measures(table(spark, sf_dir))
+
+
+@_query
+def op6_substring_dedup(spark, sf_dir):
+    found = substring_dedup.deduplicated(table(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

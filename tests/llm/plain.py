@@ -78,3 +78,22 @@ def contamination(text, items, size=10):
                 found |= windows[w]
     found = sorted(str(x) for x in found if x is not None)
     return {"n_words": len(ws), "n_hit": len(hit), "n_items": len(found), "items_sha256": sha(",".join(found)), "contaminated": bool(hit)}
+
+
+def substring(rows, k=13):
+    """(n_words, n_removed, kept words) of each (id, text)."""
+    from collections import defaultdict
+
+    top = float("inf")
+    first = defaultdict(lambda: top)
+    for i, text in rows:
+        ws = words(text)
+        for j in range(len(ws) - k + 1):
+            key = tuple(ws[j:j + k])
+            first[key] = min(first[key], top if i is None else i)
+    out = []
+    for i, text in rows:
+        ws = words(text)
+        gone = {x for j in range(len(ws) - k + 1) if first[tuple(ws[j:j + k])] < (top if i is None else i) for x in range(j, j + k)}
+        out.append((i, len(ws), len(gone), " ".join(w for x, w in enumerate(ws) if x not in gone)))
+    return out
