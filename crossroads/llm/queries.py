@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, pii, quality, substring_dedup, token_counts
+from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, token_counts
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,8 @@ def op9_quality_rules(spark, sf_dir):
 def op6_substring_dedup(spark, sf_dir):
     found = substring_dedup.deduplicated(table(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op4_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir))

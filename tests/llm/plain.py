@@ -97,3 +97,43 @@ def substring(rows, k=13):
         gone = {x for j in range(len(ws) - k + 1) if first[tuple(ws[j:j + k])] < (top if i is None else i) for x in range(j, j + k)}
         out.append((i, len(ws), len(gone), " ".join(w for x, w in enumerate(ws) if x not in gone)))
     return out
+
+
+def fingerprint(text, k=4):
+    import xxhash
+
+    ws = words(lower(text))
+    grams = [" ".join(ws[i:i + k]) for i in range(max(1, len(ws) - k + 1))] if ws else []
+    ones = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64(g.encode(), seed=42).intdigest()
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if grams and 2 * ones[b] > len(grams))
+
+
+def near_components(prints, radius=4):
+    """The component of each distinct fingerprint by search over all pairs."""
+    left, label = set(prints), {}
+    for start in sorted(set(prints)):
+        if start in label:
+            continue
+        todo = [start]
+        left.discard(start)
+        while todo:
+            x = todo.pop()
+            label[x] = start
+            near = {y for y in left if (x ^ y).bit_count() <= radius}
+            left -= near
+            todo += near
+    return label
+
+
+def simhash(rows):
+    prints = [fingerprint(t) for _, t in rows]
+    label = near_components(prints)
+    least = {}
+    for (i, _), f in zip(rows, prints):
+        if i is not None:
+            least[label[f]] = min(least.get(label[f], i), i)
+    return [(i, f"{f:016x}", least.get(label[f])) for (i, _), f in zip(rows, prints)]
