@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, token_counts
+from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,9 @@ def op6_substring_dedup(spark, sf_dir):
 @_query
 def op4_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir))
+
+
+@_query
+def op3_suffix_array_dedup(spark, sf_dir):
+    found = suffix_dedup.deduplicated(table(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

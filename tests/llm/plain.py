@@ -137,3 +137,25 @@ def simhash(rows):
         if i is not None:
             least[label[f]] = min(least.get(label[f], i), i)
     return [(i, f"{f:016x}", least.get(label[f])) for (i, _), f in zip(rows, prints)]
+
+
+def repeated_bytes(rows, k=400):
+    """(id, bytes, removed, spans, kept) of each (id, text)."""
+    texts = [(t or "").encode() for _, t in rows]
+    count = Counter(t[j:j + k] for t in texts for j in range(len(t) - k + 1))
+    out = []
+    for (i, _), t in zip(rows, texts):
+        step = [0] * (len(t) + 1)
+        for j in range(len(t) - k + 1):
+            if count[t[j:j + k]] > 1:
+                step[j] += 1
+                step[j + k] -= 1
+        depth, kept, spans, inside = 0, bytearray(), 0, False
+        for j, b in enumerate(t):
+            depth += step[j]
+            spans += depth > 0 and not inside
+            inside = depth > 0
+            if not inside:
+                kept.append(b)
+        out.append((i, len(t), len(t) - len(kept), spans, bytes(kept)))
+    return out
