@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts
+from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,10 @@ def op4_simhash_near_dedup(spark, sf_dir):
 def op3_suffix_array_dedup(spark, sf_dir):
     found = suffix_dedup.deduplicated(table(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op10_token_output(spark, sf_dir):
+    docs = table(spark, sf_dir)
+    store = token_output.write(docs, vocabulary_file("word_bpe_49k.json"))
+    return token_output.read(docs, store, token_output.crc32, "ids_crc32 long")
