@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
+from crossroads.llm import decontamination, lm_scoring, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def op10_token_output(spark, sf_dir):
     docs = table(spark, sf_dir)
     store = token_output.write(docs, vocabulary_file("word_bpe_49k.json"))
     return token_output.read(docs, store, token_output.crc32, "ids_crc32 long")
+
+
+@_query
+def op2_lm_scoring(spark, sf_dir):
+    return lm_scoring.scores(table(spark, sf_dir))

@@ -159,3 +159,41 @@ def repeated_bytes(rows, k=400):
                 kept.append(b)
         out.append((i, len(t), len(t) - len(kept), spans, bytes(kept)))
     return out
+
+
+def language_model(rows, order=3, discount=0.75, least=2):
+    """Per (id, text): held out, tokens, known, training tokens, base score, score of the unquantised model."""
+    import math
+    import zlib
+
+    end = object()
+    tokens = [[*words(lower(t)), end] for _, t in rows]
+    out = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
+    count = [Counter() for _ in range(order + 1)]
+    for ws, held in zip(tokens, out):
+        if not held:
+            count[1].update((w,) for w in ws)
+            seq = [end, *ws]
+            for k in range(2, order + 1):
+                count[k].update(tuple(seq[i:i + k]) for i in range(len(seq) - k + 1))
+    total, vocabulary = sum(count[1].values()), len(count[1])
+    left = {}
+    for k in range(2, order + 1):
+        for gram, c in count[k].items():
+            if c >= least:
+                left[gram[:-1]] = left.get(gram[:-1], 1) - (c - discount) / count[k - 1][gram[:-1]]
+    result = []
+    for (i, _), ws, held in zip(rows, tokens, out):
+        base = score = 0.0
+        for at, w in enumerate(ws):
+            p = (count[1][w,] + 0.5) / (total + 0.5 * (vocabulary + 1))
+            base += math.log10(p)
+            seq = [end, *ws[:at]]
+            for k in range(2, min(order, len(seq) + 1) + 1):
+                context = tuple(seq[len(seq) - k + 1:])
+                if count[k - 1][context] >= (least if k > 2 else 1):
+                    c = count[k][(*context, w)]
+                    p = left.get(context, 1) * p + ((c - discount) / count[k - 1][context] if c >= least else 0)
+            score += math.log10(p)
+        result.append((i, held, len(ws), sum(count[1][w,] > 0 for w in ws), total, base, score))
+    return result
