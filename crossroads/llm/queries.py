@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, lm_scoring, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
+from crossroads.llm import decontamination, lm_scoring, packing, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
 from crossroads.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,8 @@ def op10_token_output(spark, sf_dir):
 @_query
 def op2_lm_scoring(spark, sf_dir):
     return lm_scoring.scores(table(spark, sf_dir))
+
+
+@_query
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir))
