@@ -231,20 +231,23 @@ def rule_distribution(pair_rows: DataFrame) -> DataFrame:
 
 
 def outcome_array(vehicles: Column, pair_list: Column) -> Column:
-    """Per vehicle in any pair: id, rank of its first pair, longest wait; in scenario order."""
+    """Per vehicle id in any pair, in scenario order: rank of its first pair, longest wait of all.
+
+    Ids are the keys of the decision's maps, so vehicles that share an id share an outcome.
+    """
 
     def own(v):
-        return F.filter(pair_list, lambda p: (p["seq1"] == v["seq"]) | (p["seq2"] == v["seq"]))
+        return F.filter(pair_list, lambda p: (p["vehicle1_id"] == v["vehicle_id"]) | (p["vehicle2_id"] == v["vehicle_id"]))
 
     def outcome(v, mine):
-        lost = F.transform(mine, lambda p: F.when(p["winner_seq"] == v["seq"], 0).otherwise(p["wait"]))
+        goes = lambda p: (p["winner_id"] == v["vehicle_id"]) & (p["loser_id"] != v["vehicle_id"])
+        lost = F.transform(mine, lambda p: F.when(goes(p), 0).otherwise(p["wait"]))
         return F.struct(
-            v["vehicle_id"].alias("vehicle_id"),
-            F.when(mine[0]["winner_seq"] == v["seq"], 1).otherwise(2).alias("rank"),
+            v["vehicle_id"].alias("vehicle_id"), F.when(goes(mine[0]), 1).otherwise(2).alias("rank"),
             F.array_max(lost).alias("wait"),
         )
 
-    involved = F.filter(vehicles, lambda v: F.size(own(v)) > 0)
+    involved = F.filter(S.first_of_id(vehicles), lambda v: F.size(own(v)) > 0)
     return F.transform(involved, lambda v: outcome(v, own(v)))
 
 
@@ -294,13 +297,25 @@ def fallback_decisions(scenarios: DataFrame, label: str) -> DataFrame:
         F.when(pair, F.array(F.struct(first.alias("vehicle1_id"), second.alias("vehicle2_id"))))
         .otherwise(empty.cast("array<struct<vehicle1_id:string,vehicle2_id:string>>")).alias("conflict_vehicles"),
         F.when(pair, F.array(yield_text(second, first))).otherwise(empty.cast("array<string>")).alias("decisions"),
+        F.create_map().cast("map<string,int>").alias("priority_order"), F.create_map().cast("map<string,int>").alias("waiting_times"),
     )
 
 
-def score(vehicles: DataFrame) -> DataFrame:
-    """Batch scoring of a vehicle table: every scenario gets a decision or an ``error``."""
+def score(vehicles: DataFrame, labels: DataFrame | None = None, label: str = "given_label") -> DataFrame:
+    """Batch scoring of a vehicle table: one row per scenario, with a decision or an ``error``.
+
+    The rule only runs on scenarios that meet the contract. ``labels`` (scenario_id and a 'yes'/'no'
+    column) gives refused scenarios the fallback decision beside their error.
+    """
     status = S.scenario_status(vehicles).select("scenario_id", F.col("reason").alias("error"))
-    made = decisions(packed(vehicles))
+    accepted = status.filter("error is null").select("scenario_id")
+    made = decisions(packed(vehicles).join(accepted, "scenario_id", "left_semi"))
     out = status.join(made, "scenario_id", "left")
-    data = [c for c in made.columns if c != "scenario_id"]
-    return out.select("scenario_id", "error", *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in data])
+    if labels is None:
+        return out
+    refused = status.filter("error is not null").join(labels.select("scenario_id", label), "scenario_id")
+    heads = S.heads(vehicles.join(refused.select("scenario_id"), "scenario_id", "left_semi"), 2)
+    spare = fallback_decisions(heads.join(refused, "scenario_id"), label)
+    shared = [c for c in spare.columns if c != "scenario_id"]
+    joined = out.join(spare.withColumnsRenamed({c: f"_{c}" for c in shared}), "scenario_id", "left")
+    return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in shared else F.col(c) for c in out.columns])

@@ -153,7 +153,7 @@ def decisions(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
     """One decision per scenario, with or without conflict."""
     order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
     out = summary(ranked(scenarios, inclusive, list_pairs=True).withColumn("rank", F.row_number().over(order)))
-    by_id = lambda value: F.map_from_entries(F.transform("entries", lambda e: F.struct(e["vehicle_id"], e[value])))
+    by_id = lambda value: S.map_by_id(F.col("entries"), value)
     return out.withColumns({"priority_order": by_id("rank"), "waiting_times": by_id("wait")}).drop("entries")
 
 

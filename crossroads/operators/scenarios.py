@@ -44,6 +44,29 @@ def pack(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES) -> DataFrame:
     )
 
 
+def heads(vehicles: DataFrame, n: int) -> DataFrame:
+    """(scenario_id, vehicles): the first ``n`` vehicles of each scenario; the rank filter also runs before the exchange."""
+    nth = F.row_number().over(Window.partitionBy("scenario_id").orderBy("seq"))
+    return (
+        vehicles.select("scenario_id", *VEHICLE_FIELDS)
+        .withColumn("_nth", nth)
+        .filter(F.col("_nth") <= n)
+        .groupBy("scenario_id")
+        .agg(F.array_sort(F.collect_list(F.struct(*VEHICLE_FIELDS))).alias("vehicles"))
+    )
+
+
+def first_of_id(entries: Column, key: str = "vehicle_id") -> Column:
+    """Array entries whose id no earlier entry has."""
+    return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, F.lit(1), i), lambda x: x[key] == e[key]))
+
+
+def map_by_id(entries: Column, value: str, key: str = "vehicle_id") -> Column:
+    """id -> value; of entries that share an id the last one in order counts."""
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x[key] == e[key]))
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e[key], e[value])))
+
+
 def split_by_size(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES) -> tuple[DataFrame, DataFrame]:
     """(packed scenarios within the limit, vehicle rows of all larger scenarios)."""
     packed = pack(vehicles, max_vehicles)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,18 +14,10 @@ from . import scenarios as S
 
 
 def layout_prompt(layout: dict = C.LAYOUT_EIGHT_LANE) -> str:
-    """The default instruction: the junction's lanes, written from the layout, and the answer form."""
-    def names(xs):
-        return " and ".join(xs) if len(xs) == 2 else ", ".join(xs[:-1]) + f", and {xs[-1]}"
-
-    lines = [
-        f"- {d.capitalize()}: " + ", ".join(f"Lane {n} directs vehicles to {names(xs)}" for n, xs in lanes.items()) + "."
-        for d, lanes in layout.items()
-    ]
+    """The default instruction: the layout as JSON and the form of the answer."""
     return (
-        "You watch a four-way intersection. The lanes lead to these destinations:\n"
-        + "\n".join(lines)
-        + "\nSay whether there is a potential conflict between vehicles. Respond only with 'yes' or 'no'."
+        "Junction layout as JSON (approach, lane, exits): " + json.dumps(layout)
+        + "\nAnswer yes if the paths of any two of the listed vehicles clash in time, no if none do. One word."
     )
 
 

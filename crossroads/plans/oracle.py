@@ -61,23 +61,23 @@ def cte(name: str, sql: str, *deps: str) -> None:
 
 cte("lines", """select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey,
   l_extendedprice, l_quantity, l_discount, l_tax) as rn, count(*) over (partition by l_orderkey) as n from lineitem""")
-cte("raw_rows", """select l_orderkey as scenario_id, cast(rn as int) as seq, n, concat('V', cast(1000 + rn as varchar)) as vehicle_id,
+LANES = "{" + ", ".join(f"{n}: {names}" for lanes in C.LAYOUT_EIGHT_LANE.values() for n, names in lanes.items()) + "}"
+cte("raw_rows", f"""select l_orderkey as scenario_id, cast(rn as int) as seq, n, concat('V', cast(1000 + rn as varchar)) as vehicle_id,
   cast(2 * (l_partkey % 4) + 1 + (l_suppkey % 2) as int) as lane,
   case when l_discount = 0 and l_tax = 0 then 0::double
        else 10::double + (cast(round(l_extendedprice * 100) as bigint) % 8001) / 100::double end as speed,
   10::double + (l_quantity - 1) * 10 as distance_to_intersection,
   cast(l_partkey % 4 as int) as d,
   case l_partkey % 4 when 0 then 'north' when 1 then 'east' when 2 then 'south' else 'west' end as direction,
-  substr(case 2 * (l_partkey % 4) + 1 + (l_suppkey % 2) when 1 then 'FHX' when 2 then 'EDC' when 3 then 'HBX'
-    when 4 then 'GEF' when 5 then 'BDX' when 6 then 'AGH' when 7 then 'DFX' else 'BCA' end,
-    case when l_linenumber = 7 then 3 else 1 + l_linenumber % 2 end, 1) as destination
-  from lines where rn <= 8""", "lines")
+  coalesce((map {LANES})[2 * (l_partkey % 4) + 1 + (l_suppkey % 2)][case when l_linenumber = 7 then 3 else 1 + l_linenumber % 2 end], 'X')
+    as destination
+  from lines""", "lines")
 cte("m", """select *, case when destination = 'X' then 'unknown' when lane % 2 = 0 then 'left'
     when instr(case lane when 1 then 'FH' when 3 then 'HB' when 5 then 'BD' else 'DF' end, destination) = 1 then 'right'
     else 'straight' end as m,
   case when speed > 0 then distance_to_intersection / (speed * 1000 / 3600) end as t,
   case when speed > 0 then distance_to_intersection / (speed / 3.6::double) end as tn
-  from raw_rows where n >= 2""", "raw_rows")
+  from raw_rows""", "raw_rows")
 cte("sc", "select scenario_id, cast(count(*) as int) as n from m group by scenario_id", "m")
 cte("lp", f"""select a.scenario_id, a.seq as seq1, b.seq as seq2, a.vehicle_id as vehicle1_id, b.vehicle_id as vehicle2_id,
   a.m as movement1, b.m as movement2, a.t as t1, b.t as t2, a.d as d1, b.d as d2
@@ -167,28 +167,67 @@ define("lane_priority_waits", "select * from pw", "pw")
 define("lane_last_pair_view", """select scenario_id, seq, vehicle_id, cast(max_by(rank, pos) as int) as rank,
   cast(max_by(wait, pos) as int) as wait from sides group by scenario_id, seq, vehicle_id""", "sides")
 cte("unknown", "select scenario_id, bool_or(m = 'unknown') as any_unknown from m group by scenario_id", "m")
-cte("lc", """select scenario_id, count(*) as c, string_agg('Potential conflict: Vehicle ' || loser_id || ' must yield to Vehicle ' || winner_id,
+cte("lc", """select scenario_id, count(*) as c, string_agg(vehicle1_id || '-' || vehicle2_id, ',' order by seq1, seq2) as pairs, string_agg('Potential conflict: Vehicle ' || loser_id || ' must yield to Vehicle ' || winner_id,
   '; ' order by seq1, seq2) as decisions from lr group by scenario_id""", "lr")
-define("lane_decisions", """select l.scenario_id, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts, u.any_unknown,
+cte("whole", """select l.scenario_id, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts, u.any_unknown,
+  case when c.c > 0 then 'intersection' else '' end as places_of_conflicts, coalesce(c.pairs, '') as conflict_vehicles,
   coalesce(c.decisions, '') as decisions, coalesce(p.priority_order, '') as priority_order, coalesce(p.waiting_times, '') as waiting_times
   from labels l join unknown u using (scenario_id) left join lc c using (scenario_id)
   left join (select scenario_id, string_agg(vehicle_id || ':' || rank, ',' order by vehicle_id) as priority_order,
     string_agg(vehicle_id || ':' || wait, ',' order by vehicle_id) as waiting_times from pw group by scenario_id) p using (scenario_id)""",
-       "labels", "unknown", "lc", "pw")
-define("lane_override", """select l.scenario_id, case when u.any_unknown then g.given_label else l.is_conflict end as is_conflict,
-  cast(coalesce(c.c, 0) as int) as number_of_conflicts, u.any_unknown
-  from labels l join unknown u using (scenario_id) join given g using (scenario_id) left join lc c using (scenario_id)""",
-       "labels", "unknown", "lc", "given")
-define("lane_fallback", """select sc.scenario_id, g.given_label as is_conflict,
-  case when g.given_label = 'yes' then 1 else 0 end as number_of_conflicts,
-  case when g.given_label = 'yes' then 'Potential conflict: Vehicle V1002 must yield to Vehicle V1001' else '' end as decisions
-  from sc join given g using (scenario_id)""", "sc", "given")
-define("lane_batch_score", """, dup as (select scenario_id from m group by scenario_id, direction || destination having count(*) > 1)
-  select l.scenario_id, case when e.scenario_id is not null then 'duplicate vehicle_id' end as error,
-  case when e.scenario_id is null then l.is_conflict end as is_conflict,
-  case when e.scenario_id is null then cast(coalesce(c.c, 0) as int) end as number_of_conflicts
-  from labels l left join (select distinct scenario_id from dup) e using (scenario_id) left join lc c using (scenario_id)""",
-       "labels", "lc")
+    "labels", "unknown", "lc", "pw")
+define("lane_decisions", "select * from whole", "whole")
+define("lane_override", """select w.* replace (case when any_unknown then given_label else is_conflict end as is_conflict)
+  from whole w join given using (scenario_id)""", "whole", "given")
+
+
+def fallback_sql(first: str, second: str) -> str:
+    """The fallback's columns for a scenario of ``n`` vehicles with label ``given_label``."""
+    pair = "given_label = 'yes' and n > 1"
+    return f"""given_label as is_conflict, case when given_label = 'yes' then 1 else 0 end as number_of_conflicts,
+  case when {pair} then {first} || '-' || {second} else '' end as conflict_vehicles,
+  case when {pair} then 'Potential conflict: Vehicle ' || {second} || ' must yield to Vehicle ' || {first} else '' end as decisions,
+  '' as priority_order, '' as waiting_times"""
+
+
+FALLBACK = fallback_sql("'V1001'", "'V1002'")
+define("lane_fallback", f"select scenario_id, {FALLBACK} from sc join given using (scenario_id)", "sc", "given")
+# vehicles under ids that repeat: pairs keep their places, names change
+cte("renamed", "select * replace (direction || destination as vehicle_id) from m", "m")
+cte("rr", """select lr.* replace (a.vehicle_id as vehicle1_id, b.vehicle_id as vehicle2_id,
+    case when winner_seq = seq1 then a.vehicle_id else b.vehicle_id end as winner_id,
+    case when winner_seq = seq1 then b.vehicle_id else a.vehicle_id end as loser_id)
+  from lr join renamed a on a.scenario_id = lr.scenario_id and a.seq = seq1 join renamed b on b.scenario_id = lr.scenario_id and b.seq = seq2""",
+    "lr", "renamed")
+cte("rw", """select scenario_id, id, min_by(case when goes then 1 else 2 end, pos) as rank, max(case when goes then 0 else wait end) as wait
+  from (select distinct scenario_id, unnest([vehicle1_id, vehicle2_id]) as id, seq1 * 100 + seq2 as pos, wait, winner_id, loser_id from rr)
+    cross join lateral (select winner_id = id and loser_id <> id as goes) group by 1, 2""", "rr")
+define("decisions_with_repeated_ids", """select sc.scenario_id, coalesce(l.o, '') as lane_order, coalesce(l.w, '') as lane_waits, n.o as near_order, n.w as near_waits
+  from sc left join (select scenario_id, string_agg(id || ':' || rank, ',' order by id) as o, string_agg(id || ':' || wait, ',' order by id) as w
+    from rw group by 1) l using (scenario_id)
+  join (select scenario_id, string_agg(vehicle_id || ':' || rank, ',' order by vehicle_id) as o,
+      string_agg(vehicle_id || ':' || coalesce(cast(wait as varchar), 'None'), ',' order by vehicle_id) as w
+    from (select scenario_id, r.vehicle_id, arg_max(rank, seq) as rank, arg_max(struct_pack(w := nr.wait), seq).w as wait
+      from nr join renamed r using (scenario_id, seq) group by 1, 2) group by 1) n using (scenario_id)""", "sc", "rw", "nr", "renamed")
+cte("flawed", """select *, case when scenario_id % 10 = 0 and seq = 1 then 'invalid direction' end as why from renamed""", "renamed")
+cte("status", """select scenario_id, coalesce(min(why), case when max(k) > 1 then 'duplicate vehicle_id' when sum(k) < 2 then 'too few vehicles'
+    when sum(k) > 20 then 'too many vehicles' end) as error
+  from (select scenario_id, vehicle_id, count(*) as k, min(why) as why from flawed group by 1, 2) group by 1""", "flawed")
+cte("fine", """select w.* replace (coalesce(c.pairs, '') as conflict_vehicles, coalesce(c.told, '') as decisions, coalesce(o.o, '') as priority_order,
+    coalesce(o.w, '') as waiting_times)
+  from whole w left join (select scenario_id, string_agg(vehicle1_id || '-' || vehicle2_id, ',' order by seq1, seq2) as pairs,
+    string_agg('Potential conflict: Vehicle ' || loser_id || ' must yield to Vehicle ' || winner_id, '; ' order by seq1, seq2) as told from rr group by 1) c
+    using (scenario_id)
+  left join (select scenario_id, string_agg(id || ':' || rank, ',' order by id) as o, string_agg(id || ':' || wait, ',' order by id) as w
+    from rw group by 1) o using (scenario_id)""", "whole", "rr", "rw")
+cte("spare", f"""select scenario_id, {fallback_sql("first_id", "second_id")} from (select scenario_id, count(*) as n,
+    max(case when seq = 1 then vehicle_id end) as first_id, max(case when seq = 2 then vehicle_id end) as second_id from flawed group by 1)
+  join given using (scenario_id)""", "flawed", "given")
+define("lane_batch_score", "select s.scenario_id, s.error, " + ", ".join(
+    f"case when s.error is null then f.{c} else g.{c} end as {c}"
+    for c in ("is_conflict", "number_of_conflicts", "conflict_vehicles", "decisions", "priority_order", "waiting_times")
+) + """, case when s.error is null then f.any_unknown end as any_unknown, case when s.error is null then f.places_of_conflicts end as places_of_conflicts
+  from status s join fine f using (scenario_id) left join spare g using (scenario_id)""", "status", "fine", "spare")
 define("lane_rule_distribution", "select rule_used, count(*) as n from lr group by rule_used", "lr")
 define("rule_explanations", """select scenario_id, seq1, seq2, rule_used as priority_rule, winner_id as priority_vehicle, loser_id as yield_vehicle, wait,
   'Vehicle ' || winner_id || ' goes before Vehicle ' || loser_id || ': it ' || case rule_used
@@ -199,11 +238,13 @@ define("near_pairs", "select * from np", "np")
 for name in ("near_priorities", "near_priorities_any_size"):
     define(name, "select scenario_id, seq, vehicle_id, rank, wait, grp = 2 as only_loses from nr", "nr")
 define("near_decisions", """select l.scenario_id, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts,
-  coalesce(t.decisions, '') as decisions, coalesce(c.pairs, '') as pairs, t.priority_order
+  case when c.c > 0 then 'intersection' else '' end as places_of_conflicts,
+  coalesce(t.decisions, '') as decisions, coalesce(c.pairs, '') as conflict_vehicles, t.priority_order, t.waiting_times
   from nlabels l left join (select scenario_id, count(*) as c, string_agg(vehicle1_id || '-' || vehicle2_id, ',' order by seq1, seq2) as pairs
     from np group by 1) c using (scenario_id)
   join (select scenario_id, string_agg('Potential conflict: Vehicle ' || vehicle_id || ' must yield to Vehicle ' || winner_id, '; '
       order by loss_at) filter (where loss_at is not null) as decisions,
+    string_agg(vehicle_id || ':' || coalesce(cast(wait as varchar), 'None'), ',' order by vehicle_id) as waiting_times,
     string_agg(vehicle_id || ':' || rank, ',' order by vehicle_id) as priority_order from nr group by scenario_id) t using (scenario_id)""",
        "nlabels", "np", "nr")
 define("generator_labels", "select scenario_id, seq, vehicle_id, rank, wait from gl", "gl")
@@ -528,7 +569,7 @@ def single_sql(alts: str) -> str:
     return f"""select a.scenario_id, a.seq, a.feature, a.delta, l.is_conflict as base_pred, l.n as n_vehicles,
   case when coalesce(c.c, 0) - coalesce(o.c, 0) > 0 or coalesce(bool_or({cross('a.d', 'a.m2', 'b.d', 'b.m')} and {close('a.t2', 'b.t')}), false)
     then 'yes' else 'no' end as perturbed_pred
-  from ({alts}) a join labels l using (scenario_id) join m b on b.scenario_id = a.scenario_id and b.seq <> a.seq
+  from ({alts}) a join labels l using (scenario_id) left join m b on b.scenario_id = a.scenario_id and b.seq <> a.seq
   left join (select scenario_id, count(*) as c from lp group by 1) c on c.scenario_id = a.scenario_id
   left join (select scenario_id, seq, count(*) as c from (select scenario_id, seq1 as seq from lp union all select scenario_id, seq2 from lp) group by 1, 2) o
     on o.scenario_id = a.scenario_id and o.seq = a.seq
@@ -542,7 +583,7 @@ cte("pdest", single_sql("select * from alt_dest"), "alt_dest", "labels", "lp", "
 def order_sql(shuffles: int, always_reverse: bool) -> str:
     names = ", ".join(f"('shuffle{k}')" for k in range(1, shuffles + 1))
     return f"""select l.scenario_id, 'vehicle_order' as feature, 'reverse' as delta, l.is_conflict as base_pred, l.is_conflict as perturbed_pred,
-  false as changed, l.n as n_vehicles from labels l
+  false as changed, l.n as n_vehicles from labels l{'' if always_reverse else ' where l.n > 1'}
   union all
   select l.scenario_id, 'vehicle_order', x.delta, l.is_conflict, l.is_conflict, false, l.n from labels l join (
     select scenario_id, delta from (select scenario_id, delta, seq, row_number() over (partition by scenario_id, delta
@@ -557,7 +598,7 @@ SINGLE = "select scenario_id, feature, delta, base_pred, perturbed_pred, base_pr
 define("perturb_lane", SINGLE + "pl", "pl")
 define("perturb_destination", SINGLE + "pdest", "pdest")
 define("perturb_order", "select * from po", "po")
-define("perturb_speed_any_predictor", f"""select l.scenario_id, 'distance' as feature, cast(k.delta as varchar) as delta, l.is_conflict as base_pred,
+define("perturb_distance_any_predictor", f"""select l.scenario_id, 'distance' as feature, cast(k.delta as varchar) as delta, l.is_conflict as base_pred,
   case when coalesce(h.c, 0) >= 2 then 'yes' else 'no' end as perturbed_pred, (l.is_conflict = 'yes') <> (coalesce(h.c, 0) >= 2) as changed, sc.n as n_vehicles
   from nlabels l join sc using (scenario_id) cross join (values {', '.join(f'({x})' for x in C.DISTANCE_DELTAS)}) k(delta)
   left join (select scenario_id, delta, count(distinct direction) as c from m, (values {', '.join(f'({x})' for x in C.DISTANCE_DELTAS)}) x(delta)

@@ -30,7 +30,17 @@ def query(f):
 def _map_text(m: str):
     """A map as text, entries by key."""
     return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(
-        e["key"], F.lit(":"), e["value"].cast("string"))), ",")
+        e["key"], F.lit(":"), F.coalesce(e["value"].cast("string"), F.lit("None")))), ",")
+
+
+def _texts(made: DataFrame) -> DataFrame:
+    """Whole decisions with lists and maps as text."""
+    pair = lambda p: F.concat(p["vehicle1_id"], F.lit("-"), p["vehicle2_id"])
+    told = {
+        "places_of_conflicts": lambda c: F.array_join(c, ","), "conflict_vehicles": lambda c: F.array_join(F.transform(c, pair), ","),
+        "decisions": lambda c: F.array_join(c, "; "), "priority_order": _map_text, "waiting_times": _map_text,
+    }
+    return made.select(*[told[c](c).alias(c) if c in told else F.col(c) for c in made.columns])
 
 
 # --- lane rule -----------------------------------------------------------------
@@ -58,11 +68,7 @@ def lane_pairs_any_size(spark, d):
 
 @query
 def lane_decisions(spark, d):
-    return lane.decisions(A.scenarios(spark, d)).select(
-        "scenario_id", "is_conflict", "number_of_conflicts", "any_unknown",
-        F.array_join("decisions", "; ").alias("decisions"),
-        _map_text("priority_order").alias("priority_order"), _map_text("waiting_times").alias("waiting_times"),
-    )
+    return _texts(lane.decisions(A.scenarios(spark, d)))
 
 
 @query
@@ -73,23 +79,36 @@ def lane_last_pair_view(spark, d):
 @query
 def lane_override(spark, d):
     given = A.scenarios(spark, d).join(A.order_labels(spark, d), "scenario_id")
-    return lane.decisions(given, "given_label").select("scenario_id", "is_conflict", "number_of_conflicts", "any_unknown")
+    return _texts(lane.decisions(given, "given_label")).drop("given_label")
 
 
 @query
 def lane_fallback(spark, d):
     given = A.scenarios(spark, d).join(A.order_labels(spark, d), "scenario_id")
-    return lane.fallback_decisions(given, "given_label").select(
-        "scenario_id", "is_conflict", "number_of_conflicts", F.array_join("decisions", "; ").alias("decisions")
-    )
+    return _texts(lane.fallback_decisions(given, "given_label"))
 
 
 @query
 def lane_batch_score(spark, d):
-    rows = A.vehicles(spark, d)
-    # a repeated id makes a scenario unusable: lines of one part share an id here
-    scored = lane.score(rows.withColumn("vehicle_id", F.concat("direction", "destination")))
-    return scored.select("scenario_id", "error", "is_conflict", "number_of_conflicts")
+    """Repeated ids, one-vehicle scenarios and speeds out of range are refused and take the fallback by order status."""
+    return _texts(lane.score(_flawed(spark, d), A.order_labels(spark, d)))
+
+
+def _flawed(spark, d) -> DataFrame:
+    """Vehicle rows whose ids repeat within a scenario, some without a direction."""
+    bad = (F.col("scenario_id") % 10 == 0) & (F.col("seq") == 1)
+    return A.vehicles(spark, d).withColumns({
+        "vehicle_id": F.concat("direction", "destination"), "direction": F.when(~bad, F.col("direction")),
+    })
+
+
+@query
+def decisions_with_repeated_ids(spark, d):
+    """Both rules on scenarios whose ids repeat: vehicles with one id share the entry of the decision's maps."""
+    rows = lane.packed(A.vehicles(spark, d).withColumn("vehicle_id", F.concat("direction", "destination")))
+    by_lane = _texts(lane.decisions(rows)).select("scenario_id", F.col("priority_order").alias("lane_order"), F.col("waiting_times").alias("lane_waits"))
+    by_near = _texts(near.decisions(rows)).select("scenario_id", F.col("priority_order").alias("near_order"), F.col("waiting_times").alias("near_waits"))
+    return by_lane.join(by_near, "scenario_id")
 
 
 @query
@@ -122,11 +141,7 @@ def near_priorities_any_size(spark, d):
 
 @query
 def near_decisions(spark, d):
-    return near.decisions(A.scenarios(spark, d)).select(
-        "scenario_id", "is_conflict", "number_of_conflicts", F.array_join("decisions", "; ").alias("decisions"),
-        F.array_join(F.transform("conflict_vehicles", lambda p: F.concat(p["vehicle1_id"], F.lit("-"), p["vehicle2_id"])), ",").alias("pairs"),
-        _map_text("priority_order").alias("priority_order"),
-    )
+    return _texts(near.decisions(A.scenarios(spark, d)))
 
 
 @query
@@ -605,7 +620,7 @@ def perturb_order(spark, d):
 
 
 @query
-def perturb_speed_any_predictor(spark, d):
+def perturb_distance_any_predictor(spark, d):
     """The near rule as the predictor, to show the general form."""
     rule = lambda s: near.with_label(s, "prediction")
     return perturb.records(A.scenarios(spark, d), "distance", rule)
@@ -720,7 +735,7 @@ def report_tables(spark, d):
 
 @query
 def stream_hourly_metrics(spark, d):
-    path = stream.run_to_table(stream.hourly_counters(stream.event_stream(spark, d)), "hourly", "update")
+    path = stream.run_to_table(stream.hourly_counters(stream.event_stream(spark, d)), new_table_path(spark, "hourly"), "update")
     out = stream.newest_of_batches(spark, path, ["hour", "conflict_result"])
     return out.select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), "conflict_result", "n", "bad_json",
                       F.round("sum_ms", 2).alias("sum_ms"), F.round("max_ms", 2).alias("max_ms"))
@@ -728,20 +743,21 @@ def stream_hourly_metrics(spark, d):
 
 @query
 def stream_trigger(spark, d):
-    out = stream.triggers(stream.event_stream(spark, d), ["user_id"], ["ts", "event_id"], C.WINDOW_SIZE)
+    path = new_table_path(spark, "triggers")
+    out = stream.triggers(stream.event_stream(spark, d), path, ["user_id"], ["ts", "event_id"], C.WINDOW_SIZE)
     return out.drop("triggers")
 
 
 @query
 def stream_dedup(spark, d):
     twice = stream.event_stream(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    path = stream.run_to_table(stream.deduplicated(twice), "dedup", "append")
+    path = stream.run_to_table(stream.deduplicated(twice), new_table_path(spark, "dedup"), "append")
     return spark.read.parquet(path).select("event_id", "user_id", "predicted")
 
 
 @query
 def stream_routed(spark, d):
-    path = stream.run_to_table(stream.routed(stream.event_stream(spark, d), "event_id", 0.29), "routed", "append")
+    path = stream.run_to_table(stream.routed(stream.event_stream(spark, d), "event_id", 0.29), new_table_path(spark, "routed"), "append")
     return spark.read.parquet(path).groupBy("routed_to", "predicted").agg(F.count("*").alias("n"))
 
 
@@ -857,7 +873,7 @@ def stream_rule_labels(spark, d):
     given = A.scenarios(spark, d).join(A.order_labels(spark, d), "scenario_id")
     given.select("scenario_id", "vehicles", F.struct(F.col("given_label").alias("is_conflict")).alias("prediction")).write.parquet(path)
     incoming = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    done = stream.run_to_table(stream.labelled(incoming), "labelled", "append")
+    done = stream.run_to_table(stream.labelled(incoming), new_table_path(spark, "labelled"), "append")
     return spark.read.parquet(done).select("scenario_id", "ground_truth", "rule_agreement")
 
 

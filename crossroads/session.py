@@ -44,8 +44,3 @@ def shared_dir(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def table_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that is stable within this application."""
-    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}"

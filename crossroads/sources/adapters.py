@@ -1,7 +1,7 @@
 """The junction tables, derived from the star-schema tables of the test data.
 
-A scenario is an order, a vehicle one of its first eight lines. Plans are lazy, and a
-scenario table costs one exchange: the rank filter runs before it, packing follows in place.
+A scenario is an order, a vehicle one of its lines. Plans are lazy, and a scenario table
+costs one exchange: lines are numbered within their order and packed in place.
 """
 
 from __future__ import annotations
@@ -9,14 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..functions import scalar
 from ..operators import lane, near
 from ..operators import scenarios as S
 
 # fixed values of the adapter
-VEHICLES_PER_ORDER = 8
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-LANE_LETTERS = ["FHX", "EDC", "HBX", "GEF", "BDX", "AGH", "DFX", "BCA"]
 VARIANTS = [("A", 11, 1500), ("B", 29, 300)]  # variant, wrong when id % m = 0, base latency
 
 
@@ -24,19 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _letter(lane_no: Column, place: Column) -> Column:
-    letters = F.element_at(F.array(*map(F.lit, LANE_LETTERS)), lane_no)
-    return F.substring(letters, place, F.lit(1))
+def _destination(lane_no: Column, place: Column) -> Column:
+    """The lane's destination at a place (from 0); X, which no lane reaches, beyond the last one."""
+    lanes = {n: names for lanes in C.LAYOUT_EIGHT_LANE.values() for n, names in lanes.items()}
+    by_lane = F.array(*[F.array(*map(F.lit, lanes[n])) for n in sorted(lanes)])
+    return F.coalesce(F.get(F.element_at(by_lane, lane_no), place), F.lit("X"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", *LINE_ORDER)
-        .withColumn("seq", nth)
-        .filter(F.col("seq") <= VEHICLES_PER_ORDER)
-    )
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER).withColumn("seq", nth)
 
 
 def _as_vehicles(lines: DataFrame) -> DataFrame:
@@ -53,17 +49,19 @@ def _as_vehicles(lines: DataFrame) -> DataFrame:
         F.when(stopped, 0.0).otherwise(10.0 + (cents % 8001) / 100.0).alias("speed"),
         (10.0 + (F.col("l_quantity") - 1) * 10).alias("distance_to_intersection"),
         F.element_at(directions, (part % 4 + 1).cast("int")).alias("direction"),
-        _letter(lane_no, F.when(number == 7, 3).otherwise(1 + number % 2)).alias("destination"),
+        _destination(lane_no, F.when(number == 7, 2).otherwise(number % 2)).alias("destination"),
     )
 
 
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(scenario_id, vehicles): orders with 2 to 8 vehicles, packed."""
+    """(scenario_id, vehicles): every order, packed; also those with a single line, which are in no conflict.
+
+    An order has few lines (17 at most in the test data) and its lines meet in one task anyway to be numbered.
+    """
     rows = lane.prepared(raw_rows(spark, sf_dir))
-    packed = rows.groupBy("scenario_id").agg(
+    return rows.groupBy("scenario_id").agg(
         F.array_sort(F.collect_list(F.struct(*S.packed_fields(rows)))).alias("vehicles")
     )
-    return packed.filter(F.size("vehicles") >= 2)
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +70,7 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle rows of all orders, also those with a single line."""
+    """Vehicle rows of all orders."""
     return _as_vehicles(_lines(spark, sf_dir))
 
 

@@ -46,8 +46,9 @@ def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").json(path)
 
 
-def append_trigger(triggers: DataFrame, path: str) -> None:
-    triggers.withColumn("evaluated_at", F.current_timestamp()).write.mode("append").json(path)
+def append_trigger(triggers: DataFrame, path: str, batch: int) -> None:
+    """One evaluation's records, under its number: written again it replaces itself."""
+    triggers.withColumn("evaluated_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def report_table(**tables: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Structured Streaming over prediction events: the batch operators, fed by increments.
 
-Every query ends in a table in the shared folder. Batches are written under their batch
-number and replace themselves when repeated, so a restart or a lost executor changes nothing.
+Every query ends in a table at a path the caller names, with its state beside it: started again
+with the same path it goes on where it stopped. Batches are written under their batch number and
+replace themselves when repeated, so a restart or a lost executor changes nothing.
 """
 
 from __future__ import annotations
@@ -11,52 +12,58 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar
 from ..operators import lane, monitor, windows
-from ..session import new_table_path
-from ..sources import adapters
+from ..sources import adapters, writers
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The events table as a file stream, as prediction events with an event-time column."""
+    """The events table, one file or a folder of part files, as a stream of prediction events."""
     source = f"{sf_dir}/events.parquet"
     fields = spark.read.parquet(source).schema
-    raw = (
-        spark.readStream.schema(fields).option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files).parquet(sf_dir)
-    )
+    raw = spark.readStream.schema(fields).option("maxFilesPerTrigger", max_files).parquet(source)
     return adapters.as_prediction_events(raw).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str, each=None) -> str:
-    """Run all available input through the query into a table; returns its path.
+def _run(stream: DataFrame, path: str, store, mode: str = "append") -> None:
+    query = (
+        stream.writeStream.outputMode(mode).foreachBatch(store)
+        .option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def run_to_table(stream: DataFrame, path: str, mode: str, each=None) -> str:
+    """Run all available input through the query into the table at ``path``; returns the path.
 
     ``each(batch, batch_id)`` turns a micro-batch into the rows to store.
     """
-    spark = stream.sparkSession
-    path = new_table_path(spark, name)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = each(batch, batch_id) if each else batch
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    query = (
-        stream.writeStream.outputMode(mode).foreachBatch(store)
-        .option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    _run(stream, path, store, mode)
     return path
 
 
-def deduplicated(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """One row per event id within the watermark."""
+def deduplicated(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """One row per event id. Files may come in any order of time: without ``delay`` every id is remembered.
+
+    A ``delay`` bounds the state; ids are then told apart only among events closer than that.
+    """
+    if delay is None:
+        return stream.dropDuplicates(["event_id"])
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def hourly_counters(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Predictions, invalid replies and latency per hour and result."""
+def hourly_counters(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """Predictions, invalid replies and latency per hour and result.
+
+    The state has two rows per hour. ``delay`` drops hours from it, and rows that come later than that.
+    """
     result = F.when(F.col("predicted") == "yes", "conflict").otherwise("no_conflict")
+    timed = stream if delay is None else stream.withWatermark("ts", delay)
     return (
-        stream.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 hour").alias("w"), result.alias("conflict_result"))
+        timed.groupBy(F.window("ts", "1 hour").alias("w"), result.alias("conflict_result"))
         .agg(
             F.count("*").alias("n"), F.count_if(~F.col("json_valid")).alias("bad_json"),
             F.sum("latency_ms").alias("sum_ms"), F.max("latency_ms").alias("max_ms"),
@@ -73,14 +80,21 @@ def newest_of_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFr
     return rows.groupBy(*keys).agg(last).select(*keys, "_v.*")
 
 
-def last_n_tables(stream: DataFrame, keys: list[str], order: list[str], n: int) -> str:
-    """Keeps the last ``n`` events of each key, batch by batch; returns the path of the newest version.
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies in, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def triggers(stream: DataFrame, path: str, keys: list[str], order: list[str], n: int) -> DataFrame:
+    """The retraining decision per key over its last ``n`` events, evaluated and recorded after every batch.
 
-    Each batch is cut to ``n`` rows per key before it meets the stored rows, so what is kept
-    is at most n rows per key, however uneven the keys are.
+    ``path``/audit has a record per batch and key, ``path``/version=k the events kept after batch k.
+    A batch is cut to ``n`` rows per key before it meets the stored rows, so what is kept is at most n
+    rows per key, however uneven the keys are. A version is removed when its second successor stands;
+    a repeated batch finds its predecessor still there. Returns the decisions after the last batch.
     """
     spark = stream.sparkSession
-    path = new_table_path(spark, "last-n")
     version = lambda batch_id: f"{path}/version={batch_id}"  # batch numbers have no gaps
 
     def keep(batch: DataFrame, batch_id: int) -> None:
@@ -89,19 +103,14 @@ def last_n_tables(stream: DataFrame, keys: list[str], order: list[str], n: int)
             kept = spark.read.parquet(version(batch_id - 1))
             rows = windows.last_n_per_key(kept.unionByName(rows), keys, order, n)
         rows.write.mode("overwrite").parquet(version(batch_id))
-
-    query = (
-        stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}-state")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return version(query.lastProgress["batchId"])
-
-
-def triggers(stream: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
-    """The retraining decision per key over its last ``n`` events, after all available input."""
-    path = last_n_tables(stream, keys, order, n)
-    return monitor.trigger(stream.sparkSession.read.parquet(path), keys)
+        writers.append_trigger(monitor.trigger(spark.read.parquet(version(batch_id)), keys), f"{path}/audit", batch_id)
+        if batch_id > 1:
+            _remove(spark, version(batch_id - 2))
+
+    _run(stream, path, keep)
+    audit = spark.read.parquet(f"{path}/audit")
+    last = audit.agg(F.max("batch").alias("batch"))  # one row
+    return audit.join(F.broadcast(last), "batch").drop("batch", "evaluated_at")
 
 
 def labelled(scored: DataFrame) -> DataFrame:

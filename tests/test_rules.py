@@ -156,3 +156,23 @@ def test_batch_scoring_keeps_failures_as_errors(spark, rows):
             (2, 2, 1, 50, 100, "north", "F"), (3, 1, 1, 50, 100, "north", "F")] + [(4, q, 1, 50, 100, "north", "F") for q in range(1, 30)]
     got = {r.scenario_id: (r.error, r.is_conflict) for r in lane.score(rows(data)).collect()}
     assert got == {1: (None, "yes"), 2: ("invalid direction", None), 3: ("too few vehicles", None), 4: ("too many vehicles", None)}
+
+
+def test_repeated_ids_share_an_entry_and_do_not_stop_the_job(spark):
+    """Two vehicles called V1: the last one counts in the near rule's maps, the first pair and longest wait in the lane rule's."""
+    data = [(1, 1, "V1", 1, 50.0, 60.0, "north", "F"), (1, 2, "V2", 3, 50.0, 60.0, "east", "B"), (1, 3, "V1", 5, 40.0, 60.0, "south", "D")]
+    df = spark.createDataFrame(data, "scenario_id long, seq int, vehicle_id string, lane int, speed double, distance_to_intersection double, direction string, destination string")
+    by_near = near.decisions(lane.packed(df)).collect()[0]
+    assert set(by_near.priority_order) == {"V1", "V2"} and by_near.priority_order["V1"] == 3
+    by_lane = lane.decisions(lane.packed(df)).collect()[0]
+    assert set(by_lane.priority_order) == {"V1", "V2"} and by_lane.number_of_conflicts == len(by_lane.decisions)
+    assert lane.score(df).collect()[0].error == "duplicate vehicle_id"
+
+
+def test_refused_scenarios_take_the_fallback(spark, rows):
+    data = [(1, 1, 1, 50, 100, "north", "F"), (1, 2, 3, 50, 100, "east", "B")] + [(2, q, 1, 50, 100, "north", "F") for q in range(1, 31)]
+    labels = spark.createDataFrame([(1, "no"), (2, "yes")], "scenario_id long, given_label string")
+    got = {r.scenario_id: r for r in lane.score(rows(data), labels).collect()}
+    assert (got[1].error, got[1].is_conflict) == (None, "yes")
+    assert (got[2].error, got[2].is_conflict, got[2].number_of_conflicts) == ("too many vehicles", "yes", 1)
+    assert [tuple(p) for p in got[2].conflict_vehicles] == [("V1001", "V1002")] and got[2].waiting_times == {}
