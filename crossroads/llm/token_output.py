@@ -11,7 +11,7 @@ offsets follow. A lookup reads one level after another (1.6 on average), one ent
 Shards are cut at quantiles of doc_id, so the ids before a shard are the sum over the shards before
 it: one number for each shard. Documents are encoded where they are read; only ids are shuffled.
 Words are encoded once for each worker's cache, since this vocabulary's pre-tokens never reach over
-white space. Files are renamed into place when whole, so repeated tasks agree.
+white space; words of plain letters and signs are put together from cached pieces. Files are renamed into place when whole, so repeated tasks agree.
 
 Defined cases: null and empty texts have the end id only; rows with one doc_id lie together, ordered
 by the hash of their text, and all come back for that key; null doc_ids come first and have an entry
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,35 +41,82 @@ from crossroads.session import new_table_path
 
 SHARD_BYTES = 16 << 20
 END_ID = 1
-CACHED = 200_000
+#: Entries in each of the two generations of a worker's caches.
+CACHED = 300_000
 _LEVEL = 0x9E3779B97F4A7C15
 _FINGERPRINT = np.uint64(0x5851F42D4C957F2D)
 
 
+#: Words of these characters are lower-cased and split here as the vocabulary's own rules do; all others are left to the library.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+class Generations(dict):
+    """A cache of two generations: when the newer one is full it becomes the older one."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        if len(self) >= CACHED:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class Encoder:
-    """Packed ids of whole texts through a cache of words; ``width`` bytes for an id."""
+    """Packed ids of whole texts through caches of words and pieces; ``width`` bytes for an id."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.cache: dict[bytes, bytes] = {}
-
-    def packed(self, texts: list[str | None]) -> list[bytes]:
-        words = [t.encode().split() if t else [] for t in texts]
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        new = list({w for ws in words for w in ws if w not in self.cache})
-        kind = f"<u{self.width}"
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.cache.update((w, np.array(x.ids, kind).tobytes()) for w, x in zip(part, found))
-        end = np.array([END_ID], kind).tobytes()
-        return [b"".join(map(self.cache.__getitem__, ws)) + end for ws in words]
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.model = self.whole.model
+        self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
+        self.specials = [x.content for x in self.whole.get_added_tokens_decoder().values()]
+        # Byte-level vocabularies write printable bytes as themselves and the others as characters from 256 on.
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        hidden = [b for b in range(256) if b not in printable]
+        self.letters = {b: chr(b) if b in printable else chr(256 + hidden.index(b)) for b in range(256)}
+        self.pieces = Generations(self._piece)
+        self.words = Generations(self._word)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return b"".join(i.to_bytes(self.width, "little") for i in ids)
+
+    def _piece(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return self._packed([t.id for t in self.model.tokenize(text)])
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+        return self._packed(self.whole.encode(text, add_special_tokens=False).ids)
+
+    def packed(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text: each different word of the slice is looked up once, ids are then laid out by its number."""
+        found = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+        coded = found.values.dictionary_encode()
+        parts = list(map(self.words.__getitem__, coded.dictionary.cast(pa.large_binary()).to_pylist()))
+        kind, of = f"<u{self.width}", coded.indices.to_numpy()
+        every = np.frombuffer(b"".join(parts), kind)
+        size = np.array([len(p) // self.width for p in parts], np.int64)
+        first = np.cumsum(size) - size
+        n = size[of]
+        upto = np.cumsum(n)
+        ids = every[np.repeat(first[of] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)].tobytes()
+        ends = np.r_[0, upto][found.offsets.to_numpy()] * self.width
+        end = END_ID.to_bytes(self.width, "little")
+        return [ids[i:j] + end for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -204,11 +253,11 @@ def write(docs: DataFrame, path: str, folder: str | None = None, shard_bytes: in
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=8 << 20):
                 ids = part.column("doc_id")
                 yield pa.RecordBatch.from_arrays([
                     pa.array(_shard_of(ids, bounds), pa.int32()), ids, part.column("h"),
-                    pa.array(encoder(path).packed(part.column("text").to_pylist()), pa.binary()),
+                    pa.array(encoder(path).packed(part.column("text")), pa.binary()),
                 ], ["shard", "doc_id", "h", "ids"])
 
     width = encoder(path).width

@@ -73,3 +73,16 @@ def test_bounds_send_nulls_first():
 @pytest.mark.parametrize("name", ["op10_token_output"])
 def test_query_reads_the_whole_table(spark, documents, name):
     assert QUERIES[name](spark, SF).count() == documents.count()
+
+
+def test_words_from_pieces_are_the_library_s_words(monkeypatch):
+    """Random words of plain and other characters, also with tiny caches."""
+    rng = random.Random(9)
+    signs = "abcXYZéÉñßÿÖ'.,;!?-_<>|@#0123456789stremvld" + "×÷ªµ¼İıﬁǅ" + "\u0301\u0308" + "漢😀\u00a0\u2003\x1c\x00\x7f"
+    texts = [" ".join("".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(30)) for _ in range(400)]
+    texts += ["it's IT'S we'LL '' 'sx ''s ,'s <|endoftext|> a<|startoftext|>b <|endof", "DON'T ÀÉÎ straße STRASSE", "", " ", "  a\n\n b\t\x0b\x0c\r"]
+    want = [[*x.ids, 1] for x in token_output.Encoder(PATH).whole.encode_batch(texts, add_special_tokens=False)]
+    for cached in (300_000, 5):
+        monkeypatch.setattr(token_output, "CACHED", cached)
+        got = [np.frombuffer(p, "<u2").tolist() for p in token_output.Encoder(PATH).packed(pa.array(texts))]
+        assert got == want
