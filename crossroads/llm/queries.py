@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from crossroads.llm import decontamination, lm_scoring, packing, pii, quality, simhash, substring_dedup, suffix_dedup, token_counts, token_output
 from crossroads.llm.frames import table
+from crossroads.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def _query(fn: Query) -> Query:
