@@ -43,6 +43,12 @@ def test_quality_has_no_python(documents):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_filters_on_measures_do_not_split_texts_again(documents):
+    for df in (quality.passing(documents), quality.measures(documents).filter("kept")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(coalesce(text") == 2  # words and lines, once each
+
+
 def test_benchmark_hits(spark, table, documents):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     more = [(1001, "tiny one"), (1002, None), (1003, "..."), (1004, "Solo"), (1005, items[0][1]), (None, "nameless words here"), (1004, "solo")]
