@@ -16,14 +16,13 @@ judged each for itself.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from crossroads.llm.frames import map_texts, stored
 
@@ -130,22 +129,22 @@ def _scan(docs: DataFrame, items: list, size: int, fields: list[StructField], co
     return map_texts(docs, run, fields, columns, keep)
 
 
-def _summary(n: int, spans: list, items: set[str]) -> tuple:
-    hit = sum(b - a for a, b in spans)
-    return n, hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0
+def _found(n: int, spans: list, items: set[str]) -> tuple:
+    return n, spans, sorted(items)
 
 
-_SUMMARY = [
-    StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()),
-    StructField("items_sha256", StringType()), StructField("contaminated", BooleanType()),
+_FOUND = [
+    StructField("n_words", LongType()),
+    StructField("spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))),
+    StructField("items", ArrayType(StringType())),
 ]
 
 
 def hits(
     docs: DataFrame, benchmark: DataFrame, size: int = 10, most_bytes: int = 8 << 20, keep: tuple[str, ...] = ("doc_id",),
-    fields: list[StructField] = _SUMMARY, finish=_summary,
+    fields: list[StructField] = _FOUND, finish=_found,
 ) -> DataFrame:
-    """The ``keep`` columns of each document with its words, hit words, hitting items and verdict.
+    """The ``keep`` columns of each document, its number of words, the word ranges that are hit (end exclusive) and the items found.
 
     The benchmark is measured first; it is searched whole if it has at most ``most_bytes`` of
     text, else in shares of about that size.

@@ -14,13 +14,12 @@ columns besides ``doc_id`` and ``text`` are not read by ``spans`` and are kept b
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from crossroads.llm.frames import map_texts
 
@@ -143,23 +142,13 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     return out
 
 
-def _joined(found: list[tuple]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b, *_ in found)
-
-
 def table(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts of the first four kinds, their digest, all spans and the least score among them."""
-
-    def run(part: pa.RecordBatch) -> dict:
-        found = [spans(t) for t in part.column("text").to_pylist()]
-        base = [[s for s in f if s[0] in KINDS[:BASE_KINDS]] for f in found]
-        return {f"n_{kind}": [sum(s[0] == kind for s in b) for b in base] for kind in KINDS[:BASE_KINDS]} | {
-            "base_sha256": [hashlib.sha256(_joined(b).encode()).hexdigest() for b in base],
-            "spans": [_joined(f) for f in found],
-        }
-
-    fields = [StructField(f"n_{kind}", LongType()) for kind in KINDS[:BASE_KINDS]]
-    return map_texts(docs, run, [*fields, StructField("base_sha256", StringType()), StructField("spans", StringType())])
+    """doc_id and the spans of each document with their scores, by kind as listed, then by start."""
+    span = StructType([
+        StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("score", DoubleType()),
+    ])
+    run = lambda part: {"spans": [spans(t) for t in part.column("text").to_pylist()]}
+    return map_texts(docs, run, [StructField("spans", ArrayType(span))])
 
 
 def mask(text: str | None) -> str | None:

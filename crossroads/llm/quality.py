@@ -77,7 +77,11 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``__q`` of all measures."""
+    """``docs`` with a struct column ``__q`` of all measures.
+
+    The partition number in it keeps the optimizer from copying the measures' expressions into a
+    filter on them, where a text would be split again for every one of its words.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     step = docs.withColumn("__w", _words(whole)).withColumn(
         "__l", F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -94,6 +98,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.filter("__w", lambda w: F.lower(w).isin(*dict.fromkeys(STOP_WORDS)))).cast("long").alias("n_stop_words"),
         F.size(F.filter("__l", lambda line: line.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long").alias("n_ellipsis_lines"),
         F.size(F.filter("__w", lambda w: w.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
+        F.spark_partition_id().alias("part"),
     ))
     return step.drop("__w", "__l", "__h")
 
@@ -121,17 +126,24 @@ def compiled(thresholds=THRESHOLDS, q: Column | None = None) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_ellipsis_lines", "n_letter_words",
+)
+
+
 def measures(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """doc_id, every measure, ``base_failed`` (too short or too repetitive) and ``kept``, a row for each document."""
     q = F.col("__q")
-    base_failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
     return measured(docs.select("doc_id", "text")).select(
-        "doc_id", "__q.*", base_failed.alias("base_failed"), (~base_failed & compiled(thresholds)).alias("kept")
+        "doc_id", *[q[name].alias(name) for name in MEASURES], _base_failed(q).alias("base_failed"),
+        (~_base_failed(q) & compiled(thresholds)).alias("kept"),
     )
 
 
+def _base_failed(q: Column) -> Column:
+    return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
+
+
 def passing(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """The documents that pass all rules, all their columns as they were."""
-    q = F.col("__q")
-    base_failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    return measured(docs).filter(~base_failed & compiled(thresholds)).select(*docs.columns)
+    return measured(docs).filter(~_base_failed(F.col("__q")) & compiled(thresholds)).select(*docs.columns)

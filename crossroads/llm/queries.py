@@ -28,7 +28,20 @@ def vocabulary_file(name: str) -> str:
 
 @_query
 def op5_personal_data(spark, sf_dir):
-    return pii.table(table(spark, sf_dir))
+    return span_digests(pii.table(table(spark, sf_dir)))
+
+
+def _of(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+def span_digests(found: DataFrame) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS[:pii.BASE_KINDS]))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", _of(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS[:pii.BASE_KINDS]],
+        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
+    )
 
 
 @_query
@@ -38,7 +51,15 @@ def op7_token_counts(spark, sf_dir):
 
 @_query
 def op8_benchmark_hits(spark, sf_dir):
-    return decontamination.hits(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return hit_digests(decontamination.hits(table(spark, sf_dir), table(spark, sf_dir, "benchmark")))
+
+
+def hit_digests(found: DataFrame) -> DataFrame:
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
 
 
 @_query

@@ -5,7 +5,7 @@ from tests.llm import plain
 from tests.llm.conftest import ODD, SF
 
 from crossroads.llm import decontamination, pii, quality, token_counts
-from crossroads.llm.queries import QUERIES, vocabulary_file
+from crossroads.llm.queries import QUERIES, hit_digests, span_digests, vocabulary_file
 
 
 def same(result, texts, expected):
@@ -26,7 +26,7 @@ def cases(documents):
 def test_against_loops(table, documents, name, expected):
     texts = cases(documents)
     docs = table(texts).repartition(3)
-    same(quality.measures(docs) if name == "quality" else pii.table(docs), texts, expected)
+    same(quality.measures(docs) if name == "quality" else span_digests(pii.table(docs)), texts, expected)
 
 
 def test_quality_keeps_prose_and_drops_junk(table):
@@ -55,13 +55,13 @@ def test_benchmark_hits(spark, table, documents):
     bench = spark.createDataFrame(items + more, "item_id long, text string")
     texts = cases(documents) + [(2 * 10**6, "A TINY, one! solo-act"), (2 * 10**6 + 1, "some nameless words here."), (2 * 10**6 + 2, f"x {items[3][1]} y {items[3][1]}")]
     expected = lambda t: plain.contamination(t, items + more)
-    same(decontamination.hits(table(texts), bench), texts, expected)
+    same(hit_digests(decontamination.hits(table(texts), bench)), texts, expected)
     some = texts[::3] + texts[-3:]
-    same(decontamination.hits(table(some), bench, most_bytes=9000), some, expected)
+    same(hit_digests(decontamination.hits(table(some), bench, most_bytes=9000)), some, expected)
     kept = decontamination.clean(table(texts), bench)
     assert kept.columns == table(texts).columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, t in texts if not expected(t)["contaminated"]}
-    assert decontamination.hits(table(some), bench.limit(0)).filter("contaminated or n_items > 0").count() == 0
+    assert hit_digests(decontamination.hits(table(some), bench.limit(0))).filter("contaminated or n_items > 0").count() == 0
 
 
 def test_pii_adds_checked_and_named_spans(table):
