@@ -26,7 +26,9 @@ def _between(lo: float, hi: float, u: Column, digits: int = 2) -> Column:
 
 def _rows(ids: DataFrame, seed: int, n: int | None, n_max: int) -> DataFrame:
     size = F.lit(n) if n else (2 + F.floor(uniform(seed, "size", F.col("scenario_id")) * (n_max - 1))).cast("int")
-    return ids.select("scenario_id").withColumn("seq", F.explode(F.sequence(F.lit(1), size)))
+    # ids often come from few files: spread them before the hashing that makes the values
+    spread = ids.select("scenario_id").repartition("scenario_id")
+    return spread.withColumn("seq", F.explode(F.sequence(F.lit(1), size)))
 
 
 def two_lane(ids: DataFrame, seed: int = 42, num_vehicles: int | None = None) -> DataFrame:
@@ -49,7 +51,9 @@ def two_lane(ids: DataFrame, seed: int = 42, num_vehicles: int | None = None) ->
 
 
 def eight_lane(ids: DataFrame, seed: int = 42, num_vehicles: int = 5, fixed_count: bool = True) -> DataFrame:
-    """Vehicle rows valid by the eight-lane layout; ids are unique within a scenario."""
+    """Vehicle rows valid by the eight-lane layout; ids are unique within a scenario, of at most the contract's size."""
+    if num_vehicles > C.MAX_VEHICLES:
+        raise ValueError(f"at most {C.MAX_VEHICLES} vehicles")
     at = (F.col("scenario_id"), F.col("seq"))
     rows = _rows(ids, seed, num_vehicles if fixed_count else None, num_vehicles)
     rows = rows.withColumn("direction", pick(list(C.LAYOUT_EIGHT_LANE), uniform(seed, "a", *at)))
@@ -78,8 +82,7 @@ def ids(spark, n: int) -> DataFrame:
 
 def limit_rows(vehicles: DataFrame, n: int) -> DataFrame:
     """The first ``n`` vehicle rows by (scenario, place): the last scenario may be cut."""
-    placed = prefix.numbered(vehicles, [], ["scenario_id", "seq"], "_idx")
-    return placed.filter(F.col("_idx") < n).drop("_idx")
+    return vehicles.orderBy("scenario_id", "seq").limit(n)
 
 
 def class_balanced(labelled: DataFrame, total: int, label: str = "is_conflict", id_col: str = "scenario_id") -> DataFrame:
