@@ -11,6 +11,7 @@ from .. import constants as C
 from .. import schema
 
 ORACLE: dict[str, str] = {}
+ORACLE_BODY: dict[str, str] = {}
 
 
 def define(name: str, body: str, *ctes: str) -> None:
@@ -27,6 +28,7 @@ def define(name: str, body: str, *ctes: str) -> None:
 
     for key in ctes:
         need(key)
+    ORACLE_BODY[name] = body
     ORACLE[name] = ("with " + ",\n".join(chosen) + "\n" if chosen else "") + body
 
 
@@ -373,6 +375,11 @@ define("semi_join_vehicles", """select scenario_id, seq, vehicle_id from raw_row
   (select scenario_id from labels where is_conflict = 'yes')""", "labels")
 cte("content", """select scenario_id, string_agg(concat_ws(',', vehicle_id, lane, speed, distance_to_intersection, direction, destination), ';' order by seq) as key
   from m group by 1""", "m")
+define("first_scenarios", "select scenario_id, is_conflict from labels order by scenario_id limit 50", "labels")
+define("data_gates", f"""select 'balance' as gate, minority_ratio as measure, balanced as passed from ({ORACLE_BODY['class_balance']})
+  union all select 'leakage', n_leaked::double, n_leaked = 0 from ({ORACLE_BODY['leakage_overlap']})
+  union all select 'validation', (count(*) filter (where not passed))::double, count(*) filter (where not passed) = 0
+  from ({ORACLE_BODY['validation_report']})""", "labels", "keys", "observed")
 define("balanced_supplement", """, allc as (select * from labels join content using (scenario_id)),
   eight as (select * from allc where n = 8),
   used as (select * from allc order by md5('7|' || scenario_id), scenario_id limit 50),
@@ -418,6 +425,8 @@ define("analysis_text", """select l.scenario_id, case when l.is_conflict = 'no'
        "labels", "lr", "pw")
 QUESTION = C.CHAT_QUESTION.replace("'", "''")
 define("chat_records", f"select l.scenario_id, '{QUESTION}' || t.text as question, l.is_conflict as answer from labels l join texts t using (scenario_id)", "labels", "texts")
+define("chat_lines", f"select '{QUESTION}' || t.text as question, l.is_conflict as answer from labels l join texts t using (scenario_id)", "labels", "texts")
+define("zero_shot_prompts", f"select scenario_id, 2 as n_messages, '{QUESTION}' || text as question from texts", "texts")
 define("decision_chat_records", """select l.scenario_id, 'V1001' as first_vehicle, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts,
   split_part(c.decisions, '; ', 1) as first_decision from labels l left join lc c using (scenario_id)""", "labels", "lc")
 define("raw_row_chat_records", """select r.scenario_id, r.vehicle_id, f.wait as first_wait, r.number_of_conflicts from raw_set r
@@ -666,8 +675,10 @@ cte("ksp", """select *, case when x < 0.2 then 1 else least(1, greatest(0, (sele
   from (select *, sqrt(n_ref::double * n_prod / (n_ref + n_prod)) * d as x from ks)""", "ks")
 define("ks_statistic", """select col as "column", cast(n_ref as bigint) as n_ref, cast(n_prod as bigint) as n_prod, round(d, 6) as statistic,
   round(p, 4) as p_value, p < 0.05 as drifted from ksp""", "ksp")
-define("drift_flags", """select count(*) as n_tested, count(*) filter (where p < 0.05) as n_drifted,
-  round(count(*) filter (where p < 0.05) / count(*)::double, 4) as drift_share, count(*) filter (where p < 0.05) > 0 as drift_detected, 'any' as rule from ksp""", "ksp")
+define("drift_flags", """, f as (select count(*) as n_tested, count(*) filter (where p < 0.05) as n_drifted,
+  count(*) filter (where p < 0.05) / count(*)::double as part from ksp)
+  select n_tested, n_drifted, round(part, 4) as drift_share, n_drifted > 0 as drift_detected, 'any' as rule from f
+  union all select n_tested, n_drifted, round(part, 4), part > 0.2::double, 'share' from f""", "ksp")
 
 # --- monitoring ---------------------------------------------------------------------------------
 

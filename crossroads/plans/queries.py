@@ -300,6 +300,24 @@ def sample_overall(spark, d):
     return sampling.overall(_labels_only(spark, d), 50)
 
 
+@query
+def first_scenarios(spark, d):
+    return sampling.first_n(_labels_only(spark, d), 50)
+
+
+@query
+def data_gates(spark, d):
+    """What the balance, leakage and validation gates look at, and whether they let the data through."""
+    evaluation, training = _by_status(spark, d)
+    balance = sampling.class_counts(_labels_only(spark, d)).select(
+        F.lit("balance").alias("gate"), "minority_ratio", F.col("balanced").alias("passed"))
+    leakage = sampling.overlap(evaluation, "key", training).select(
+        F.lit("leakage").alias("gate"), F.col("n_leaked").cast("double"), (F.col("n_leaked") == 0).alias("passed"))
+    failed = validation.report(A.observed(spark, d)).agg(F.count_if(~F.col("passed")).alias("n"))
+    checks = failed.select(F.lit("validation").alias("gate"), F.col("n").cast("double"), (F.col("n") == 0).alias("passed"))
+    return balance.toDF("gate", "measure", "passed").union(leakage).union(checks)
+
+
 @query
 def sample_per_group(spark, d):
     rows = A.scenarios(spark, d).select("scenario_id", F.size("vehicles").alias("n_vehicles"))
@@ -406,6 +424,21 @@ def chat_records(spark, d):
     return made.select("scenario_id", say(1).alias("question"), say(2).alias("answer"))
 
 
+@query
+def chat_lines(spark, d):
+    """Chat records written as lines of JSON and read back."""
+    path = new_table_path(spark, "chat-lines")
+    writers.write_chat_lines(training_sets.label_records(_labels(spark, d), "is_conflict"), path)
+    said = lambda i: F.get_json_object("value", f"$.messages[{i}].content")
+    return spark.read.text(path).select(said(1).alias("question"), said(2).alias("answer"))
+
+
+@query
+def zero_shot_prompts(spark, d):
+    made = training_sets.prompts(A.scenarios(spark, d), "zero-shot")
+    return made.select("scenario_id", F.size("messages").alias("n_messages"), F.col("messages")[1]["content"].alias("question"))
+
+
 @query
 def decision_chat_records(spark, d):
     made = training_sets.decision_records(A.scenarios(spark, d), "Resolve the scenario.")
@@ -694,7 +727,8 @@ def ks_statistic(spark, d):
 @query
 def drift_flags(spark, d):
     tests = stats.ks_test(*_drift_sides(spark, d))
-    return stats.drift(tests, "any").withColumn("rule", F.lit("any"))
+    by = lambda rule: stats.drift(tests, rule).withColumn("rule", F.lit(rule))
+    return by("any").unionByName(by("share"))
 
 
 @query
