@@ -380,25 +380,31 @@ def train(docs: DataFrame, order: int = ORDER, folder: str | None = None) -> Mod
     return model
 
 
+def token_probabilities(reader: Reader, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice: tokens of each text; of each token whether it is known, its base probability and the model's."""
+    m = reader.model
+    hashes, n = _tokens(part)
+    base = p = known = None
+    for level, _, q, g in reader.nodes(hashes, n, len(m.levels)):
+        if level == 1:
+            known = q > 0
+            base = p = (q + 0.5) / (m.tokens + 0.5 * (m.words + 1))
+        else:
+            p = q + g * p
+    return n, known, base, p
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     key = model.key()
 
     def run(part: pa.RecordBatch) -> dict:
         reader = _reader(key)
-        m = reader.model
-        hashes, n = _tokens(part)
+        n, known, base, p = token_probabilities(reader, part)
         first = np.cumsum(n) - n
-        base = p = known = None
-        for level, node, q, g in reader.nodes(hashes, n, len(m.levels)):
-            if level == 1:
-                known = q > 0
-                base = p = (q + 0.5) / (m.tokens + 0.5 * (m.words + 1))
-            else:
-                p = q + g * p
         return {
             "held_out": part.column("held_out"), "n_tokens": n, "n_known": np.add.reduceat(known, first, dtype=np.int64),
-            "train_tokens": np.full(len(n), m.tokens), "base_score": np.add.reduceat(np.log10(base), first),
+            "train_tokens": np.full(len(n), reader.model.tokens), "base_score": np.add.reduceat(np.log10(base), first),
             "score": np.add.reduceat(np.log10(p), first),
         }
 
