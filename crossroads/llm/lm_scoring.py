@@ -5,13 +5,14 @@ of their 64-bit hashes. A node of level k is the number of its parent, the (k-1)
 its last word; within a shard, which holds a range of parents, parent and word are one rising number,
 kept in Elias-Fano code. The places where shards begin are the monotone pointers: place in the
 sequence is node number is parent number of the next level. Only n-grams whose two (k-1)-grams are
-nodes can reach ``MIN_COUNT``, so only those are counted at level k. Tasks count in bounded tables
+nodes can reach the least count, so only those are counted at level k. Tasks count in bounded tables
 and send sums; a node is counted once for each task, not once for each occurrence.
 
 Probabilities are interpolated with absolute discounting: P(w | context) = max(c - D, 0) / c(context)
 + g(context) * P(w | shorter context), where g is what the nodes of the context leave over, so pruned
-n-grams lose nothing to the model; the shortest is (c + 0.5) / (N + 0.5 (V + 1)). The quotient is
-kept in one byte and g in two, rounded down in the logarithm, so that sums stay at or below 1.
+n-grams lose nothing to the model; the shortest is (c + 0.5) / (N + 0.5 (V + 1)). The quotient
+and g are kept in two bytes, rounded down in the logarithm, so that sums stay at or below 1; the range of
+32 powers of ten is beyond any count.
 
 Levels are files in the shared folder, mapped into the scoring tasks; memory holds the pages that
 are looked at. A query numbers the words of a slice of texts, then finds for all tokens at once the
@@ -44,13 +45,14 @@ from crossroads.llm.shared_files import mapped_file, write_file
 from crossroads.session import new_table_path
 
 ORDER = 3
+#: Least count of a node from level 2 on where the caller names none; the query keeps all (1).
 MIN_COUNT = 2
 DISCOUNT = 0.75
 FOLDS, HELD_OUT = 5, 1
 #: Entries that a task counts before it sends them.
 HELD = 3 << 20
-#: Steps of the logarithms (base 10) of quotients, kept in one byte, and of left-over weights, kept in two.
-Q_STEP, G_STEP = 0.03, 0.0005
+#: Steps of the logarithms (base 10) of quotients and of left-over weights, both kept in two bytes.
+Q_STEP, G_STEP = 0.0005, 0.0005
 _END = np.uint64(0x5E0FF5E0FF5E0FF5)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -291,8 +293,8 @@ def _written(counted: DataFrame, save, shards: int) -> dict[int, tuple[int, int]
     return {r["bucket"]: (r["nodes"], r["tokens"]) for r in rows}
 
 
-def _log_code(x: np.ndarray, step: float, kind: type) -> np.ndarray:
-    return np.clip(np.ceil(-np.log10(np.maximum(x, 1e-30)) / step - 1e-9), 0, np.iinfo(kind).max).astype(kind)
+def _log_code(x: np.ndarray, step: float) -> np.ndarray:
+    return np.clip(np.ceil(-np.log10(np.maximum(x, 1e-30)) / step - 1e-9), 0, np.iinfo(np.uint16).max).astype(np.uint16)
 
 
 def _small(counts: np.ndarray) -> np.ndarray:
@@ -319,8 +321,8 @@ def _train_words(docs: DataFrame, model: Model) -> None:
     model.levels.append(level)
 
 
-def _train_level(docs: DataFrame, model: Model, level: int) -> None:
-    """Counts the n-grams of a level by shards of parents and writes the nodes that reach ``MIN_COUNT``."""
+def _train_level(docs: DataFrame, model: Model, level: int, least: int) -> None:
+    """Counts the n-grams of a level by shards of parents and writes the nodes that reach ``least``."""
     above, width, folder, key = model.levels[-1].nodes, model.words, model.folder, model.key()
     per = max(1, -(-above // model.shards))
     ranges = [(a, min(above, a + per)) for a in range(0, above, per)] or [(0, 0)]
@@ -346,14 +348,14 @@ def _train_level(docs: DataFrame, model: Model, level: int) -> None:
 
     def save(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple[int, int]:
         low, high = ranges[shard]
-        keep = counts >= MIN_COUNT
+        keep = counts >= least
         keys, counts = keys[keep] - np.uint64(low * width), counts[keep]
         parent = (keys // np.uint64(width)).astype(np.int64)
         total = _reader(key).node_counts(level - 1, low, high).astype(float)
         q = (counts - DISCOUNT) / total[parent]
         left = 1 - np.bincount(parent, weights=q, minlength=high - low)
         arrays = encode(keys, (high - low) * width) | {
-            "q": _log_code(q, Q_STEP, np.uint8), "g": _log_code(left, G_STEP, np.uint16), "counts": _small(counts)}
+            "q": _log_code(q, Q_STEP), "g": _log_code(left, G_STEP), "counts": _small(counts)}
         _save(folder, _file(level, shard), arrays)
         return len(keys), int(counts.sum())
 
@@ -362,21 +364,21 @@ def _train_level(docs: DataFrame, model: Model, level: int) -> None:
     for s, (low, high) in enumerate(ranges):
         if s not in found:  # no n-gram starts here: all weight is left over
             _save(folder, _file(level, s), encode(np.zeros(0, np.uint64), 1) | {
-                "q": np.zeros(0, np.uint8), "g": np.zeros(max(1, high - low), np.uint16), "counts": np.zeros(0, np.uint8)})
+                "q": np.zeros(0, np.uint16), "g": np.zeros(max(1, high - low), np.uint16), "counts": np.zeros(0, np.uint8)})
         made.parents.append((low, high))
         made.first.append(made.nodes)
         made.nodes += found.get(s, (0, 0))[0]
     model.levels.append(made)
 
 
-def train(docs: DataFrame, order: int = ORDER, folder: str | None = None) -> Model:
+def train(docs: DataFrame, order: int = ORDER, folder: str | None = None, least: int = MIN_COUNT) -> Model:
     """A model of all texts of ``docs``, in the shared folder."""
     spark = docs.sparkSession
     model = Model(folder or new_table_path(spark, "ngrams"), shards=max(1, partitions(spark)))
     _train_words(docs, model)
     for level in range(2, order + 1):
         if model.levels[-1].nodes:
-            _train_level(docs, model, level)
+            _train_level(docs, model, level, least)
     return model
 
 
@@ -415,6 +417,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_texts(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), run, fields, ("doc_id", "text", "held_out"))
 
 
-def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
+def scores(docs: DataFrame, order: int = ORDER, least: int = MIN_COUNT) -> DataFrame:
     """Trains on the documents of all folds but the held-out one and scores every document."""
-    return score(docs, train(docs.filter(~held_out(F.col("doc_id"))), order))
+    return score(docs, train(docs.filter(~held_out(F.col("doc_id"))), order, least=least))

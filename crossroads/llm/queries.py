@@ -93,7 +93,7 @@ def op10_token_output(spark, sf_dir):
 
 @_query
 def op2_lm_scoring(spark, sf_dir):
-    return lm_scoring.scores(table(spark, sf_dir))
+    return lm_scoring.scores(table(spark, sf_dir), least=1)
 
 
 @_query
