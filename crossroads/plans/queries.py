@@ -105,7 +105,8 @@ def _flawed(spark, d) -> DataFrame:
 @query
 def decisions_with_repeated_ids(spark, d):
     """Both rules on scenarios whose ids repeat: vehicles with one id share the entry of the decision's maps."""
-    rows = lane.packed(A.vehicles(spark, d).withColumn("vehicle_id", F.concat("direction", "destination")))
+    same = lambda v: v.withField("vehicle_id", F.concat(v["direction"], v["destination"]))
+    rows = A.scenarios(spark, d).withColumn("vehicles", F.transform("vehicles", same))
     by_lane = _texts(lane.decisions(rows)).select("scenario_id", F.col("priority_order").alias("lane_order"), F.col("waiting_times").alias("lane_waits"))
     by_near = _texts(near.decisions(rows)).select("scenario_id", F.col("priority_order").alias("near_order"), F.col("waiting_times").alias("near_waits"))
     return by_lane.join(by_near, "scenario_id")
