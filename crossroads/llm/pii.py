@@ -106,13 +106,19 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    """The longest beginning of a proposal that has the checksum; groups of upper-case words may follow a number."""
-    for m in _IBAN.finditer(text):
+    """The longest beginning of a proposal that has the checksum; groups of upper-case words may follow a number.
+
+    The search goes on after what was found, or else at the next word of the proposal: a number may follow a code.
+    """
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = text.find(" ", m.start(), m.end()) + 1 or m.end()
         end = m.end()
         while end - m.start() >= 15:
             plain = text[m.start():end].replace(" ", "")
             if len(plain) >= 15 and mod97(plain):
                 yield m.start(), end
+                at = end
                 break
             end = text.rfind(" ", m.start(), end)
 
