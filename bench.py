@@ -34,18 +34,25 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
-        for timed in (False, True):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if timed:
-                times[name] = round(time.perf_counter() - start, 3)
-        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
+        try:
+            for timed in (False, True):
+                start = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if timed:
+                    times[name] = round(time.perf_counter() - start, 3)
+        except Exception as e:  # the other figures are still wanted; the exit code tells
+            failed[name] = f"{type(e).__name__}: {e}"[:300]
+        print(f"{name} {times.get(name, 'FAILED')}", file=sys.stderr, flush=True)
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "total_query_time", "value": total, "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": cpus,
+        **({"failed": failed} if failed else {}),
     }))
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

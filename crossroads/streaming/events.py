@@ -16,10 +16,12 @@ from ..sources import adapters, writers
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The events table, one file or a folder of part files, as a stream of prediction events."""
-    source = f"{sf_dir}/events.parquet"
-    fields = spark.read.parquet(source).schema
-    raw = spark.readStream.schema(fields).option("maxFilesPerTrigger", max_files).parquet(source)
+    """The events table, one file or a folder of part files, as a stream of prediction events.
+
+    A stream takes a plain path for a folder; a pattern that fits this one name takes a file as well.
+    """
+    fields = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    raw = spark.readStream.schema(fields).option("maxFilesPerTrigger", max_files).parquet(f"{sf_dir}/events.parque[t]")
     return adapters.as_prediction_events(raw).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
