@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import scalar
 from . import lane, prefix
 
 
@@ -44,19 +43,28 @@ def whole_seconds(seconds: Column) -> Column:
 
 
 def waits_of_rows(vehicles: DataFrame) -> DataFrame:
-    """The same for scenarios of any size; the running maximum may span many tasks."""
-    pairs = lane.pairs_of_rows(vehicles)
-    involved = pairs.select("scenario_id", F.explode(F.array("seq1", "seq2")).alias("seq")).distinct()
-    rows = vehicles.select(
-        "scenario_id", "seq", "vehicle_id",
-        scalar.lane_arrival_s(F.col("speed"), F.col("distance_to_intersection")).alias("t"),
-    )
-    queue = rows.join(involved, ["scenario_id", "seq"], "left_semi")
-    placed = prefix.running(queue, ["scenario_id"], ["t", "seq"], {"rank": ("sum", F.lit(1))})
-    lead = F.col("t") - C.CLEARING_S * (F.col("rank") - 1)
-    timed = prefix.running(placed, ["scenario_id"], ["t", "seq"], {"lead": ("max", lead)})
-    start = C.CLEARING_S * (F.col("rank") - 1) + F.col("lead")
-    solved = timed.select(
-        "scenario_id", "seq", F.col("rank").cast("int"), whole_seconds(start - F.col("t")).alias("wait")
+    """The same for scenarios of any size, without pairs; a queue may span many tasks.
+
+    Places and the running maximum are taken inside each part of the queue. A part begins after the
+    ``n`` vehicles of all earlier parts, so its values move by two seconds for each of them.
+    """
+    own = ["scenario_id", "_part"]
+    rows = lane.involved_of_rows(vehicles)
+    cut = prefix.ranged(rows.filter("involved").select("scenario_id", "seq", "t"), ["scenario_id"], ["t", "seq"])
+    along = Window.partitionBy(*own).orderBy("t", "seq")
+    lead = F.max(F.col("t") - C.CLEARING_S * (F.col("rank") - 1)).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = cut.withColumn("rank", F.row_number().over(along)).withColumn("lead", lead)
+    before = Window.partitionBy("scenario_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        local.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own).agg(F.max("rank").alias("n"), F.max("lead").alias("lead"))
+        .withColumn("_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("_lead", F.max(F.col("lead") - C.CLEARING_S * F.col("_n")).over(before))
+        .select(*own, "_n", "_lead")
+    )  # at most two rows per part
+    timed = local.join(F.broadcast(carried), own, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rank = F.col("rank") + F.col("_n")
+    start = C.CLEARING_S * (rank - 1) + F.greatest(F.col("lead") - C.CLEARING_S * F.col("_n"), "_lead")
+    solved = timed.select("scenario_id", "seq", rank.cast("int").alias("rank"), whole_seconds(start - F.col("t")).alias("wait"))
+    return (
+        rows.select("scenario_id", "seq", "vehicle_id").join(solved, ["scenario_id", "seq"], "left").fillna(0, ["wait"])
     )
-    return rows.drop("t").join(solved, ["scenario_id", "seq"], "left").fillna(0, ["wait"])

@@ -8,12 +8,15 @@ after packing, pairs, ranks and waits need no further exchange and no join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
 from ..functions.text import fill
+from . import prefix
 from . import scenarios as S
 
 
@@ -181,6 +184,35 @@ def pairs_of_rows(vehicles: DataFrame) -> DataFrame:
     )
 
 
+def involved_of_rows(vehicles: DataFrame) -> DataFrame:
+    """Prepared vehicle rows with ``involved``: is the vehicle in any conflict? Any scenario size, no pairs.
+
+    Of each kind of approach and movement only the nearest arrival before and after can matter: if
+    that one is too far apart, all others are. So two running values per kind answer the question.
+    """
+    rows = prepared(vehicles)
+    kinds = [(d, m) for d in range(len(C.DIRECTIONS)) for m in ("right", "straight", "left")]
+    at = lambda d, m: F.when((F.col("d") == d) & (F.col("m") == m), F.col("t"))
+    met = prefix.running(
+        rows, ["scenario_id"], ["t", "seq"], {f"_b_{d}_{m}": ("max", at(d, m)) for d, m in kinds},
+        exclusive=True, backward={f"_a_{d}_{m}": ("min", at(d, m)) for d, m in kinds},
+    )
+    me = F.struct("d", "m", "t")
+    hits = [
+        conflict(me, F.struct(F.lit(d).alias("d"), F.lit(m).alias("m"), F.col(f"{side}_{d}_{m}").alias("t")))
+        for d, m in kinds for side in ("_b", "_a")
+    ]
+    return met.select(*rows.columns, reduce(lambda a, b: a | b, hits).alias("involved"))
+
+
+def labels_of_rows(vehicles: DataFrame) -> DataFrame:
+    """One row per scenario of any size: vehicles, vehicles in a conflict, yes/no, whether a movement is unknown."""
+    return involved_of_rows(vehicles).groupBy("scenario_id").agg(
+        F.count("*").alias("n_vehicles"), F.count_if("involved").alias("n_involved"),
+        scalar.yes_no(F.max("involved")).alias("is_conflict"), F.max(F.col("m") == "unknown").alias("any_unknown"),
+    )
+
+
 def all_pairs(vehicles: DataFrame) -> DataFrame:
     """Pairs of a vehicle table with scenarios of every size, each by the form that suits it."""
     small, large = S.split_by_size(prepared(vehicles))

@@ -181,36 +181,27 @@ def priorities_of_rows(vehicles: DataFrame) -> DataFrame:
 
     Vehicles are ordered by strength (speed, then earlier place). The first win of a vehicle
     needs only the earliest weaker vehicle of each other direction, its first loss the earliest
-    stronger one: running minima along the strength order, one per direction, instead of pairs.
-    The running minima go through ``prefix.running``, so one scenario may span many tasks.
+    stronger one: running minima from both ends of the strength order, one per direction, instead
+    of pairs. They go through ``prefix.running``, so one scenario may span many tasks.
     """
     rows = vehicles.select("scenario_id", approach(F.struct(*S.VEHICLE_FIELDS)).alias("v")).select(
-        "scenario_id", "v.*"
+        "scenario_id", "v.*", F.coalesce(scalar.is_near(F.col("v.distance")), F.lit(False)).alias("near")
     )
-    near = rows.filter(scalar.is_near(F.col("distance")))
     seen = F.struct("seq", "t", "vehicle_id")
-    minima = {
-        f"m_{d}": ("min", F.when(F.col("direction") == d, seen)) for d in C.DIRECTIONS
-    }
+    of = lambda d: F.when(F.col("near") & (F.col("direction") == d), seen)
+    met = prefix.running(
+        rows, ["scenario_id"], ["speed", "-seq"], {f"weaker_{d}": ("min", of(d)) for d in C.DIRECTIONS},
+        exclusive=True, backward={f"stronger_{d}": ("min", of(d)) for d in C.DIRECTIONS},
+    )
 
-    def earliest_other(prefix_name):
-        return F.least(
-            *[F.when(F.col("direction") != d, F.col(f"{prefix_name}_{d}")) for d in C.DIRECTIONS]
-        )
+    def earliest_other(side):
+        return F.when(F.col("near"), F.least(
+            *[F.when(F.col("direction") != d, F.col(f"{side}_{d}")) for d in C.DIRECTIONS]
+        ))
 
-    weaker = prefix.running(
-        near, ["scenario_id"], [F.col("speed").asc(), F.col("seq").desc()], minima, exclusive=True
-    ).select("scenario_id", "seq", earliest_other("m").alias("weaker"))
-    stronger = prefix.running(
-        near, ["scenario_id"], [F.col("speed").desc(), F.col("seq").asc()], minima, exclusive=True
-    ).select("scenario_id", "seq", earliest_other("m").alias("stronger"))
-    out = (
-        rows.select("scenario_id", "seq", "vehicle_id")
-        .join(weaker, ["scenario_id", "seq"], "left")
-        .join(stronger, ["scenario_id", "seq"], "left")
-    )
-    ordered = out.select(
-        "scenario_id", "seq", "vehicle_id", F.col("weaker.seq").alias("weaker"), "stronger"
+    ordered = met.select(
+        "scenario_id", "seq", "vehicle_id", earliest_other("weaker")["seq"].alias("weaker"),
+        earliest_other("stronger").alias("stronger"),
     ).select("scenario_id", "seq", "vehicle_id", *standing())
     placed = prefix.running(
         ordered, ["scenario_id"], ["group", "place1", "place2", "seq"], {"rank": ("sum", F.lit(1))}

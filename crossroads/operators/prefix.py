@@ -1,9 +1,13 @@
 """Running aggregates along an order, without one task per key.
 
-A plain window puts all rows of a key in one task. Here the rows are range-partitioned by
-(keys, order), so a key may span many tasks; each task runs its own window and adds what the
-earlier partitions of the same key came to. The carried table has at most one row per
-partition, whatever the data: only the first key of a partition can have begun earlier.
+A plain window puts all rows of a key in one task. Here a row gets a part number from its place
+among quantiles of (key, order), and windows run per (key, part), so a hot key is many groups.
+What earlier parts of the same key came to is added afterwards; only keys with a quantile inside
+them have any, so that table has at most two rows per part, whatever the data: it may be broadcast.
+
+The quantiles come from rows drawn by a hash of their key and order, as one row that the plan
+broadcasts. They depend on the rows alone: a repeated task, or a second pass, numbers the parts alike.
+Nothing is stored, and nothing runs before the action.
 """
 
 from __future__ import annotations
@@ -13,66 +17,103 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+_MERGE = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest, "xor": lambda a, b: a.bitwiseXOR(b)}
+_AGG = {"sum": F.sum, "min": F.min, "max": F.max, "xor": F.bit_xor}
+#: Rows drawn for each part; parts differ in size by about 1 / sqrt(DRAWN).
+DRAWN = 64
 
-_MERGE = {"sum": lambda a, b: a + b, "min": F.least, "max": F.greatest}
-_AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
+def order_values(order: list[str]) -> list[Column]:
+    """Values that rise along ``order``; '-name' is a numeric column from high to low."""
+    return [-F.col(name[1:]) if name.startswith("-") else F.col(name) for name in order]
 
-def ranged(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """``df`` range-partitioned by (keys, order), its partition number in ``_part``.
 
-    Checkpointed: the range bounds come from a sample, so both passes over the partitions
-    (totals, then running values) must read the same stored cut, also after a lost executor.
+def cut_points(df: DataFrame, place: Column, parts: int) -> DataFrame:
+    """One row ``_cuts``: at most parts - 1 rising values of ``place`` (an orderable struct) that cut ``df`` into even parts."""
+    chance = F.pmod(F.xxhash64(F.lit(20), place), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = df.select(place.alias("p"), chance.alias("c"))
+    n = rows.agg(F.count("*").alias("n")).scalar()
+    drawn = F.array_sort(F.collect_list("p"))
+    some = rows.filter(F.col("c") * n < parts * DRAWN).agg(drawn.alias("a"))
+    picked = F.transform(
+        F.sequence(F.lit(1), F.lit(max(1, parts - 1))),
+        lambda i: F.get(F.col("a"), F.floor(i * F.size("a") / parts).cast("int")),
+    )
+    return some.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("_cuts"))
+
+
+def part_number(cuts: Column, place: Column, parts: int) -> Column:
+    """How many cuts are at or below ``place``: first among every w-th cut, then between two of these."""
+    w = max(1, int(parts ** 0.5))
+    up_to = lambda a: F.size(F.filter(a, lambda b: b <= place))
+    coarse = F.filter(cuts, lambda b, i: (i + 1) % w == 0)
+    whole = up_to(coarse) * w
+    return (whole + up_to(F.slice(cuts, whole + 1, F.lit(w - 1))) if w > 1 else whole).cast("int")
+
+
+def ranged(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """``df`` with its part number ``_part`` along (keys, order), and whether the key goes on in the next or came from an earlier part.
+
+    Keys count by their hash here: which of two keys comes first does not matter.
     """
-    shared_dir(df.sparkSession)
-    cut = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    return cut.withColumn("_part", F.spark_partition_id()).checkpoint()
+    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
+    place = F.struct(key.alias("k"), *[c.alias(f"o{i}") for i, c in enumerate(order_values(order))])
+    cuts = F.col("_cuts")
+    inside = lambda i: F.coalesce(F.get(cuts, i)["k"] == key, F.lit(False))
+    one_row = F.broadcast(cut_points(df, place, parts))
+    numbered = df.join(one_row, how="cross").withColumn("_part", part_number(cuts, place, parts))
+    return numbered.withColumns({"_goes_on": inside(F.col("_part")), "_came": inside(F.col("_part") - 1)}).drop("_cuts")
 
 
 def running(
     df: DataFrame,
     keys: list[str],
-    order: list,
+    order: list[str],
     values: dict[str, tuple[str, Column]],
     exclusive: bool = False,
+    backward: dict[str, tuple[str, Column]] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Adds one running value per entry of ``values``: name -> (sum | min | max, expression).
+    """Adds one running value per entry of ``values``: name -> (sum | min | max | xor, expression).
 
-    ``exclusive`` leaves the current row out. ``order`` must be unique within a key.
+    ``backward`` are values that run from the end. ``exclusive`` leaves the current row out.
+    ``order`` must be unique within a key. A sum over no rows is NULL.
     """
-    cut = ranged(df, keys, order)
-    frame = (Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*frame)
-    parts = cut.groupBy(*keys, "_part").agg(
-        *[_AGG[kind](value).alias(f"_{name}") for name, (kind, value) in values.items()]
+    backward = backward or {}
+    cut = ranged(df, keys, order, parts)
+    own = [*keys, "_part"]
+    ways = [(values, "_came", Window.unboundedPreceding, -1), (backward, "_goes_on", 1, Window.unboundedFollowing)]
+    everything = values | backward
+    totals = (
+        cut.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own)
+        .agg(*[_AGG[kind](value).alias(f"_{name}") for name, (kind, value) in everything.items()])
     )
     by_part = Window.partitionBy(*keys).orderBy("_part")
-    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        parts.select(
-            *keys, "_part", F.row_number().over(by_part).alias("_nth"),
-            *[_AGG[kind](f"_{name}").over(before).alias(f"_{name}") for name, (kind, _) in values.items()],
-        )
-        .filter("_nth > 1")
-        .drop("_nth")
-    )
-    local = cut.select("*", *[_AGG[kind](value).over(inside).alias(name) for name, (kind, value) in values.items()])
-    joined = local.join(F.broadcast(carried), [*keys, "_part"], "left")
-    out = {name: _combined(kind, name) for name, (kind, _) in values.items()}
-    return joined.select(*df.columns, *[c.alias(name) for name, c in out.items()])
+    carried = totals.select(*own, *[
+        _AGG[kind](f"_{name}").over(by_part.rowsBetween(low, high)).alias(f"_{name}")
+        for these, _, low, high in ways for name, (kind, _) in these.items()
+    ])
+    along = Window.partitionBy(*own).orderBy(*order_values(order))
+    to = {True: (-1, 1), False: (Window.currentRow, Window.currentRow)}[exclusive]
+    local = cut.select("*", *[
+        _AGG[kind](value).over(along.rowsBetween(*((low, to[0]) if these is values else (to[1], high)))).alias(name)
+        for these, _, low, high in ways for name, (kind, value) in these.items()
+    ])
+    renamed = carried.withColumnsRenamed({c: f"_at_{c}" for c in own})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in own])
+    joined = local.join(F.broadcast(renamed), same, "left")
+    return joined.select(*df.columns, *[_combined(kind, name).alias(name) for name, (kind, _) in everything.items()])
 
 
 def _combined(kind: str, name: str) -> Column:
     here, carried = F.col(name), F.col(f"_{name}")
-    if kind == "sum":
-        return F.when(here.isNull() & carried.isNull(), None).otherwise(
-            F.coalesce(here, F.lit(0)) + F.coalesce(carried, F.lit(0))
-        )
+    if kind in ("sum", "xor"):
+        return F.coalesce(_MERGE[kind](here, carried), here, carried)
     return _MERGE[kind](here, carried)
 
 
-def numbered(df: DataFrame, keys: list[str], order: list, name: str = "idx") -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "idx") -> DataFrame:
     """Adds the 0-based position of each row within its key."""
     return running(df, keys, order, {name: ("sum", F.lit(1))}).withColumn(name, F.col(name) - 1)
 
