@@ -62,3 +62,34 @@ kept as (select doc_id, string_agg(word, ' ' order by i) as words, count(*) as n
   (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from d) w anti join gone using (doc_id, i) group by doc_id)
 select d.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(words, '')) as kept_sha256
 from d left join kept using (doc_id)"""
+
+
+def _crc_table() -> str:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(str(c))
+    return "[" + ", ".join(out) + "]::bigint[]"
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes; ``crc_table`` is a common table of one row with the list ``t``."""
+    return f"""xor(list_reduce(list_concat([4294967295::bigint], list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint)"""
+
+
+ORACLE["op13_spelling_variants"] = f"""with recursive crc_table as (select {_crc_table()} as t),
+runs as (select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
+low as (select id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from runs where length(run) >= 7 group by all),
+hashed as (select run, n, {_crc32("id || ':' || run")} as h from low, crc_table),
+kept as (select case when h % 31 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, n from hashed),
+w as (select word, cast(sum(n) as bigint) as n from kept where length(word) >= 7 group by word having sum(n) >= 2),
+cut as (select word, n, i, word[:i - 1] || word[i + 1:] as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+pairs as (select distinct a.word, b.word as other, b.n as m from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select c.word, w.word, w.n from cut c join w on c.rest = w.word union select w.word, c.word, c.n from cut c join w on c.rest = w.word),
+best as (select word, count(*) as n_near, max(m) as m from pairs group by word),
+named as (select best.word, n_near, best.m, min(other) as form from best join pairs on pairs.word = best.word and pairs.m = best.m group by all),
+f as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 10 * w.n then form end as form, case when m >= 10 * w.n then m end as form_n from w left join named using (word)),
+walk as (select word, word as at, form as next from f union all select walk.word, f.word, f.form from walk join f on walk.next = f.word)
+select f.*, walk.at as root from f join walk on walk.word = f.word and walk.next is null"""
