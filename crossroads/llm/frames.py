@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
@@ -35,6 +36,29 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Keys that ``joined_to_unique`` may broadcast.
+MOST_KEYS = 1000
+
+
+def joined_to_unique(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join to a table with one row for each key, where one key may hold much of ``left`` (a stored table).
+
+    Keys with more than a 1 / ``MOST_KEYS`` part of the rows, and there can be no more than ``MOST_KEYS`` of them, are
+    joined by broadcast, all others by a shuffle in which no key is large. Rows with a null in the key find nothing.
+    """
+    n = left.agg(F.count("*").alias("n")).scalar()
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
+    hot = left.filter(known).groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") * MOST_KEYS > n)
+    few = F.broadcast(hot.join(right, on, "left").drop("__n").withColumn("__hot", F.lit(True)))
+    found = [c for c in right.columns if c not in on]
+    marked = left.join(few.withColumnsRenamed({c: f"__{c}" for c in found}), on, "left")
+    direct = marked.filter("`__hot`").select(*left.columns, *[F.col(f"__{c}").alias(c) for c in found])
+    rest = marked.filter("`__hot` is null").select(*left.columns)
+    return direct.unionByName(rest.join(right, on, "left").select(*left.columns, *found))
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in order, in slices of at most ``most`` bytes of text or one row."""
     ends = pc.cumulative_sum(pc.fill_null(pc.cast(pc.binary_length(batch.column(column)), pa.int64()), 0)).to_numpy()

@@ -93,3 +93,25 @@ named as (select best.word, n_near, best.m, min(other) as form from best join pa
 f as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 10 * w.n then form end as form, case when m >= 10 * w.n then m end as form_n from w left join named using (word)),
 walk as (select word, word as at, form as next from f union all select walk.word, f.word, f.form from walk join f on walk.next = f.word)
 select f.*, walk.at as root from f join walk on walk.word = f.word and walk.next is null"""
+
+ORACLE["op12_prefix_trie"] = f"""with crc_table as (select {_crc_table()} as t),
+own as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) as i,
+  coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+ids as (select c, c - ((c % 100) + 100) % 100 as donor, {_crc32("cast(c as varchar)")} % 6 as h from (select distinct c from own), crc_table),
+made as (select ids.c, o.i, o.r, o.x from ids join own o on o.c = ids.donor and o.i <= h
+  union all select o.c, o.i, o.r, o.x from own o join ids on ids.c = o.c where o.i > h),
+seq as (select c, row_number() over (partition by c order by i) as d, length(r) || ':' || r || x as turn, length(x) as chars from made),
+mem as (select c, d, chars, md5(string_agg(md5(turn), '') over (partition by c order by d)) as k from seq),
+with_root as (select c, d, chars, k, coalesce(lag(k) over (partition by c order by d), 'root') as up from mem
+  union all select c, 0, 0, 'root', null from ids),
+node as (select d, k, min(up) as up, min(c) as c, count(*) as n, min(chars) as chars from with_root group by d, k),
+leaf as (select d, k from node where not exists (select 1 from node x where x.d = node.d + 1 and x.up = node.k)),
+anc as (select n.d, n.k, m.d as ad, m.k as ak, (n.n - 1) * n.chars as saved, cast(exists (select 1 from leaf where leaf.d = n.d and leaf.k = n.k) as bigint) as one
+  from node n join with_root m on m.c = n.c and m.d <= n.d),
+tot as (select ad as d, ak as k, sum(saved) as saved, sum(one) as leaves from anc group by all),
+deepest as (select c, max(d) as d from with_root group by c),
+fin as (select with_root.d, k, string_agg(c, ',' order by c) as ids from with_root join deepest using (c, d) group by all)
+select node.c as conv_id, cast(node.d as bigint) as depth, p.c as parent_conv_id, cast(node.n as bigint) as n_convs,
+  (select count(*) from node x where x.d = node.d + 1 and x.up = node.k) as n_children, cast(leaves as bigint) as n_leaves,
+  cast(saved as bigint) as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from node join tot on tot.d = node.d and tot.k = node.k left join node p on p.d = node.d - 1 and p.k = node.up left join fin on fin.d = node.d and fin.k = node.k"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, lm_scoring, packing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, token_counts, token_output
+from crossroads.llm import decontamination, lm_scoring, packing, pii, prefix_trie, quality, simhash, spelling, substring_dedup, suffix_dedup, token_counts, token_output
 from crossroads.llm.frames import table
 from crossroads.llm.oracle import ORACLE  # noqa: F401
 
@@ -104,3 +104,8 @@ def op1_best_fit_packing(spark, sf_dir):
 @_query
 def op13_spelling_variants(spark, sf_dir):
     return spelling.variants(spelling.word_counts(table(spark, sf_dir), change=spelling.typos))
+
+
+@_query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
