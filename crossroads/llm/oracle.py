@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from crossroads.llm.chat import CONTROLS, END, TEXT, TURN
 from crossroads.llm.quality import STOP_WORDS, THRESHOLDS
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -115,3 +116,16 @@ select node.c as conv_id, cast(node.d as bigint) as depth, p.c as parent_conv_id
   (select count(*) from node x where x.d = node.d + 1 and x.up = node.k) as n_children, cast(leaves as bigint) as n_leaves,
   cast(saved as bigint) as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
 from node join tot on tot.d = node.d and tot.k = node.k left join node p on p.d = node.d - 1 and p.k = node.up left join fin on fin.d = node.d and fin.k = node.k"""
+
+
+def _escaped_length(column: str) -> str:
+    return f"length(regexp_replace({column}, '{CONTROLS}', '\\1\\\\\\2\\3', 'g'))"
+
+
+ORACLE["op11_chat_formatting"] = f"""with rows as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+select conv_id, count(*) as n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' order by turn nulls first, r, md5(x))) as turns_sha256,
+  cast(coalesce(sum(length(x)) filter (r = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(x, '' order by turn nulls first, r, md5(x)) filter (r = 'assistant'), '')) as loss_sha256,
+  cast(sum({len(TURN + TEXT + END)} + {_escaped_length('r')} + {_escaped_length('x')}) as bigint) as formatted_chars
+from rows group by conv_id"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crossroads.llm import decontamination, lm_scoring, packing, pii, prefix_trie, quality, simhash, spelling, substring_dedup, suffix_dedup, token_counts, token_output
-from crossroads.llm.frames import table
+from crossroads.llm import chat, decontamination, lm_scoring, packing, pii, prefix_trie, quality, simhash, spelling, substring_dedup, suffix_dedup, token_counts, token_output
+from crossroads.llm.frames import stored, table
 from crossroads.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,11 @@ def op13_spelling_variants(spark, sf_dir):
 @_query
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op11_chat_formatting(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    fixed = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.read_back(stored(chat.formatted(rows.unionByName(fixed)), "chat"))
