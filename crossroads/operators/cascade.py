@@ -49,11 +49,11 @@ def waits_of_rows(vehicles: DataFrame) -> DataFrame:
     ``n`` vehicles of all earlier parts, so its values move by two seconds for each of them.
     """
     own = ["scenario_id", "_part"]
-    rows = lane.involved_of_rows(vehicles)
-    cut = prefix.ranged(rows.filter("involved").select("scenario_id", "seq", "t"), ["scenario_id"], ["t", "seq"])
-    along = Window.partitionBy(*own).orderBy("t", "seq")
-    lead = F.max(F.col("t") - C.CLEARING_S * (F.col("rank") - 1)).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = cut.withColumn("rank", F.row_number().over(along)).withColumn("lead", lead)
+    rows = lane.involved_of_rows(vehicles).select("scenario_id", "seq", "vehicle_id", "t", "involved")
+    cut = prefix.ranged(rows, ["scenario_id"], ["t", "seq"], cut_by=lane.prepared(vehicles))
+    along = Window.partitionBy(*own).orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    free = F.when(F.col("involved"), F.col("t") - C.CLEARING_S * (F.col("rank") - 1))
+    local = cut.withColumn("rank", F.count_if("involved").over(along)).withColumn("lead", F.max(free).over(along))
     before = Window.partitionBy("scenario_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         local.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own).agg(F.max("rank").alias("n"), F.max("lead").alias("lead"))
@@ -64,7 +64,7 @@ def waits_of_rows(vehicles: DataFrame) -> DataFrame:
     timed = local.join(F.broadcast(carried), own, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     rank = F.col("rank") + F.col("_n")
     start = C.CLEARING_S * (rank - 1) + F.greatest(F.col("lead") - C.CLEARING_S * F.col("_n"), "_lead")
-    solved = timed.select("scenario_id", "seq", rank.cast("int").alias("rank"), whole_seconds(start - F.col("t")).alias("wait"))
-    return (
-        rows.select("scenario_id", "seq", "vehicle_id").join(solved, ["scenario_id", "seq"], "left").fillna(0, ["wait"])
+    return timed.select(
+        "scenario_id", "seq", "vehicle_id", F.when(F.col("involved"), rank).cast("int").alias("rank"),
+        F.when(F.col("involved"), whole_seconds(start - F.col("t"))).otherwise(0).alias("wait"),
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
+from . import prefix
 
 
 def scenario_aggregates(vehicles: DataFrame) -> DataFrame:
@@ -85,37 +86,25 @@ def materialise(snapshot: DataFrame, features: DataFrame, keys: list[str], ts: s
 
 
 def as_of(
-    labels: DataFrame, features: DataFrame, key: str, ts: str, tie: str, values: list[str],
-    ttl_days: int = C.FEATURE_TTL_DAYS, bucket: str = "DAY",
+    labels: DataFrame, features: DataFrame, key: str, ts: str, tie: str, values: list[str], ttl_days: int = C.FEATURE_TTL_DAYS,
 ) -> DataFrame:
     """For each label row the newest feature row at or before it, not older than the TTL.
 
-    Time is cut into buckets. Inside a bucket a window finds the newest row; a bucket starts
-    with the newest row of all earlier ones, found over one row per (key, bucket). A key that
-    holds much of the table therefore spreads over its buckets.
+    Both tables run along (key, time), features first where times are equal; the newest feature so far is a
+    running maximum. ``prefix.running`` cuts the run into even parts, so a key, or one day of a key, that
+    holds much of the table is spread over many tasks.
     """
-    slot = F.date_trunc(bucket, ts)
     found = F.struct(F.col(ts).alias("ts"), F.col(tie).alias("tie"), *values)
-    events = features.select(key, ts, slot.alias("_slot"), found.alias("_f"))
-    newest = events.groupBy(key, "_slot").agg(F.max("_f").alias("_f"))
-    asked = labels.select(key, slot.alias("_slot")).distinct().withColumn("_asked", F.lit(True))
-    slots = newest.join(asked, [key, "_slot"], "full")
-    earlier = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        slots.select(key, "_slot", "_asked", F.max("_f").over(earlier).alias("_f"))
-        .filter("_asked and _f is not null")
-    )
     none = F.lit(None)
-    label_cols = F.struct(*labels.columns)
-    rows = (
-        events.select(key, "_slot", F.col(ts).alias("_at"), F.lit(1).alias("_side"), "_f", none.cast(labels.schema).alias("_l"))
-        .unionByName(carried.select(key, "_slot", F.col("_slot").alias("_at"), F.lit(0).alias("_side"), "_f",
-                                    none.cast(labels.schema).alias("_l")))
-        .unionByName(labels.select(key, slot.alias("_slot"), F.col(ts).alias("_at"), F.lit(2).alias("_side"),
-                                   none.cast(events.schema["_f"].dataType).alias("_f"), label_cols.alias("_l")))
+    known = features.select(
+        key, F.col(ts).alias("_at"), F.lit(0).alias("_side"), found.alias("_f"), none.cast(labels.schema).alias("_l")
+    )
+    asked = labels.select(
+        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), none.cast(known.schema["_f"].dataType).alias("_f"),
+        F.struct(*labels.columns).alias("_l"),
     )
-    so_far = Window.partitionBy(key, "_slot").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    seen = rows.withColumn("_f", F.max("_f").over(so_far)).filter("_l is not null")
-    fresh = F.col("_f.ts") >= F.col("_at") - F.expr(f"INTERVAL {ttl_days} DAYS")
-    out = [F.when(fresh, F.col(f"_f.{v}")).alias(f"feature_{v}") for v in values]
-    return seen.select("_l.*", F.when(fresh, F.col("_f.ts")).alias("feature_ts"), *out)
+    times = features.select(key, F.col(ts).alias("_at")).unionByName(labels.select(key, F.col(ts).alias("_at"))).withColumn("_side", F.lit(0))
+    seen = prefix.running(known.unionByName(asked), [key], ["_at", "_side"], {"_now": ("max", F.col("_f"))}, cut_by=times).filter("_l is not null")
+    fresh = F.col("_now.ts") >= F.col("_at") - F.expr(f"INTERVAL {ttl_days} DAYS")
+    out = [F.when(fresh, F.col(f"_now.{v}")).alias(f"feature_{v}") for v in values]
+    return seen.select("_l.*", F.when(fresh, F.col("_now.ts")).alias("feature_ts"), *out)

@@ -33,7 +33,10 @@ def prepared(vehicles: DataFrame, layout: dict = C.LAYOUT_EIGHT_LANE) -> DataFra
 
 
 def packed(vehicles: DataFrame) -> DataFrame:
-    """Vehicle rows of contract-sized scenarios as prepared scenario rows; see ``scenarios.pack``."""
+    """Vehicle rows of contract-sized scenarios as prepared scenario rows; see ``scenarios.pack``.
+
+    Larger scenarios have no such row. ``decisions_of_rows`` and ``score`` answer for every scenario.
+    """
     return S.pack(prepared(vehicles)).filter(~F.col("oversized")).drop("oversized")
 
 
@@ -213,10 +216,22 @@ def labels_of_rows(vehicles: DataFrame) -> DataFrame:
     )
 
 
+def decisions_of_rows(vehicles: DataFrame, max_listed: int = C.MAX_VEHICLES) -> DataFrame:
+    """One row per scenario of any size: yes/no, vehicles in conflicts, and its whole decision or the ``reason`` for none.
+
+    Yes or no needs no pairs and is there for every scenario. Pairs, texts and maps are lists in a row, so they are
+    given up to ``max_listed`` vehicles; above that they are NULL, the reason says so, and ``pairs_of_rows``,
+    ``priority_waits`` and ``cascade.waits_of_rows`` hold the same as rows.
+    """
+    labels = labels_of_rows(vehicles).drop("any_unknown")
+    listed = decisions(S.pack(prepared(vehicles), max_listed).filter(~F.col("oversized")).drop("oversized")).drop("is_conflict")
+    reason = F.when(F.col("n_vehicles") > max_listed, "too many vehicles to list")
+    return labels.join(listed, "scenario_id", "left").withColumn("reason", reason)
+
+
 def all_pairs(vehicles: DataFrame) -> DataFrame:
-    """Pairs of a vehicle table with scenarios of every size, each by the form that suits it."""
-    small, large = S.split_by_size(prepared(vehicles))
-    return pairs(small).unionByName(pairs_of_rows(large))
+    """Pairs of a vehicle table with scenarios of every size: one form for all of them."""
+    return pairs_of_rows(vehicles)
 
 
 # --- per vehicle ----------------------------------------------------------------

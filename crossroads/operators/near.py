@@ -203,8 +203,12 @@ def priorities_of_rows(vehicles: DataFrame) -> DataFrame:
         "scenario_id", "seq", "vehicle_id", earliest_other("weaker")["seq"].alias("weaker"),
         earliest_other("stronger").alias("stronger"),
     ).select("scenario_id", "seq", "vehicle_id", *standing())
+    # Places are list places: the rows themselves, once for each group, tell where to cut.
+    places = vehicles.select(
+        "scenario_id", F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("group"), F.col("seq").alias("place1"), F.lit(0).alias("place2"), "seq"
+    )
     placed = prefix.running(
-        ordered, ["scenario_id"], ["group", "place1", "place2", "seq"], {"rank": ("sum", F.lit(1))}
+        ordered, ["scenario_id"], ["group", "place1", "place2", "seq"], {"rank": ("sum", F.lit(1))}, cut_by=places
     )
     return placed.select(
         "scenario_id", "seq", "vehicle_id", F.col("rank").cast("int"), "wait",

@@ -51,17 +51,18 @@ def part_number(cuts: Column, place: Column, parts: int) -> Column:
     return (whole + up_to(F.slice(cuts, whole + 1, F.lit(w - 1))) if w > 1 else whole).cast("int")
 
 
-def ranged(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+def ranged(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None, cut_by: DataFrame | None = None) -> DataFrame:
     """``df`` with its part number ``_part`` along (keys, order), and whether the key goes on in the next or came from an earlier part.
 
-    Keys count by their hash here: which of two keys comes first does not matter.
+    Keys count by their hash here: which of two keys comes first does not matter. ``cut_by`` is a table with the same keys and
+    order columns, cheaper to make than ``df``, whose quantiles are good enough; any give the same values.
     """
     parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
     place = F.struct(key.alias("k"), *[c.alias(f"o{i}") for i, c in enumerate(order_values(order))])
     cuts = F.col("_cuts")
     inside = lambda i: F.coalesce(F.get(cuts, i)["k"] == key, F.lit(False))
-    one_row = F.broadcast(cut_points(df, place, parts))
+    one_row = F.broadcast(cut_points(df if cut_by is None else cut_by, place, parts))
     numbered = df.join(one_row, how="cross").withColumn("_part", part_number(cuts, place, parts))
     return numbered.withColumns({"_goes_on": inside(F.col("_part")), "_came": inside(F.col("_part") - 1)}).drop("_cuts")
 
@@ -74,6 +75,7 @@ def running(
     exclusive: bool = False,
     backward: dict[str, tuple[str, Column]] | None = None,
     parts: int | None = None,
+    cut_by: DataFrame | None = None,
 ) -> DataFrame:
     """Adds one running value per entry of ``values``: name -> (sum | min | max | xor, expression).
 
@@ -81,24 +83,27 @@ def running(
     ``order`` must be unique within a key. A sum over no rows is NULL.
     """
     backward = backward or {}
-    cut = ranged(df, keys, order, parts)
+    cut = ranged(df, keys, order, parts, cut_by)
     own = [*keys, "_part"]
-    ways = [(values, "_came", Window.unboundedPreceding, -1), (backward, "_goes_on", 1, Window.unboundedFollowing)]
     everything = values | backward
     totals = (
         cut.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own)
         .agg(*[_AGG[kind](value).alias(f"_{name}") for name, (kind, value) in everything.items()])
     )
-    by_part = Window.partitionBy(*keys).orderBy("_part")
+    # A frame that ends at the last row costs a pass for every row: what runs from the end is ordered from the end.
+    before = (Window.unboundedPreceding, -1)
+    by_part = {True: Window.partitionBy(*keys).orderBy(F.desc("_part")), False: Window.partitionBy(*keys).orderBy("_part")}
+    rising, falling = order_values(order), [F.desc_nulls_last(c) for c in order_values(order)]
+    along = {True: Window.partitionBy(*own).orderBy(*falling), False: Window.partitionBy(*own).orderBy(*rising)}
+    ways = [(values, False), (backward, True)]
     carried = totals.select(*own, *[
-        _AGG[kind](f"_{name}").over(by_part.rowsBetween(low, high)).alias(f"_{name}")
-        for these, _, low, high in ways for name, (kind, _) in these.items()
+        _AGG[kind](f"_{name}").over(by_part[back].rowsBetween(*before)).alias(f"_{name}")
+        for these, back in ways for name, (kind, _) in these.items()
     ])
-    along = Window.partitionBy(*own).orderBy(*order_values(order))
-    to = {True: (-1, 1), False: (Window.currentRow, Window.currentRow)}[exclusive]
+    frame = before if exclusive else (Window.unboundedPreceding, Window.currentRow)
     local = cut.select("*", *[
-        _AGG[kind](value).over(along.rowsBetween(*((low, to[0]) if these is values else (to[1], high)))).alias(name)
-        for these, _, low, high in ways for name, (kind, value) in these.items()
+        _AGG[kind](value).over(along[back].rowsBetween(*frame)).alias(name)
+        for these, back in ways for name, (kind, value) in these.items()
     ])
     renamed = carried.withColumnsRenamed({c: f"_at_{c}" for c in own})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in own])

@@ -42,33 +42,59 @@ def numbered_by_class(df: DataFrame, label: str, id_col: str, seed: int) -> Data
     return prefix.numbered(df.withColumn("_draw", draw(id_col, seed)), [label], ["_draw", id_col], "_idx").drop("_draw")
 
 
+def first_drawn(
+    df: DataFrame, wanted: DataFrame, group: str, id_col: str = "scenario_id", seed: int = 42, bits: int = 16,
+) -> DataFrame:
+    """The first ``_want`` rows of each group in drawn order; ``wanted`` has (group, _want), a row for each of few groups.
+
+    A histogram of the leading bits of the draws tells in which bucket a group is full. Rows of the buckets before pass
+    by a filter; only the rows of that one bucket are ranked, a 2**-bits part of the group, however large ``_want`` is.
+    """
+    drawn = df.withColumn("_draw", draw(id_col, seed))
+    drawn = drawn.withColumn("_bucket", F.conv(F.substring("_draw", 1, bits // 4), 16, 10).cast("int"))
+    upto = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = drawn.groupBy(group, "_bucket").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    # One row per group: the bucket in which it is full, and how many of its rows are still wanted there.
+    full = (
+        sizes.join(F.broadcast(wanted), group).filter(F.col("_upto") >= F.col("_want"))
+        .groupBy(group).agg(F.min(F.struct("_bucket", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_rest"))).alias("_cut"))
+    )
+    cuts = wanted.join(full, group, "left").filter("_want > 0").select(
+        group, F.coalesce("_cut._bucket", F.lit(1 << bits)).alias("_full"), F.coalesce("_cut._rest", F.lit(0)).alias("_rest")
+    )
+    placed = drawn.join(F.broadcast(cuts), group)
+    nth = F.row_number().over(Window.partitionBy(group).orderBy("_draw", id_col))
+    edge = placed.filter(F.col("_bucket") == F.col("_full")).withColumn("_nth", nth).filter(F.col("_nth") <= F.col("_rest"))
+    return placed.filter(F.col("_bucket") < F.col("_full")).select(*df.columns).unionByName(edge.select(*df.columns))
+
+
+def _classes(df: DataFrame, label: str, want: Column) -> DataFrame:
+    """(label, _want) for 'yes' and 'no', from their counts."""
+    each = F.explode(F.array(F.lit("yes"), F.lit("no"))).alias(label)
+    return class_counts(df, label).select("*", each).select(label, want.cast("long").alias("_want"))
+
+
 def balanced(df: DataFrame, n: int, label: str = "is_conflict", id_col: str = "scenario_id", seed: int = 42) -> DataFrame:
     """n/2 of each class, or what there is."""
-    return per_group(df.filter(F.col(label).isin("yes", "no")), [label], n // 2, id_col, seed)
+    return first_drawn(df, _classes(df, label, F.lit(n // 2)), label, id_col, seed)
 
 
 def equal_classes(df: DataFrame, n: int, label: str = "is_conflict", id_col: str = "scenario_id", seed: int = 42) -> DataFrame:
     """The same number of both classes: the smallest of yes, no and n/2."""
-    picked = per_group(df.filter(F.col(label).isin("yes", "no")), [label], n // 2, id_col, seed)
-    got = class_counts(picked, label).select(F.least("n_yes", "n_no").alias("_half"))
-    nth = F.row_number().over(Window.partitionBy(label).orderBy(draw(id_col, seed), id_col))
-    return (
-        picked.withColumn("_nth", nth).join(F.broadcast(got), F.col("_nth") <= F.col("_half")).drop("_nth", "_half")
-    )
+    return first_drawn(df, _classes(df, label, F.least("n_yes", "n_no", F.lit(n // 2))), label, id_col, seed)
 
 
 def undersampled(df: DataFrame, label: str = "is_conflict", id_col: str = "scenario_id", seed: int = 42) -> DataFrame:
     """All of the 'yes' class and as many of 'no', or all of 'no' when it is the smaller one."""
-    yes = df.filter(F.col(label) == "yes").agg(F.count("*").alias("_n"))
-    placed = numbered_by_class(df.filter(F.col(label).isin("yes", "no")), label, id_col, seed)
-    keep = (F.col(label) == "yes") | (F.col("_idx") < F.col("_n"))
-    return placed.join(F.broadcast(yes), keep).drop("_idx", "_n")  # one row
+    return first_drawn(df, _classes(df, label, F.col("n_yes")), label, id_col, seed)
 
 
 def rebalance(df: DataFrame, label: str = "is_conflict", id_col: str = "scenario_id", seed: int = 42) -> DataFrame:
     """The table as it is when balanced enough, else undersampled."""
-    enough = class_counts(df, label).collect()[0]["balanced"]  # one row
-    return df if enough else undersampled(df, label, id_col, seed)
+    wanted = _classes(df, label, F.when(F.col("balanced"), F.greatest("n_yes", "n_no")).otherwise(F.col("n_yes")))
+    enough = F.broadcast(class_counts(df, label).select(F.col("balanced").alias("_enough")))  # one row
+    other = df.filter(~F.coalesce(F.col(label).isin("yes", "no"), F.lit(False))).join(enough, F.col("_enough")).drop("_enough")
+    return first_drawn(df, wanted, label, id_col, seed).unionByName(other)
 
 
 def split(df: DataFrame, id_col: str = "scenario_id", seed: int = 42) -> DataFrame:
@@ -111,9 +137,6 @@ def supplemented(
     typed: DataFrame, mixed: DataFrame, used: DataFrame, n: int, key: str, id_col: str = "scenario_id", seed: int = 999
 ) -> DataFrame:
     """``typed`` topped up to ``n`` rows with mixed ones whose content is in neither ``typed`` nor ``used``."""
-    fresh = without_content_of(without_content_of(mixed, key, typed), key, used)
-    place = F.row_number().over(Window.orderBy("_draw", id_col))  # over at most n rows
-    extra = overall(fresh, n, id_col, seed).withColumn("_draw", draw(id_col, seed)).withColumn("_nth", place)
-    have = typed.agg(F.count("*").alias("_have"))
-    wanted = extra.join(F.broadcast(have), F.col("_nth") <= n - F.col("_have"))
-    return typed.unionByName(wanted.select(*typed.columns))
+    fresh = without_content_of(without_content_of(mixed, key, typed), key, used).withColumn("_all", F.lit(0))
+    wanted = typed.agg((n - F.count("*")).alias("_want")).select(F.lit(0).alias("_all"), "_want")
+    return typed.unionByName(first_drawn(fresh, wanted, "_all", id_col, seed).select(*typed.columns))

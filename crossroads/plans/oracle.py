@@ -774,3 +774,21 @@ define("stream_rule_labels", """select l.scenario_id, l.is_conflict as ground_tr
   from labels l join given g using (scenario_id)""", "labels", "given")
 define("lane_pairs_all_sizes", "select * from lr", "lr")
 define("exploded_layout_movements", "select scenario_id, seq, m as movement from m", "m")
+
+# --- scenarios of any size ---------------------------------------------------------------
+
+cte("supplier_lines", """select *, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey,
+  l_extendedprice, l_quantity, l_discount, l_tax) as rn, count(*) over (partition by l_suppkey) as n from lineitem""")
+cte("supplier_rows", CTES["raw_rows"].replace("l_orderkey as scenario_id", "l_suppkey as scenario_id").replace("from lines", "from supplier_lines"), "supplier_lines")
+cte("supplier_m", CTES["m"].replace("from raw_rows", "from supplier_rows"), "supplier_rows")
+cte("supplier_hits", f"""select a.scenario_id, a.seq from supplier_m a where exists (select 1 from supplier_m b
+  where a.scenario_id = b.scenario_id and {cross('a.d', 'a.m', 'b.d', 'b.m')} and {close('a.t', 'b.t')})""", "supplier_m")
+define("lane_decisions_by_supplier", f"""select scenario_id, count(*) as n_vehicles, count(h.seq) as n_involved,
+  case when count(h.seq) > 0 then 'yes' else 'no' end as is_conflict,
+  case when count(*) <= {C.MAX_VEHICLES} then 0 end as number_of_conflicts,
+  case when count(*) > {C.MAX_VEHICLES} then 'too many vehicles to list' end as reason
+  from supplier_m left join supplier_hits h using (scenario_id, seq) group by scenario_id""", "supplier_m", "supplier_hits")
+_LISTED = ["number_of_conflicts", "any_unknown", "places_of_conflicts", "conflict_vehicles", "decisions", "priority_order", "waiting_times"]
+define("lane_decisions_any_size", f"""select w.scenario_id, sc.n as n_vehicles, is_conflict,
+  {", ".join(f"case when sc.n <= 8 then {c} end as {c}" for c in _LISTED)}, case when sc.n > 8 then 'too many vehicles to list' end as reason
+  from whole w join sc using (scenario_id)""", "whole", "sc")

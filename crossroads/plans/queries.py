@@ -66,6 +66,18 @@ def lane_pairs_any_size(spark, d):
     return lane.pairs_of_rows(A.vehicles(spark, d))
 
 
+@query
+def lane_decisions_by_supplier(spark, d):
+    """A supplier's lines as one scenario of hundreds of vehicles: yes/no for each, lists for none."""
+    made = lane.decisions_of_rows(A.supplier_rows(spark, d))
+    return made.select("scenario_id", "n_vehicles", "n_involved", "is_conflict", "number_of_conflicts", "reason")
+
+
+@query
+def lane_decisions_any_size(spark, d):
+    return _texts(lane.decisions_of_rows(A.raw_rows(spark, d), 8).drop("n_involved"))
+
+
 @query
 def lane_decisions(spark, d):
     return _texts(lane.decisions(A.scenarios(spark, d)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
-from ..operators import lane, near
+from ..operators import lane, near, prefix
 from ..operators import scenarios as S
 
 # fixed values of the adapter
@@ -35,14 +35,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER).withColumn("seq", nth)
 
 
-def _as_vehicles(lines: DataFrame) -> DataFrame:
+def _as_vehicles(lines: DataFrame, scenario: str = "l_orderkey") -> DataFrame:
     part, supp, number = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     lane_no = (2 * (part % 4) + 1 + (supp % 2)).cast("int")
     stopped = (F.col("l_discount") == 0) & (F.col("l_tax") == 0)
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     directions = F.array(*[F.lit(d) for d in ("north", "east", "south", "west")])
     return lines.select(
-        F.col("l_orderkey").alias("scenario_id"),
+        F.col(scenario).alias("scenario_id"),
         "seq",
         F.concat(F.lit("V"), (1000 + F.col("seq")).cast("string")).alias("vehicle_id"),
         lane_no.alias("lane"),
@@ -65,8 +65,8 @@ def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per vehicle of the same scenarios."""
-    return S.unpack(scenarios(spark, sf_dir)).drop(*S.PREPARED_FIELDS)
+    """One row per vehicle of the same scenarios; never packed, so an order of any size stays spread."""
+    return raw_rows(spark, sf_dir)
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,13 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_vehicles(_lines(spark, sf_dir))
 
 
+def supplier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicle rows with a supplier's lines as a scenario: hundreds of vehicles each, numbered in order of their orders."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    placed = prefix.numbered(lines, ["l_suppkey"], ["l_orderkey", *LINE_ORDER], "seq").withColumn("seq", (F.col("seq") + 1).cast("int"))
+    return _as_vehicles(placed, "l_suppkey")
+
+
 def labelled_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenarios with the lane rule's and the near rule's yes/no."""
     return near.with_label(lane.with_label(scenarios(spark, sf_dir), "true_label"), "rule_label")

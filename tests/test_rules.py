@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from crossroads import constants as C
 from crossroads.operators import cascade, lane, near
 from crossroads.operators import scenarios as S
 
@@ -39,6 +40,36 @@ def test_all_pairs_covers_both_sizes(rows):
     assert pair_set(lane.all_pairs(rows(both))) == expected_pairs(both)
 
 
+def test_every_scenario_has_a_decision_whatever_its_size(spark, rows):
+    both = SMALL[:60] + [(s + 1000, *rest) for s, *rest in LARGE]
+    got = {r.scenario_id: r for r in lane.decisions_of_rows(rows(both)).collect()}
+    listed = {r.scenario_id: r.asDict(recursive=True) for r in lane.decisions(lane.packed(rows(both))).collect()}
+    for s, vs in brute.by_scenario(both).items():
+        pairs, r = brute.lane_pairs(vs), got.pop(s)
+        assert (r.n_vehicles, r.is_conflict) == (len(vs), "yes" if pairs else "no")
+        assert r.n_involved == len({q for p in pairs for q in p[:2]})
+        if len(vs) > 20:
+            assert r.reason and r.decisions is None and s not in listed
+        else:
+            told = r.asDict(recursive=True)
+            assert r.reason is None and all(told[k] == v for k, v in listed[s].items())
+    assert not got
+
+
+def test_a_scenario_of_a_hundred_thousand_vehicles(spark):
+    places = [(d, n, to) for d, lanes in C.LAYOUT_EIGHT_LANE.items() for n, reach in lanes.items() for to in reach]
+    place = F.element_at(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(n).alias("n"), F.lit(to).alias("to")) for d, n, to in places]),
+                         (F.pmod(F.xxhash64("id"), F.lit(len(places))) + 1).cast("int"))
+    many = spark.range(100_000).select(
+        F.lit(1).cast("long").alias("scenario_id"), F.col("id").cast("int").alias("seq"), F.col("id").cast("string").alias("vehicle_id"),
+        place["n"].alias("lane"), F.lit(36.0).alias("speed"), (F.col("id") * 45.0).alias("distance_to_intersection"),
+        place["d"].alias("direction"), place["to"].alias("destination"))
+    few = many.limit(2).withColumn("scenario_id", F.lit(2).cast("long"))
+    got = {r.scenario_id: r for r in lane.decisions_of_rows(many.unionByName(few)).collect()}
+    assert set(got) == {1, 2}  # 4.5 seconds between any two: no conflict, however many there are
+    assert (got[1].n_vehicles, got[1].n_involved, got[1].is_conflict, got[1].reason) == (100_000, 0, "no", "too many vehicles to list")
+
+
 def test_pack_marks_large_scenarios_and_keeps_none_of_their_rows(rows):
     packed = S.pack(rows(LARGE)).collect()
     assert {r.scenario_id: r.vehicles is None for r in packed} == {1: True, 2: False, 3: True, 4: False}
