@@ -82,37 +82,65 @@ def newest_of_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFr
     return rows.groupBy(*keys).agg(last).select(*keys, "_v.*")
 
 
+def _folder(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder in whatever store it lies in, if it is there."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    at, store = _folder(spark, path)
+    store.delete(at, True)
+
 
+def _versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """bucket -> the batches that wrote it, rising; from folder names alone, at most a few for each bucket."""
+    at, store = _folder(spark, f"{path}/batch=*/bucket=*")
+    out: dict[int, list[int]] = {}
+    for found in store.globStatus(at) or []:
+        whole = found.getPath()
+        out.setdefault(int(whole.getName().split("=")[1]), []).append(int(whole.getParent().getName().split("=")[1]))
+    return {b: sorted(v) for b, v in out.items()}
 
-def triggers(stream: DataFrame, path: str, keys: list[str], order: list[str], n: int) -> DataFrame:
+
+STATE_BUCKETS = 64
+
+
+def triggers(
+    stream: DataFrame, path: str, keys: list[str], order: list[str], n: int, buckets: int = STATE_BUCKETS,
+) -> DataFrame:
     """The retraining decision per key over its last ``n`` events, evaluated and recorded after every batch.
 
-    ``path``/audit has a record per batch and key, ``path``/version=k the events kept after batch k.
-    A batch is cut to ``n`` rows per key before it meets the stored rows, so what is kept is at most n
-    rows per key, however uneven the keys are. A version is removed when its second successor stands;
-    a repeated batch finds its predecessor still there. Returns the decisions after the last batch.
+    The events kept lie in ``path``/state in hash buckets of the key, under the batch that wrote them. A batch reads the
+    newest version of the buckets its keys fall in and writes those anew; other buckets are not touched. Its decisions for the
+    keys in these buckets go to ``path``/audit. A batch is cut to ``n`` rows per key before it meets the stored rows, so what
+    is kept is at most n rows per key, however uneven the keys are. A version goes when a bucket has two newer ones; a
+    repeated batch finds its predecessors still there and replaces itself. Returns the last decision for each key.
     """
     spark = stream.sparkSession
-    version = lambda batch_id: f"{path}/version={batch_id}"  # batch numbers have no gaps
+    state = f"{path}/state"
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        rows = windows.last_n_per_key(batch, keys, order, n)
-        if batch_id > 0:
-            kept = spark.read.parquet(version(batch_id - 1))
-            rows = windows.last_n_per_key(kept.unionByName(rows), keys, order, n)
-        rows.write.mode("overwrite").parquet(version(batch_id))
-        writers.append_trigger(monitor.trigger(spark.read.parquet(version(batch_id)), keys), f"{path}/audit", batch_id)
-        if batch_id > 1:
-            _remove(spark, version(batch_id - 2))
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        rows = windows.last_n_per_key(batch, keys, order, n).withColumn("bucket", bucket)
+        touched = {r["bucket"] for r in rows.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
+        known = {b: [v for v in of if v < batch_id] for b, of in _versions(spark, state).items()}
+        newest = [f"{state}/batch={known[b][-1]}/bucket={b}" for b in touched if known.get(b)]
+        if newest:
+            kept = spark.read.schema(batch.schema).parquet(*newest)
+            rows = windows.last_n_per_key(kept.unionByName(batch), keys, order, n).withColumn("bucket", bucket)
+        rows.write.partitionBy("bucket").mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        stored = spark.read.schema(rows.schema).parquet(f"{state}/batch={batch_id}")
+        writers.append_trigger(monitor.trigger(stored.drop("bucket"), keys), f"{path}/audit", batch_id)
+        for b, of in known.items():
+            for v in of[:-2] if b not in touched else of[:-1]:
+                _remove(spark, f"{state}/batch={v}/bucket={b}")
 
     _run(stream, path, keep)
     audit = spark.read.parquet(f"{path}/audit")
-    last = audit.agg(F.max("batch").alias("batch"))  # one row
-    return audit.join(F.broadcast(last), "batch").drop("batch", "evaluated_at")
+    values = [c for c in audit.columns if c not in (*keys, "batch", "evaluated_at")]
+    last = F.max_by(F.struct(*values), "batch").alias("_v")
+    return audit.groupBy(*keys).agg(last).select(*keys, "_v.*")
 
 
 def labelled(scored: DataFrame) -> DataFrame:

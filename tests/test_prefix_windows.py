@@ -139,3 +139,28 @@ def test_as_of_takes_newest_at_or_before_within_ttl(spark):
         best = max(known, key=lambda x: (x[1], x[2])) if known else None
         fresh = best is not None and best[1] >= r.ts - dt.timedelta(days=7)
         assert r.feature_value == (best[3] if fresh else None)
+
+
+def test_as_of_spreads_a_key_that_holds_most_of_a_day(spark):
+    rnd = random.Random(11)
+    known = [(1 if rnd.random() < 0.9 else rnd.randrange(2, 9), 1_700_000_000 + rnd.randrange(86_400), i, rnd.random()) for i in range(4000)]
+    asked = [(1 if rnd.random() < 0.9 else rnd.randrange(2, 9), 1_700_000_000 + rnd.randrange(86_400), i) for i in range(500)]
+    at = F.timestamp_seconds(F.col("s")).alias("ts")
+    f = spark.createDataFrame(known, "user long, s long, id long, value double").select("user", at, "id", "value", "s")
+    q = spark.createDataFrame(asked, "user long, s long, q long").select("user", at, "q", "s")
+    out = features.as_of(q, f, "user", "ts", "id", ["value"], ttl_days=1).collect()
+    got = {r.q: r.feature_value for r in out}
+    for user, s, i in asked:
+        best = max(((k[1], k[2], k[3]) for k in known if k[0] == user and k[1] <= s), default=None)
+        assert got[i] == (best and best[2])
+    parts = prefix.ranged(f, ["user"], ["ts"]).filter("user = 1").groupBy("_part").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 0.6 * 0.9 * len(known)
+
+
+def test_plans_run_nothing_before_the_action(spark):
+    seen = spark.sparkContext.statusTracker()
+    before = set(seen.getJobIdsForGroup(None))
+    _, df = sequence(spark, 200)
+    prefix.running(df, ["variant"], ["ts", "scenario_id"], {"n": ("sum", F.lit(1))})
+    windows.rolling_accuracy(df, ["variant"], ["ts", "scenario_id"])
+    assert set(seen.getJobIdsForGroup(None)) == before

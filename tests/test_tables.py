@@ -331,5 +331,46 @@ def test_streams_read_folders_of_parts_out_of_order_and_go_on_after_a_stop(spark
     want = monitor.trigger(windows.last_n_per_key(whole, ["user_id"], ["ts", "event_id"], 20), ["user_id"])
     assert sorted(map(tuple, decided.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     assert spark.read.parquet(f"{path}/audit").select("batch").distinct().count() == 3
-    kept = [p.name for p in (tmp_path / "triggers").iterdir() if p.name.startswith("version=")]
-    assert sorted(kept) == ["version=1", "version=2"]
+
+
+def test_a_batch_leaves_the_buckets_of_other_keys_alone(spark, tmp_path):
+    fields = "event_id long, ground_truth string, predicted string, json_valid boolean, user_id int, latency_ms double"
+
+    def events(users, first):
+        rows = [(first + i, "yes" if i % 3 else "no", "yes", True, u, 1.0) for i, u in enumerate(users * 5)]
+        return spark.createDataFrame(rows, fields).withColumn("ts", F.timestamp_seconds(F.col("event_id")))
+
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    every, few = list(range(40)), [3]
+    run = lambda: stream.triggers(
+        spark.readStream.schema(events(few, 0).schema).parquet(source), path, ["user_id"], ["ts", "event_id"], 4, buckets=16)
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "out" / "state").rglob("*.parquet")}
+    events(every, 0).coalesce(1).write.parquet(source)
+    run()
+    before = files()
+    whole = events(every, 0)
+    for k in range(1, 5):
+        events(few, 1000 * k).coalesce(1).write.mode("append").parquet(source)
+        whole = whole.unionByName(events(few, 1000 * k))
+        decided = run()
+    after = files()
+    kept = set(before) & set(after)
+    assert len(kept) == len(before) - 1 and all(after[f] == before[f] for f in kept)  # only the bucket of user 3 moved on
+    assert len(after) == len(kept) + 2  # its last version and the one before
+    want = monitor.trigger(windows.last_n_per_key(whole, ["user_id"], ["ts", "event_id"], 4), ["user_id"])
+    assert sorted(map(tuple, decided.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_samples_of_any_size_are_the_first_drawn(spark):
+    df = labelled(spark, 3000, 5000).repartition(5)
+    drawn = sorted((r.is_conflict, r.d, r.scenario_id) for r in df.withColumn("d", sampling.draw("scenario_id", 42)).collect())
+    for n in (0, 2, 4001, 100_000):
+        want = {i for c in ("yes", "no") for i in [r[2] for r in drawn if r[0] == c][:n // 2]}
+        assert {r.scenario_id for r in sampling.balanced(df, n).collect()} == want
+    small = sampling.first_drawn(df, spark.createDataFrame([("yes", 7)], "is_conflict string, _want long"), "is_conflict", bits=4)
+    assert {r.scenario_id for r in small.collect()} == {r[2] for r in [x for x in drawn if x[0] == "yes"][:7]}
+
+
+def test_rebalance_keeps_a_balanced_table_whole(spark):
+    df = labelled(spark, 50, 50).unionByName(spark.createDataFrame([(1000, None), (1001, "maybe")], "scenario_id long, is_conflict string"))
+    assert sampling.rebalance(df).count() == 102
