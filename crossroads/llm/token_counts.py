@@ -25,7 +25,6 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField
 
 from crossroads.llm.frames import map_texts, stored, text_slices
@@ -92,10 +91,24 @@ def _lengths(path: str, shared) -> Lengths:
     return _WORKER[key]
 
 
+#: Summaries that one task merges.
+MERGED = 16
+
+
+def _packed(kept: Counter, most: int) -> pa.RecordBatch:
+    top = kept.most_common(most)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(["\n".join(w for w, _ in top)], pa.string()), pa.array([[n for _, n in top]], pa.list_(pa.int64()))], ["words", "n"])
+
+
 def frequent_pretokens(docs: DataFrame, most: int = FREQUENT) -> list[str]:
-    """At most ``most`` frequent pre-tokens of the form " word", counted over all documents in bounded summaries."""
+    """At most ``most`` frequent pre-tokens of the form " word", from bounded summaries of all documents.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task's summary is one row of at most ``most`` words and counts. Rows are merged ``MERGED`` at a time, each round into
+    fewer rows of the same bound, and the last one comes to the driver: words are never shuffled one by one.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: Counter = Counter()
         for batch in batches:
             for part in text_slices(batch):
@@ -104,19 +117,22 @@ def frequent_pretokens(docs: DataFrame, most: int = FREQUENT) -> list[str]:
                         kept.update(text.split())
                         while len(kept) > 4 * most:
                             kept = Counter({w: n - 1 for w, n in kept.items() if n > 1})
-        top = [(w, n) for w, n in kept.most_common(most) if len(w.encode()) <= LONGEST]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["w", "n"])
-
-    found = stored(docs.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "frequent")
-    # How many words there are by eighths of a doubling of their count: at most 8 * 63 numbers come to the driver.
-    steps = found.groupBy(F.floor(8 * F.log2("n")).alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect()
-    above, least = 0, None
-    for r in steps:
-        above += r["words"]
-        if above > most:
-            break
-        least = r["step"]
-    return [] if least is None else sorted(r["w"] for r in found.filter(F.floor(8 * F.log2("n")) >= least).select("w").collect())
+        yield _packed(Counter({w: n for w, n in kept.items() if len(w.encode()) <= LONGEST}), most)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: Counter = Counter()
+        for batch in batches:
+            for words, n in zip(batch.column("words").to_pylist(), batch.column("n").to_pylist()):
+                for w, k in zip(words.split("\n"), n):
+                    kept[w] += k
+        if kept:
+            yield _packed(kept, most)
+
+    found = stored(docs.select("text").mapInArrow(count, "words string, n array<long>"), "frequent")
+    while (rows := found.count()) > 1:
+        found = stored(found.repartition(-(-rows // MERGED)).mapInArrow(merge, "words string, n array<long>"), "frequent")
+    last = found.first()
+    return sorted(last["words"].split("\n")) if last and last["n"] else []
 
 
 def counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
