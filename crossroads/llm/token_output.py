@@ -284,7 +284,7 @@ def write(docs: DataFrame, path: str, folder: str | None = None, shard_bytes: in
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([ends[-1]], pa.int64())], ["shard", "tokens"])
 
     encoded = docs.withColumn("h", F.xxhash64("text")).mapInArrow(encode, "shard int, doc_id long, h long, ids binary")
-    ordered = encoded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "h")
+    ordered = encoded.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "h")
     sizes = dict(map(tuple, ordered.mapInArrow(save, "shard int, tokens long").collect()))  # one row for each shard
     before, total = {}, 0
     for number in sorted(sizes):
@@ -325,7 +325,7 @@ def read(keys: DataFrame, store: Store, fn=None, fields: str = "ids array<long>"
                 ) if found else pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * (3 + len(names)), ["doc_id", "start", "n_tokens", *names])
 
     keys = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    routed = keys.mapInArrow(route, "shard int, doc_id long").repartition(len(store.bounds) + 1, "shard").sortWithinPartitions("shard")
+    routed = keys.mapInArrow(route, "shard int, doc_id long").repartitionById(len(store.bounds) + 1, F.col("shard")).sortWithinPartitions("shard")
     return routed.mapInArrow(look_up, f"doc_id long, start long, n_tokens long, {fields}")
 
 
