@@ -171,16 +171,17 @@ class RunLengthIndex:
             ahead[:n - step] = rank[step:] + 1
             rank = np.unique(rank * (n + 1) + ahead, return_inverse=True)[1]
             step *= 2
-        self.suffix = np.empty(n, np.int64)
-        self.suffix[rank] = np.arange(n)
-        transform = text[self.suffix - 1]
-        self.heads = np.flatnonzero(np.r_[True, transform[1:] != transform[:-1]])
+        suffix = np.empty(n, np.int64)
+        suffix[rank] = np.arange(n)
+        transform = text[suffix - 1]
+        heads = np.flatnonzero(np.r_[False, transform[1:] != transform[:-1]])
+        # Only the samples are kept: the positions at run heads, at the ends of the runs before them, and the outermost ones.
+        self.heads, self.tails, self.outer = suffix[heads], suffix[heads - 1], (suffix[:1].copy(), suffix[-1:].copy())
 
     def matches(self) -> np.ndarray:
         """At each position the longest match with any other position, streamed from the samples."""
-        heads = self.heads[self.heads > 0]
-        above = self._streamed(self.suffix[heads], self.suffix[heads - 1], self.suffix[:1])
-        below = self._streamed(self.suffix[heads - 1], self.suffix[heads], self.suffix[-1:])
+        above = self._streamed(self.heads, self.tails, self.outer[0])
+        below = self._streamed(self.tails, self.heads, self.outer[1])
         return np.maximum(above, below)
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
