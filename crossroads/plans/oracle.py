@@ -792,3 +792,39 @@ _LISTED = ["number_of_conflicts", "any_unknown", "places_of_conflicts", "conflic
 define("lane_decisions_any_size", f"""select w.scenario_id, sc.n as n_vehicles, is_conflict,
   {", ".join(f"case when sc.n <= 8 then {c} end as {c}" for c in _LISTED)}, case when sc.n > 8 then 'too many vehicles to list' end as reason
   from whole w join sc using (scenario_id)""", "whole", "sc")
+
+# --- whole reports, labels of generated rows, sketches, histogram of the stream -------------------
+
+
+def tall_sql(report: str, name: str, labels: list[str], numbers: list[str]) -> str:
+    """The rows of a report query as (report, dimension, metric, value)."""
+    told = f"concat_ws('/', {', '.join(labels)})" if labels else "'all'"
+    cells = ", ".join(f"{c}::double as {c}" for c in numbers)
+    return f"""select '{report}' as report, dimension, metric, round(value, 4) as value
+  from (select {told} as dimension, {cells} from ({ORACLE[name]})) unpivot include nulls (value for metric in ({", ".join(numbers)}))"""
+
+
+_SCORES = ["accuracy", "precision", "recall", "f1", "fnr"]
+define("evaluation_reports", "\nunion all ".join([
+    tall_sql("bias", "subgroup_metrics", ["dimension", "grp"], ["n", *_SCORES, "wt_mae_s", "conflict_rate_true", "conflict_rate_pred"]),
+    tall_sql("robustness", "flip_rates", ["feature", "delta"], ["tests", "flips", "flip_rate"]),
+    tall_sql("stability", "stability", [], ["n_features", "overall_stability"]),
+    tall_sql("explain", "sensitivity", ["feature"], ["normalised"]),
+    tall_sql("agreement", "rule_agreement", ["variant"], ["n", "rule_agreement_rate"]),
+    tall_sql("combined", "variant_metrics", ["variant"], [
+        "n", *_SCORES, "json_validity_rate", "fallback_rate", "rule_disagree_rate", "conflict_rate_true", "conflict_rate_pred"]),
+]))
+define("variant_wait_mae", f"""select variant, count(*) as n, round(avg(case when predicted_label = true_label then 0 else wt_mae end), 4) as waiting_time_mae
+  from predictions join ({ORACLE['wait_mae']}) w using (scenario_id) group by variant""", "predictions")
+define("latency_sketch", """select variant, share, count(latency_ms) as n, true as close
+  from predictions, (values ('p50'), ('p95'), ('p99')) s(share) group by variant, share""", "predictions")
+define("stream_latency_histogram", ORACLE_BODY["metric_counters"].replace("select case", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') as hour, case", 1)
+       .replace("group by 1, 2", "group by 1, 2, 3"), "pe")
+cte("gen_m", "select *, case when speed > 0 then distance_to_intersection / (speed / 3.6::double) end as tn from two_lane", "two_lane")
+cte("gen_p", near_pairs_sql("<").replace("from m a join m b", "from gen_m a join gen_m b"), "gen_m")
+cte("gen_r", near_rank_sql("gen_p").replace("from m\n", "from gen_m m\n").replace(
+    "min_by(wait, seq1 * 100 + seq2) as wait", "nullif(min_by(w0, seq1 * 100 + seq2), -1) as wait"), "gen_m", "gen_p")
+define("generated_labelled", f"""select r.scenario_id, r.seq, r.vehicle_id, case when grp <> 2 then rank end as rank,
+  cast(case when loss_at is not null then 2 + {hash32("'42|' || r.scenario_id || '|' || r.seq")} % 5 else 0 end as int) as wait,
+  case when coalesce(c, 0) > 0 then 'yes' else 'no' end as is_conflict, cast(coalesce(c, 0) as int) as number_of_conflicts
+  from gen_r r left join (select scenario_id, count(*) as c from gen_p group by scenario_id) p using (scenario_id)""", "gen_r", "gen_p")

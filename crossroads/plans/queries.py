@@ -563,6 +563,31 @@ def wait_mae(spark, d):
     )
 
 
+@query
+def variant_wait_mae(spark, d):
+    """Waiting error per variant: where a variant is wrong about a scenario it tells the near rule's waits."""
+    s = A.scenarios(spark, d)
+    ref = lane.decisions(s).select("scenario_id", F.col("waiting_times").alias("reference_waits"))
+    other = near.decisions(s).select("scenario_id", F.col("waiting_times").alias("other"))
+    told = A.predictions(spark, d).select("scenario_id", "variant", (F.col("predicted_label") == F.col("true_label")).alias("right"))
+    rows = told.join(ref.join(other, "scenario_id"), "scenario_id")
+    return metrics.wait_error(rows.withColumn("predicted_waits", F.when(F.col("right"), F.col("reference_waits")).otherwise(F.col("other"))), ["variant"])
+
+
+@query
+def latency_sketch(spark, d):
+    """Daily sketches per variant, merged: for each share whether the quantile's exact rank is within two percent of it."""
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    p = A.predictions(spark, d).select("variant", "latency_ms", F.to_date("ts").alias("day"))
+    merged = metrics.sketch_quantiles(metrics.latency_sketches(p, ["variant", "day"]), ["variant"], shares)
+    cells = ", ".join(f"'{name}', {q}d, {name}" for name, q in shares.items())
+    told = merged.select("variant", "n", F.expr(f"stack({len(shares)}, {cells}) as (share, q, value)"))  # three rows per variant
+    ranked = p.join(F.broadcast(told), "variant").groupBy("variant", "share", "q", "n").agg(
+        F.avg((F.col("latency_ms") <= F.col("value")).cast("int")).alias("upto"), F.avg((F.col("latency_ms") < F.col("value")).cast("int")).alias("below"))
+    close = (F.col("upto") >= F.col("q") - 0.02) & (F.col("below") <= F.col("q") + 0.02)
+    return ranked.select("variant", "share", "n", close.alias("close"))
+
+
 def _mean_waits(spark, d) -> DataFrame:
     waits = lane.priority_waits(lane.pairs(A.scenarios(spark, d)))
     return waits.groupBy("scenario_id").agg(F.avg("wait").alias("mean_wait"))
@@ -777,6 +802,18 @@ def report_tables(spark, d):
     )
 
 
+@query
+def evaluation_reports(spark, d):
+    """The bias, robustness, explanation and combined reports as one tidy table."""
+    rates = _rates(spark, d)
+    p = A.predictions(spark, d)
+    return writers.report_table(
+        bias=audit.subgroup_metrics(_audit_records(spark, d)), robustness=rates, stability=perturb.stability(rates),
+        explain=perturb.sensitivity(A.scenarios(spark, d)).select("feature", "normalised"),
+        agreement=metrics.rule_agreement(p, ["variant"]), combined=metrics.variant_metrics(p),
+    ).withColumn("value", F.round("value", 4))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
@@ -788,6 +825,13 @@ def stream_hourly_metrics(spark, d):
                       F.round("sum_ms", 2).alias("sum_ms"), F.round("max_ms", 2).alias("max_ms"))
 
 
+@query
+def stream_latency_histogram(spark, d):
+    path = stream.run_to_table(stream.latency_histogram(stream.event_stream(spark, d)), new_table_path(spark, "histogram"), "update")
+    out = stream.newest_of_batches(spark, path, ["hour", "conflict_result", "le"])
+    return out.select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), "conflict_result", "le", "n", F.round("sum_ms", 2).alias("sum_ms"))
+
+
 @query
 def stream_trigger(spark, d):
     path = new_table_path(spark, "triggers")
@@ -820,6 +864,12 @@ def generated_scenarios(spark, d):
     return generators.two_lane(_order_ids(spark, d))
 
 
+@query
+def generated_labelled(spark, d):
+    made = generators.labelled(generators.two_lane(_order_ids(spark, d)))
+    return made.select("scenario_id", "seq", "vehicle_id", "rank", "wait", "is_conflict", "number_of_conflicts")
+
+
 @query
 def generated_eight_lane(spark, d):
     return _r(generators.eight_lane(_order_ids(spark, d), num_vehicles=6, fixed_count=False), 6)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
-from ..operators import prefix
+from ..operators import near, prefix
+from ..operators import scenarios as S
 
 
 def uniform(seed: int, purpose: str, *parts: Column, group: int = 0) -> Column:
@@ -80,6 +81,17 @@ def ids(spark, n: int) -> DataFrame:
     return spark.range(n).withColumnRenamed("id", "scenario_id")
 
 
+def labelled(vehicles: DataFrame, seed: int = 42) -> DataFrame:
+    """Generated vehicle rows with their labels: rank and wait by the generator's rule, and the scenario's yes/no and pairs.
+
+    Labels are made in the scenario's partition and joined back by (scenario, place), one row to one row.
+    """
+    made = S.pack(vehicles).drop("oversized")
+    decided = near.decisions(made, inclusive=False).select("scenario_id", "is_conflict", "number_of_conflicts")
+    each = near.generator_labels(made, seed).select("scenario_id", "seq", "rank", "wait")
+    return vehicles.join(each, ["scenario_id", "seq"]).join(decided, "scenario_id")
+
+
 def limit_rows(vehicles: DataFrame, n: int) -> DataFrame:
     """The first ``n`` vehicle rows by (scenario, place): the last scenario may be cut."""
     return vehicles.orderBy("scenario_id", "seq").limit(n)

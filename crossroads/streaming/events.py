@@ -74,6 +74,18 @@ def hourly_counters(stream: DataFrame, delay: str | None = None) -> DataFrame:
     )
 
 
+def latency_histogram(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """Predictions per hour, result and latency bucket, beside the plain counters: at most 30 rows of state per hour."""
+    result = F.when(F.col("predicted") == "yes", "conflict").otherwise("no_conflict")
+    timed = stream if delay is None else stream.withWatermark("ts", delay)
+    le = monitor.latency_bucket(F.col("latency_ms") / 1000.0)
+    return (
+        timed.groupBy(F.window("ts", "1 hour").alias("w"), result.alias("conflict_result"), le.alias("le"))
+        .agg(F.count("*").alias("n"), F.sum("latency_ms").alias("sum_ms"))
+        .select(F.col("w.start").alias("hour"), "conflict_result", "le", "n", "sum_ms")
+    )
+
+
 def newest_of_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The last stored version of each key of an update-mode table."""
     rows = spark.read.parquet(path)
