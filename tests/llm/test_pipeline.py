@@ -11,7 +11,7 @@ from crossroads.llm.queries import ORACLE, QUERIES
 
 
 def test_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in entry.queries()) == 1
     assert "pipeline" in entry.queries()
     assert set(ORACLE) <= set(QUERIES) and set(QUERIES) <= set(entry.queries())
