@@ -15,6 +15,13 @@ LAYOUT_EIGHT_LANE = {
     "west": {7: ["D", "F"], 8: ["B", "C", "A"]},
 }
 
+# a second layout for the same lanes: straight and right change places, the first left turn also leaves the odd lane
+LAYOUT_SECOND = {
+    direction: {
+        lane: reach[::-1] + lanes[lane + 1][:1] if lane % 2 else reach[1:][::-1] for lane, reach in lanes.items()
+    } for direction, lanes in LAYOUT_EIGHT_LANE.items()
+}
+
 # two-lane layout: direction -> destinations
 LAYOUT_TWO_LANE = {
     "north": ["A", "B"],

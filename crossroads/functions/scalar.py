@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -30,22 +30,31 @@ def direction_code(direction: Column) -> Column:
     return code.cast("int")
 
 
-def movement(direction: Column, lane: Column, destination: Column, layout: dict = C.LAYOUT_EIGHT_LANE) -> Column:
+Layout = dict | DataFrame | Column
+
+
+def layout_map(layout: Layout) -> Column:
+    """A layout as one value: direction -> lane -> destinations in order.
+
+    A dict becomes a literal. A table of one row and one column (``readers.layout_row``) is read once by a scalar
+    subquery, however many expressions use it. A column is taken as it is.
+    """
+    if isinstance(layout, DataFrame):
+        return layout.scalar()
+    if isinstance(layout, Column):
+        return layout
+    lanes_of = lambda lanes: F.create_map(*[x for n, reach in lanes.items() for x in (F.lit(n), F.array(*map(F.lit, reach)))])
+    return F.create_map(*[x for name, lanes in layout.items() for x in (F.lit(name), lanes_of(lanes))])
+
+
+def movement(direction: Column, lane: Column, destination: Column, layout: Layout = C.LAYOUT_EIGHT_LANE) -> Column:
     """right / straight / left / unknown, from the position of the destination in the lane's list.
 
-    Even lanes are left-turn lanes. Each lane needs one comparison and one list
-    position, so the lookup stays in generated code and needs no join.
+    Even lanes are left-turn lanes. The layout is one small value, so the lookup stays in generated code and needs no join.
     """
-    turn = F.lit("unknown")
-    for name, lanes in layout.items():
-        for number, reachable in lanes.items():
-            place = F.array_position(F.array(*map(F.lit, reachable)), destination)
-            if number % 2 == 0:
-                found = F.when(place > 0, "left")
-            else:
-                found = F.when(place == 1, "right").when(place == 2, "straight").when(place == 3, "left")
-            turn = F.when((direction == name) & (lane == number), found.otherwise("unknown")).otherwise(turn)
-    return turn
+    place = F.array_position(layout_map(layout)[direction][lane.cast("int")], destination)
+    odd = F.get(F.array(F.lit("right"), F.lit("straight"), F.lit("left")), (place - 1).cast("int"))
+    return F.coalesce(F.when(lane % 2 == 0, F.when(place > 0, "left")).otherwise(odd), F.lit("unknown"))
 
 
 def clean_direction(direction: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions import scalar
 from . import lane, prefix
 
 
@@ -42,15 +43,15 @@ def whole_seconds(seconds: Column) -> Column:
     return F.ceil(F.round(seconds, 9)).cast("int")
 
 
-def waits_of_rows(vehicles: DataFrame) -> DataFrame:
+def waits_of_rows(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """The same for scenarios of any size, without pairs; a queue may span many tasks.
 
     Places and the running maximum are taken inside each part of the queue. A part begins after the
     ``n`` vehicles of all earlier parts, so its values move by two seconds for each of them.
     """
     own = ["scenario_id", "_part"]
-    rows = lane.involved_of_rows(vehicles).select("scenario_id", "seq", "vehicle_id", "t", "involved")
-    cut = prefix.ranged(rows, ["scenario_id"], ["t", "seq"], cut_by=lane.prepared(vehicles))
+    rows = lane.involved_of_rows(vehicles, layout).select("scenario_id", "seq", "vehicle_id", "t", "involved")
+    cut = prefix.ranged(rows, ["scenario_id"], ["t", "seq"], cut_by=lane.prepared(vehicles, layout))
     along = Window.partitionBy(*own).orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     free = F.when(F.col("involved"), F.col("t") - C.CLEARING_S * (F.col("rank") - 1))
     local = cut.withColumn("rank", F.count_if("involved").over(along)).withColumn("lead", F.max(free).over(along))

@@ -20,10 +20,11 @@ from . import prefix
 from . import scenarios as S
 
 
-def prepared(vehicles: DataFrame, layout: dict = C.LAYOUT_EIGHT_LANE) -> DataFrame:
+def prepared(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """Vehicle rows with what the rule needs of each: direction code ``d``, movement ``m``, arrival ``t``.
 
     Computed once per vehicle in generated code, before packing; pairs only compare the results.
+    ``layout`` is a dict or the one row of a layout file, see ``scalar.layout_map``.
     """
     return vehicles.withColumns({
         "d": scalar.direction_code(F.col("direction")),
@@ -32,12 +33,12 @@ def prepared(vehicles: DataFrame, layout: dict = C.LAYOUT_EIGHT_LANE) -> DataFra
     })
 
 
-def packed(vehicles: DataFrame) -> DataFrame:
+def packed(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """Vehicle rows of contract-sized scenarios as prepared scenario rows; see ``scenarios.pack``.
 
     Larger scenarios have no such row. ``decisions_of_rows`` and ``score`` answer for every scenario.
     """
-    return S.pack(prepared(vehicles)).filter(~F.col("oversized")).drop("oversized")
+    return S.pack(prepared(vehicles, layout)).filter(~F.col("oversized")).drop("oversized")
 
 
 def paths_cross(a: Column, b: Column) -> Column:
@@ -161,7 +162,7 @@ def pairs(scenarios: DataFrame) -> DataFrame:
 # --- scenarios of any size: one row per vehicle ---------------------------------
 
 
-def pairs_of_rows(vehicles: DataFrame) -> DataFrame:
+def pairs_of_rows(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """The same pairs from vehicle rows, for scenarios of any size.
 
     Conflicting arrivals are at most one four-second band apart, so each vehicle meets only
@@ -169,7 +170,7 @@ def pairs_of_rows(vehicles: DataFrame) -> DataFrame:
     table spreads over its bands. Vehicles that can never conflict leave before the join.
     """
     rows = (
-        prepared(vehicles)
+        prepared(vehicles, layout)
         .filter((F.col("m") != "unknown") & F.col("t").isNotNull())
         .select("scenario_id", F.struct("seq", "vehicle_id", "d", "m", "t").alias("a"))
         .withColumn("band", F.floor(F.col("a.t") / C.ARRIVAL_GAP_S))
@@ -187,13 +188,13 @@ def pairs_of_rows(vehicles: DataFrame) -> DataFrame:
     )
 
 
-def involved_of_rows(vehicles: DataFrame) -> DataFrame:
+def involved_of_rows(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """Prepared vehicle rows with ``involved``: is the vehicle in any conflict? Any scenario size, no pairs.
 
     Of each kind of approach and movement only the nearest arrival before and after can matter: if
     that one is too far apart, all others are. So two running values per kind answer the question.
     """
-    rows = prepared(vehicles)
+    rows = prepared(vehicles, layout)
     kinds = [(d, m) for d in range(len(C.DIRECTIONS)) for m in ("right", "straight", "left")]
     at = lambda d, m: F.when((F.col("d") == d) & (F.col("m") == m), F.col("t"))
     met = prefix.running(
@@ -208,30 +209,33 @@ def involved_of_rows(vehicles: DataFrame) -> DataFrame:
     return met.select(*rows.columns, reduce(lambda a, b: a | b, hits).alias("involved"))
 
 
-def labels_of_rows(vehicles: DataFrame) -> DataFrame:
+def labels_of_rows(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """One row per scenario of any size: vehicles, vehicles in a conflict, yes/no, whether a movement is unknown."""
-    return involved_of_rows(vehicles).groupBy("scenario_id").agg(
+    return involved_of_rows(vehicles, layout).groupBy("scenario_id").agg(
         F.count("*").alias("n_vehicles"), F.count_if("involved").alias("n_involved"),
         scalar.yes_no(F.max("involved")).alias("is_conflict"), F.max(F.col("m") == "unknown").alias("any_unknown"),
     )
 
 
-def decisions_of_rows(vehicles: DataFrame, max_listed: int = C.MAX_VEHICLES) -> DataFrame:
+def decisions_of_rows(
+    vehicles: DataFrame, max_listed: int = C.MAX_VEHICLES, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE
+) -> DataFrame:
     """One row per scenario of any size: yes/no, vehicles in conflicts, and its whole decision or the ``reason`` for none.
 
     Yes or no needs no pairs and is there for every scenario. Pairs, texts and maps are lists in a row, so they are
     given up to ``max_listed`` vehicles; above that they are NULL, the reason says so, and ``pairs_of_rows``,
     ``priority_waits`` and ``cascade.waits_of_rows`` hold the same as rows.
     """
-    labels = labels_of_rows(vehicles).drop("any_unknown")
-    listed = decisions(S.pack(prepared(vehicles), max_listed).filter(~F.col("oversized")).drop("oversized")).drop("is_conflict")
+    labels = labels_of_rows(vehicles, layout).drop("any_unknown")
+    small = S.pack(prepared(vehicles, layout), max_listed).filter(~F.col("oversized")).drop("oversized")
+    listed = decisions(small).drop("is_conflict")
     reason = F.when(F.col("n_vehicles") > max_listed, "too many vehicles to list")
     return labels.join(listed, "scenario_id", "left").withColumn("reason", reason)
 
 
-def all_pairs(vehicles: DataFrame) -> DataFrame:
+def all_pairs(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """Pairs of a vehicle table with scenarios of every size: one form for all of them."""
-    return pairs_of_rows(vehicles)
+    return pairs_of_rows(vehicles, layout)
 
 
 # --- per vehicle ----------------------------------------------------------------
@@ -348,7 +352,10 @@ def fallback_decisions(scenarios: DataFrame, label: str) -> DataFrame:
     )
 
 
-def score(vehicles: DataFrame, labels: DataFrame | None = None, label: str = "given_label") -> DataFrame:
+def score(
+    vehicles: DataFrame, labels: DataFrame | None = None, label: str = "given_label",
+    layout: scalar.Layout = C.LAYOUT_EIGHT_LANE,
+) -> DataFrame:
     """Batch scoring of a vehicle table: one row per scenario, with a decision or an ``error``.
 
     The rule only runs on scenarios that meet the contract. ``labels`` (scenario_id and a 'yes'/'no'
@@ -356,7 +363,7 @@ def score(vehicles: DataFrame, labels: DataFrame | None = None, label: str = "gi
     """
     status = S.scenario_status(vehicles).select("scenario_id", F.col("reason").alias("error"))
     accepted = status.filter("error is null").select("scenario_id")
-    made = decisions(packed(vehicles).join(accepted, "scenario_id", "left_semi"))
+    made = decisions(packed(vehicles, layout).join(accepted, "scenario_id", "left_semi"))
     out = status.join(made, "scenario_id", "left")
     if labels is None:
         return out

@@ -27,13 +27,18 @@ def lane_rule(scenarios: DataFrame) -> DataFrame:
     return lane.with_label(scenarios, "prediction")
 
 
+def with_layout(scenarios: DataFrame, layout: scalar.Layout) -> DataFrame:
+    """Adds the layout as a column: lists are changed by functions over arrays, which take columns but no subqueries."""
+    return scenarios.withColumn("layout", scalar.layout_map(layout))
+
+
 def refreshed(v: Column, **changed: Column) -> Column:
-    """The vehicle with changed fields and the prepared fields that depend on them."""
+    """The vehicle with changed fields and the prepared fields that depend on them; a new movement is read from ``layout``."""
     now = lambda f: changed.get(f, v[f])
     if "speed" in changed or "distance_to_intersection" in changed:
         changed["t"] = scalar.lane_arrival_s(now("speed"), now("distance_to_intersection"))
     if "lane" in changed or "destination" in changed:
-        changed["m"] = scalar.movement(v["direction"], now("lane"), now("destination"))
+        changed["m"] = scalar.movement(v["direction"], now("lane"), now("destination"), F.col("layout"))
     for field, value in changed.items():
         v = v.withField(field, value)
     return v
@@ -44,19 +49,17 @@ def _floored(value: Column, delta: Column) -> Column:
 
 
 def _lanes_of(direction: Column) -> Column:
-    lanes = F.array(*map(F.lit, C.LAYOUT_EIGHT_LANE["north"]))
-    for name, by_lane in C.LAYOUT_EIGHT_LANE.items():
-        lanes = F.when(direction == name, F.array(*map(F.lit, by_lane))).otherwise(lanes)
-    return lanes
+    """The lanes of a direction in ``layout``; those of the north for an unknown direction."""
+    layout = F.col("layout")
+    return F.map_keys(F.coalesce(layout[direction], layout["north"]))
 
 
 def _destinations_of(direction: Column) -> Column:
-    """All destinations of a direction in layout order; any letter for an unknown direction."""
-    letters = F.array(*map(F.lit, "ABCDEFGH"))
-    for name, by_lane in C.LAYOUT_EIGHT_LANE.items():
-        reach = [d for lane_list in by_lane.values() for d in lane_list]
-        letters = F.when(direction == name, F.array(*map(F.lit, reach))).otherwise(letters)
-    return letters
+    """All destinations of a direction in layout order; every letter of the layout for an unknown direction."""
+    reach = lambda lanes: F.flatten(F.map_values(lanes))
+    layout = F.col("layout")
+    every = F.flatten(F.transform(F.map_values(layout), reach))
+    return F.coalesce(reach(layout[direction]), F.array_sort(F.array_distinct(every)))
 
 
 def lane_alternative(v: Column) -> Column:
@@ -104,16 +107,23 @@ def rerouted(scenarios: DataFrame) -> DataFrame:
     return _one_changed(scenarios, "destination", destination_alternatives, lambda i, k: k)
 
 
-def reordered(scenarios: DataFrame, shuffles: int = 3, seed: int = 7, always_reverse: bool = False) -> DataFrame:
-    """The reversed list and ``shuffles`` hash-ordered ones; copies equal to the original are left out."""
-    names = ["reverse"] + [f"shuffle{k}" for k in range(1, shuffles + 1)]
-    out = scenarios.withColumn("delta", F.explode(F.array(*map(F.lit, names))))
-    draw = lambda v: F.md5(F.concat_ws("|", F.lit(seed), F.col("delta"), F.col("scenario_id"), v["seq"]))
+def _order_names(shuffles: int) -> list[str]:
+    return ["reverse"] + [f"shuffle{k}" for k in range(1, shuffles + 1)]
+
+
+def _order(name: Column, seed: int) -> Column:
+    """The places in ``vehicles`` in the named order: reversed, or by a hash of the name and the vehicle."""
+    draw = lambda v: F.md5(F.concat_ws("|", F.lit(seed), name, F.col("scenario_id"), v["seq"]))
     drawn = F.array_sort(F.transform("vehicles", lambda v, i: F.struct(draw(v).alias("k"), i.alias("i"))))
     index = F.transform("vehicles", lambda v, i: i)
-    order = F.when(F.col("delta") == "reverse", F.reverse(index)).otherwise(F.transform(drawn, lambda x: x["i"]))
-    out = out.withColumn("order", order)
-    same = F.col("order") == index
+    return F.when(name == "reverse", F.reverse(index)).otherwise(F.transform(drawn, lambda x: x["i"]))
+
+
+def reordered(scenarios: DataFrame, shuffles: int = 3, seed: int = 7, always_reverse: bool = False) -> DataFrame:
+    """The reversed list and ``shuffles`` hash-ordered ones; copies equal to the original are left out."""
+    out = scenarios.withColumn("delta", F.explode(F.array(*map(F.lit, _order_names(shuffles)))))
+    out = out.withColumn("order", _order(F.col("delta"), seed))
+    same = F.col("order") == F.transform("vehicles", lambda v, i: i)
     keep = ~same | (F.col("delta") == "reverse") if always_reverse else ~same
     place = F.transform("order", lambda i, j: F.get("vehicles", i).withField("seq", j + 1))
     return out.filter(keep).withColumn("vehicles", place).drop("order")
@@ -128,10 +138,15 @@ COPIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def records(scenarios: DataFrame, feature: str, predictor: Predictor = lane_rule) -> DataFrame:
-    """One row per perturbed copy: base and new prediction, and whether they differ."""
+def records(
+    scenarios: DataFrame, feature: str, predictor: Predictor = lane_rule, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE
+) -> DataFrame:
+    """One row per perturbed copy: base and new prediction, and whether they differ.
+
+    ``layout`` is the one the scenarios were prepared with; other lanes, destinations and movements come from it.
+    """
     base = predictor(scenarios.select("scenario_id", "vehicles")).withColumnRenamed("prediction", "base_pred")
-    copies = COPIES[feature](base.select("scenario_id", "vehicles", "base_pred"))
+    copies = COPIES[feature](with_layout(base.select("scenario_id", "vehicles", "base_pred"), layout)).drop("layout")
     made = predictor(copies).withColumnRenamed("prediction", "perturbed_pred")
     return made.select(
         "scenario_id", F.lit(feature).alias("feature"), F.col("delta").cast("string").alias("delta"),
@@ -182,6 +197,38 @@ def _as_records(df: DataFrame) -> DataFrame:
     )
 
 
+def order_records(scenarios: DataFrame, shuffles: int = 3, seed: int = 7, always_reverse: bool = False) -> DataFrame:
+    """``records`` of the vehicle order under the lane rule, the base and every order in one pass over half of the pairs.
+
+    Orders are made once per scenario, vehicles are cut to what the rule reads. A pair meets the rule once as it stands
+    and once for each order, first the vehicle that comes first there. An order that turns no pair round is the original.
+    """
+    names = _order_names(shuffles)
+    a, b = F.col("a"), F.col("b")
+    own = ["scenario_id", "n_vehicles"]
+    slim = F.transform("vehicles", lambda v, i: F.struct(v["d"], v["m"], v["t"], i.alias("i")))
+    # the reversed list needs no array: it turns every pair round
+    ordered = scenarios.select(
+        "scenario_id", F.size("vehicles").alias("n_vehicles"), slim.alias("vs"), *[_order(F.lit(n), seed).alias(n) for n in names[1:]])
+    first = ordered.select("*", F.explode("vs").alias("a"))
+    start = F.when(a["i"] == 0, 1).otherwise(a["i"] + 2)  # the first vehicle meets itself once, as above
+    both = first.select(*own, *names[1:], "a", F.explode(F.slice("vs", start, F.size("vs"))).alias("b"))
+    pair = a["i"] != b["i"]
+    place = lambda n, v: F.array_position(F.col(n), v["i"])
+    both = both.select(*own, "a", "b", *[(place(n, a) > place(n, b)).alias(n) for n in names[1:]])
+    turned = lambda n: F.lit(True) if n == "reverse" else F.col(n)
+    in_order = lambda n: lane.conflict(F.when(turned(n), b).otherwise(a), F.when(turned(n), a).otherwise(b))
+    tested = both.groupBy(*own).agg(
+        F.max(pair & lane.conflict(a, b)).alias("base"),
+        *[F.max(pair & in_order(n)).alias(f"new_{n}") for n in names], *[F.max(pair & turned(n)).alias(f"moved_{n}") for n in names],
+    )
+    orders = F.array(*[
+        F.struct(F.lit(n).alias("delta"), F.col(f"new_{n}").alias("new"), F.col(f"moved_{n}").alias("moved")) for n in names])
+    keep = F.col("moved") | (F.col("delta") == "reverse") if always_reverse else F.col("moved")
+    each = tested.select("scenario_id", "n_vehicles", F.lit("vehicle_order").alias("feature"), "base", F.inline(orders))
+    return _as_records(each.filter(keep))
+
+
 def _choice(feature: str, delta: Column, shift: float | None = None, m: Column | None = None) -> Column:
     """One change to one vehicle: its name, and the shift or the movement it leads to."""
     return F.struct(
@@ -190,7 +237,9 @@ def _choice(feature: str, delta: Column, shift: float | None = None, m: Column |
     )
 
 
-def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_first: bool = False) -> DataFrame:
+def single_vehicle_records(
+    scenarios: DataFrame, features: list[str], lanes_of_first: bool = False, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE
+) -> DataFrame:
     """One row per changed vehicle and choice under the lane rule: feature, delta, base, new, changed.
 
     A scenario's other pairs keep their answer (``others``), so only the changed vehicle's own
@@ -215,6 +264,7 @@ def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_f
         "*", (total > 0).alias("base"), (total - F.col("own") > 0).alias("others"),
         F.count("*").over(within).cast("int").alias("n_vehicles"),
     )
+    vehicle = with_layout(vehicle, layout)
     lanes = (
         F.filter(_lanes_of(F.col("first_direction")), lambda x: x != a["lane"]) if lanes_of_first
         else F.slice(F.filter(_lanes_of(a["direction"]), lambda x: x != a["lane"]), 1, 1)
@@ -225,9 +275,9 @@ def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_f
         "speed": lambda: F.array(*[_choice("speed", F.lit(str(x)), shift=x) for x in C.SPEED_DELTAS]),
         "distance": lambda: F.array(*[_choice("distance", F.lit(str(x)), shift=x) for x in C.DISTANCE_DELTAS]),
         "lane": lambda: F.transform(lanes, lambda x, k: _choice(
-            "lane", lane_delta(k).cast("string"), m=scalar.movement(a["direction"], x, a["destination"]))),
+            "lane", lane_delta(k).cast("string"), m=scalar.movement(a["direction"], x, a["destination"], F.col("layout")))),
         "destination": lambda: F.transform(destination_alternatives(a), lambda x, k: _choice(
-            "destination", k.cast("string"), m=scalar.movement(a["direction"], a["lane"], x))),
+            "destination", k.cast("string"), m=scalar.movement(a["direction"], a["lane"], x, F.col("layout")))),
     }
     choices = F.concat(*[made[f]() for f in features])
     each = vehicle.select(
@@ -244,12 +294,12 @@ def single_vehicle_records(scenarios: DataFrame, features: list[str], lanes_of_f
     return _as_records(each.withColumn("new", F.col("others") | hit))
 
 
-def all_records(scenarios: DataFrame) -> DataFrame:
+def all_records(scenarios: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """The five robustness tests under the lane rule, in one table."""
     return prefix.union_all([
         lane_records(scenarios, "speed", "distance"),
-        single_vehicle_records(scenarios, ["lane", "destination"]),
-        records(scenarios, "vehicle_order"),
+        single_vehicle_records(scenarios, ["lane", "destination"], layout=layout),
+        order_records(scenarios),
     ])
 
 
@@ -311,17 +361,10 @@ def heat_table(recs: DataFrame) -> DataFrame:
     )
 
 
-def sensitivity(scenarios: DataFrame) -> DataFrame:
+def sensitivity(scenarios: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """Per feature: mean over scenarios of flips per test (0 where nothing was tested), and its share of the largest."""
-    single = single_vehicle_records(scenarios, ["speed", "distance", "lane", "destination"], lanes_of_first=True)
-    order = reordered(
-        lane_rule(scenarios.select("scenario_id", "vehicles")).withColumnRenamed("prediction", "base_pred"),
-        shuffles=4, always_reverse=True,
-    )
-    moved = lane_rule(order).select(
-        "scenario_id", F.lit("vehicle_order").alias("feature"),
-        (F.col("prediction") != F.col("base_pred")).alias("changed"),
-    )
+    single = single_vehicle_records(scenarios, ["speed", "distance", "lane", "destination"], lanes_of_first=True, layout=layout)
+    moved = order_records(scenarios, shuffles=4, always_reverse=True)
     # scored before the union: each side is still partitioned by scenario
     score = lambda recs: recs.groupBy("scenario_id", "feature").agg(
         (F.count_if("changed") / F.count("*")).alias("score"))

@@ -14,17 +14,17 @@ ORACLE: dict[str, str] = {}
 ORACLE_BODY: dict[str, str] = {}
 
 
-def define(name: str, body: str, *ctes: str) -> None:
-    """Register ``body`` behind the named common table expressions it needs, in order."""
-    chosen, seen = [], set()
+def define(name: str, body: str, *ctes: str, instead: dict[str, str] | None = None) -> None:
+    """Register ``body`` behind the named common table expressions it needs, in order; ``instead`` names stand-ins for some."""
+    chosen, seen, instead = [], set(), instead or {}
 
     def need(key):
         if key in seen:
             return
         seen.add(key)
-        for dep in CTE_DEPS.get(key, []):
+        for dep in CTE_DEPS.get(instead.get(key, key), []):
             need(dep)
-        chosen.append(f"{key} as ({CTES[key]})")
+        chosen.append(f"{key} as ({CTES[instead.get(key, key)]})")
 
     for key in ctes:
         need(key)
@@ -607,6 +607,7 @@ SINGLE = "select scenario_id, feature, delta, base_pred, perturbed_pred, base_pr
 define("perturb_lane", SINGLE + "pl", "pl")
 define("perturb_destination", SINGLE + "pdest", "pdest")
 define("perturb_order", "select * from po", "po")
+define("perturb_order_any_predictor", "select * from po", "po")
 define("perturb_distance_any_predictor", f"""select l.scenario_id, 'distance' as feature, cast(k.delta as varchar) as delta, l.is_conflict as base_pred,
   case when coalesce(h.c, 0) >= 2 then 'yes' else 'no' end as perturbed_pred, (l.is_conflict = 'yes') <> (coalesce(h.c, 0) >= 2) as changed, sc.n as n_vehicles
   from nlabels l join sc using (scenario_id) cross join (values {', '.join(f'({x})' for x in C.DISTANCE_DELTAS)}) k(delta)
@@ -828,3 +829,31 @@ define("generated_labelled", f"""select r.scenario_id, r.seq, r.vehicle_id, case
   cast(case when loss_at is not null then 2 + {hash32("'42|' || r.scenario_id || '|' || r.seq")} % 5 else 0 end as int) as wait,
   case when coalesce(c, 0) > 0 then 'yes' else 'no' end as is_conflict, cast(coalesce(c, 0) as int) as number_of_conflicts
   from gen_r r left join (select scenario_id, count(*) as c from gen_p group by scenario_id) p using (scenario_id)""", "gen_r", "gen_p")
+
+# --- the second layout, from a file ---------------------------------------------------------
+
+TURNS = [(n, to, "left" if n % 2 == 0 else ["right", "straight", "left"][i])
+         for lanes in C.LAYOUT_SECOND.values() for n, reach in lanes.items() for i, to in enumerate(reach)]
+cte("reach_2", f"select * from (values {', '.join(map(str, TURNS))}) r(lane, destination, m)")
+cte("dests_2", "select d, unnest(string_split(l, '')) as dest, generate_subscripts(string_split(l, ''), 1) as place from (values "
+    + ", ".join(f"({d}, '{''.join(to for reach in lanes.values() for to in reach)}')" for d, lanes in enumerate(C.LAYOUT_SECOND.values()))
+    + ") x(d, l)")
+cte("m_2", """select raw_rows.*, coalesce(r.m, 'unknown') as m,
+  case when speed > 0 then distance_to_intersection / (speed * 1000 / 3600) end as t
+  from raw_rows left join reach r on r.lane = raw_rows.lane and r.destination = raw_rows.destination""", "raw_rows", "reach")
+cte("m_2_supplier", CTES["m_2"].replace("raw_rows", "supplier_rows"), "supplier_rows", "reach")
+SECOND = {"m": "m_2", "reach": "reach_2", "dests": "dests_2"}
+for name, body, needs in [
+    ("layout_file_movements", "select scenario_id, seq, m as movement from m", ["m"]),
+    ("layout_file_pairs", ORACLE_BODY["lane_pairs"], ["lr"]),
+    ("layout_file_one_vehicle", SINGLE + "pl union all " + SINGLE + "pdest", ["pl", "pdest"]),
+    ("layout_file_rerouted_any_predictor", SINGLE + "pdest", ["pdest"]),
+    ("layout_file_sensitivity", ORACLE_BODY["sensitivity"], ["score"]),
+]:
+    define(name, body, *needs, instead=SECOND)
+define("layout_file_labels_any_size", """select m.scenario_id, count(*) as n_vehicles,
+  count(*) filter (where i.seq is not null) as n_involved, case when count(i.seq) > 0 then 'yes' else 'no' end as is_conflict,
+  bool_or(m.m = 'unknown') as any_unknown
+  from m left join (select scenario_id, seq1 as seq from lp union select scenario_id, seq2 from lp) i
+    on i.scenario_id = m.scenario_id and i.seq = m.seq group by m.scenario_id""", "m", "lp",
+       instead={**SECOND, "m": "m_2_supplier"})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -687,6 +688,12 @@ def perturb_destination(spark, d):
 
 @query
 def perturb_order(spark, d):
+    return perturb.order_records(A.scenarios(spark, d))
+
+
+@query
+def perturb_order_any_predictor(spark, d):
+    """The same by whole copies, as any predictor needs them."""
     return perturb.records(A.scenarios(spark, d), "vehicle_order")
 
 
@@ -736,6 +743,52 @@ def sensitivity(spark, d):
     return perturb.sensitivity(A.scenarios(spark, d))
 
 
+# --- a layout from a file -------------------------------------------------------------------------
+
+
+def _second_layout(spark) -> DataFrame:
+    """The second layout, written as a layout file to the shared folder and read back as one row."""
+    path = new_table_path(spark, "layout")
+    cell = json.dumps({"intersection_layout": {d: {str(n): r for n, r in lanes.items()} for d, lanes in C.LAYOUT_SECOND.items()}})
+    spark.createDataFrame([(cell,)], "value string").coalesce(1).write.text(path)
+    return readers.layout_row(readers.lane_layout(spark, path))
+
+
+@query
+def layout_file_movements(spark, d):
+    return lane.prepared(A.vehicles(spark, d), _second_layout(spark)).select("scenario_id", "seq", F.col("m").alias("movement"))
+
+
+@query
+def layout_file_pairs(spark, d):
+    return lane.pairs(A.scenarios(spark, d, _second_layout(spark)))
+
+
+@query
+def layout_file_labels_any_size(spark, d):
+    return lane.labels_of_rows(A.supplier_rows(spark, d), _second_layout(spark))
+
+
+@query
+def layout_file_one_vehicle(spark, d):
+    """Other lanes and destinations of the layout in use, one vehicle at a time."""
+    layout = _second_layout(spark)
+    return perturb.single_vehicle_records(A.scenarios(spark, d, layout), ["lane", "destination"], layout=layout)
+
+
+@query
+def layout_file_rerouted_any_predictor(spark, d):
+    """The same by whole copies for any predictor, here the lane rule."""
+    layout = _second_layout(spark)
+    return perturb.records(A.scenarios(spark, d, layout), "destination", layout=layout)
+
+
+@query
+def layout_file_sensitivity(spark, d):
+    layout = _second_layout(spark)
+    return perturb.sensitivity(A.scenarios(spark, d, layout), layout)
+
+
 # --- statistics and monitoring ----------------------------------------------------------------
 
 

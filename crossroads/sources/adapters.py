@@ -53,12 +53,12 @@ def _as_vehicles(lines: DataFrame, scenario: str = "l_orderkey") -> DataFrame:
     )
 
 
-def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scenarios(spark: SparkSession, sf_dir: str, layout: scalar.Layout = C.LAYOUT_EIGHT_LANE) -> DataFrame:
     """(scenario_id, vehicles): every order, packed; also those with a single line, which are in no conflict.
 
     An order has few lines (17 at most in the test data) and its lines meet in one task anyway to be numbered.
     """
-    rows = lane.prepared(raw_rows(spark, sf_dir))
+    rows = lane.prepared(raw_rows(spark, sf_dir), layout)
     return rows.groupBy("scenario_id").agg(
         F.array_sort(F.collect_list(F.struct(*S.packed_fields(rows)))).alias("vehicles")
     )

@@ -103,6 +103,20 @@ def lane_layout(spark: SparkSession, path: str | None = None) -> DataFrame:
     ).select("direction", F.col("lane").cast("int").alias("lane"), F.posexplode("reach").alias("place", "destination"))
 
 
+def layout_row(rows: DataFrame) -> DataFrame:
+    """Layout rows as one row with one value, direction -> lane -> destinations in order; rules and what-if read it.
+
+    Lanes stand in order of their numbers. A layout without rows gives a NULL value, under which every movement is unknown.
+    """
+    reach = F.transform(F.array_sort(F.collect_list(F.struct("place", "destination"))), lambda x: x["destination"])
+    lanes = F.map_from_entries(F.array_sort(F.collect_list(F.struct("lane", "reach"))))
+    layout = F.map_from_entries(F.collect_list(F.struct("direction", "lanes")))
+    return (
+        rows.groupBy("direction", "lane").agg(reach.alias("reach")).groupBy("direction").agg(lanes.alias("lanes"))
+        .agg(layout.alias("layout"))
+    )
+
+
 def two_lane_layout(spark: SparkSession, path: str) -> DataFrame:
     """(direction, place, destination) of the two-lane layout file; a missing key is an error."""
     doc = spark.read.json(path, multiLine=True)
