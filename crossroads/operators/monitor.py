@@ -26,11 +26,12 @@ def window_counts() -> list[Column]:
     ]
 
 
-def trigger(window: DataFrame, by: list[str] = [], drift_detected: bool = False) -> DataFrame:
+def trigger(window: DataFrame, by: list[str] = [], drift_detected: bool | DataFrame = False) -> DataFrame:
     """One row per group: metrics, reasons and the retraining flag.
 
     Thresholds are compared before rounding. Recall, miss rate and agreement only count
-    where there is ground truth. An empty window asks for nothing.
+    where there is ground truth. An empty window asks for nothing. ``drift_detected`` may be a
+    table of one row and one column, which is read inside the plan; no row or NULL counts as no drift.
     """
     counts = window.withColumn(
         "rule_agreement", F.col("predicted") == F.col("ground_truth")
@@ -44,6 +45,8 @@ def trigger(window: DataFrame, by: list[str] = [], drift_detected: bool = False)
     rows = counts.select(*by, "n_window", "n_labeled", recall.alias("recall"), fnr.alias("fnr"),
                          failure.alias("json_failure_rate"), agreement.alias("rule_agreement_rate"),
                          rate.alias("conflict_rate"))
+    drift = drift_detected.scalar() if isinstance(drift_detected, DataFrame) else F.lit(drift_detected)
+    rows = rows.withColumn("_drift", F.coalesce(drift, F.lit(False)))
     c = F.col
     breached = {
         "fnr": (c("fnr") > C.FNR_MAX, C.FNR_MAX),
@@ -53,7 +56,7 @@ def trigger(window: DataFrame, by: list[str] = [], drift_detected: bool = False)
     }
     reasons = F.array_compact(F.array(
         *[F.when(cond, fill(C.TRIGGER_TEXT[n], value=fixed(c(n), 3), limit=str(limit))) for n, (cond, limit) in breached.items()],
-        F.when(F.lit(drift_detected) & (c("n_window") > 0), C.TRIGGER_TEXT["drift"]),
+        F.when(c("_drift") & (c("n_window") > 0), C.TRIGGER_TEXT["drift"]),
     ))
     rounded = ["recall", "fnr", "json_failure_rate", "rule_agreement_rate", "conflict_rate"]
     out = rows.withColumn("triggers", reasons)

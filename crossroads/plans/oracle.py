@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from .. import constants as C
 from .. import schema
+from ..operators import training_sets
 
 ORACLE: dict[str, str] = {}
 ORACLE_BODY: dict[str, str] = {}
@@ -424,15 +425,33 @@ define("analysis_text", """select l.scenario_id, case when l.is_conflict = 'no'
     string_agg('Vehicle ' || vehicle_id || ': ' || wait || ' second(s)', chr(10) order by seq) as waits from pw group by scenario_id) p using (scenario_id)""",
        "labels", "lr", "pw")
 QUESTION = C.CHAT_QUESTION.replace("'", "''")
-define("chat_records", f"select l.scenario_id, '{QUESTION}' || t.text as question, l.is_conflict as answer from labels l join texts t using (scenario_id)", "labels", "texts")
-define("chat_lines", f"select '{QUESTION}' || t.text as question, l.is_conflict as answer from labels l join texts t using (scenario_id)", "labels", "texts")
-define("zero_shot_prompts", f"select scenario_id, 2 as n_messages, '{QUESTION}' || text as question from texts", "texts")
-define("decision_chat_records", """select l.scenario_id, 'V1001' as first_vehicle, l.is_conflict, cast(coalesce(c.c, 0) as int) as number_of_conflicts,
-  split_part(c.decisions, '; ', 1) as first_decision from labels l left join lc c using (scenario_id)""", "labels", "lc")
-define("raw_row_chat_records", """select r.scenario_id, r.vehicle_id, f.wait as first_wait, r.number_of_conflicts from raw_set r
-  join (select scenario_id, wait from gl where seq = 1) f using (scenario_id)""", "raw_set", "gl")
-define("few_shot_prompts", f"select scenario_id, 6 as n_messages, 'yes' as shown, '{QUESTION}' || text as question from texts", "texts")
-
+SYSTEM = training_sets.layout_prompt().replace("'", "''")
+ASKED = f"'system: {SYSTEM}' || chr(10) || 'user: {QUESTION}' || t.text"
+cte("jv", """select scenario_id, '[' || string_agg('{"vehicle_id":"' || vehicle_id || '","lane":' || lane || ',"speed":' || speed || ',"distance_to_intersection":' ||
+  distance_to_intersection || ',"direction":"' || direction || '","destination":"' || destination || '"}', ',' order by seq) || ']' as vehicles from m group by scenario_id""", "m")
+cte("vt", """select scenario_id, string_agg(concat_ws(' ', vehicle_id, lane, speed, distance_to_intersection, direction, destination), ';' order by seq) as vehicles
+  from m group by scenario_id""", "m")
+define("chat_records", f"select l.scenario_id, {ASKED} || chr(10) || 'assistant: ' || l.is_conflict as messages from labels l join texts t using (scenario_id)", "labels", "texts")
+define("chat_lines", f"select {ASKED} || chr(10) || 'assistant: ' || l.is_conflict as messages from labels l join texts t using (scenario_id)", "labels", "texts")
+define("zero_shot_prompts", f"select scenario_id, 'zero-shot' as mode, {ASKED} as messages from texts t", "texts")
+define("decision_chat_records", """select l.scenario_id, 'system: Resolve the scenario.' || chr(10) || 'user: {"vehicles":' || jv.vehicles || '}' || chr(10) ||
+  'assistant: {"is_conflict":"' || l.is_conflict || '","number_of_conflicts":' || coalesce(c.c, 0) || ',"conflict_vehicles":[' || coalesce(c.pairs, '') ||
+  '],"decisions":[' || coalesce(c.told, '') || '],"priority_order":{' || coalesce(p.ranks, '') || '},"waiting_times":{' || coalesce(p.waits, '') || '}}' as messages
+  from labels l join jv using (scenario_id)
+  left join (select scenario_id, count(*) as c,
+    string_agg('{"vehicle1_id":"' || vehicle1_id || '","vehicle2_id":"' || vehicle2_id || '"}', ',' order by seq1, seq2) as pairs,
+    string_agg('"Potential conflict: Vehicle ' || loser_id || ' must yield to Vehicle ' || winner_id || '"', ',' order by seq1, seq2) as told
+    from lr group by scenario_id) c using (scenario_id)
+  left join (select scenario_id, string_agg('"' || vehicle_id || '":' || rank, ',' order by seq) as ranks,
+    string_agg('"' || vehicle_id || '":' || wait, ',' order by seq) as waits from pw group by scenario_id) p using (scenario_id)""", "labels", "jv", "lr", "pw")
+LITERAL_AS_JSON = "replace(replace(replace(replace({0}, '''', '\"'), '\": ', '\":'), ', ', ','), 'None', 'null')"
+define("raw_row_chat_records", f"""select r.scenario_id, 'system: Resolve the scenario.' || chr(10) || 'user: {{"vehicles":[{{"vehicle_id":"' || vehicle_id || '","lane":' || lane ||
+  ',"speed":' || speed || ',"distance_to_intersection":' || distance_to_intersection || ',"direction":"' || direction || '","destination":"' || destination ||
+  '"}}]}}' || chr(10) || 'assistant: {{"is_conflict":"' || is_conflict || '","number_of_conflicts":' || number_of_conflicts || ',"conflict_vehicles":' ||
+  {LITERAL_AS_JSON.format("conflict_vehicles")} || ',"decisions":' || {LITERAL_AS_JSON.format("decisions")} || ',"priority_order":' ||
+  {LITERAL_AS_JSON.format("priority_order")} || ',"waiting_times":' || {LITERAL_AS_JSON.format("waiting_times")} || '}}' as messages from raw_set r""", "raw_set")
+define("few_shot_prompts", f"""select scenario_id, 'few-shot' as mode, 'system: {SYSTEM}' || chr(10) || 'user: Vehicle V1 alone.' || chr(10) || 'assistant: no' ||
+  chr(10) || 'user: Vehicles V1 and V2 meet.' || chr(10) || 'assistant: yes' || chr(10) || 'user: {QUESTION}' || t.text as messages from texts t""", "texts")
 # --- metrics -------------------------------------------------------------------------
 
 CONF = """count(*) filter (where true_label = 'yes' and predicted_label = 'yes') as tp,
@@ -684,16 +703,17 @@ define("drift_flags", """, f as (select count(*) as n_tested, count(*) filter (w
 # --- monitoring ---------------------------------------------------------------------------------
 
 
-def trigger_sql(source: str, by: str) -> str:
+def trigger_sql(source: str, by: str, drift: str = "false") -> str:
     key = f"{by}, " if by else ""
     group = f" group by {by}" if by else ""
-    return f"""select {key}reasons <> '' as should_retrain, case when reasons = '' then 'All metrics within thresholds' else reasons end as reason,
+    return f"""select {key}reasons <> '' as should_retrain, case when reasons = '' then 'All metrics within thresholds' else reasons end as reason, reasons as triggers,
   n_window, n_labeled, round(recall, 4) as recall, round(fnr, 4) as fnr, round(jf, 4) as json_failure_rate, round(agree, 4) as rule_agreement_rate,
   round(cr, 4) as conflict_rate from (select *, concat_ws('; ',
     case when fnr > 0.08::double then 'FNR=' || printf('%.3f', fnr) || ' > threshold 0.08 (safety-critical)' end,
     case when recall < 0.92::double then 'Recall=' || printf('%.3f', recall) || ' < threshold 0.92' end,
     case when jf > 0.02::double then 'JSON failure rate=' || printf('%.3f', jf) || ' > threshold 0.02' end,
-    case when agree < 0.75::double then 'Rule agreement=' || printf('%.3f', agree) || ' < threshold 0.75' end) as reasons
+    case when agree < 0.75::double then 'Rule agreement=' || printf('%.3f', agree) || ' < threshold 0.75' end,
+    case when {drift} then '{C.TRIGGER_TEXT["drift"]}' end) as reasons
   from (select {key}count(*) as n_window, count(ground_truth) as n_labeled,
     case when count(ground_truth) > 0 then count(*) filter (where ground_truth = 'yes' and predicted = 'yes') / (count(*) filter (where ground_truth = 'yes') + 1e-9) end as recall,
     case when count(ground_truth) > 0 then count(*) filter (where ground_truth = 'yes' and predicted <> 'yes') / (count(*) filter (where ground_truth = 'yes') + 1e-9) end as fnr,
@@ -706,6 +726,7 @@ define("trigger_window", trigger_sql("(select * from pe order by ts desc, event_
 PER_USER = "(select * from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from pe) where rn <= 100)"
 for name in ("trigger_per_user", "stream_trigger"):
     define(name, trigger_sql(PER_USER, "user_id"), "pe")
+define("trigger_with_drift", trigger_sql(PER_USER, "user_id", "(select count(*) filter (where p < 0.05) > 0 from ksp)"), "pe", "ksp")
 define("retrain_decision", f"""select variant, reasons <> '' as should_retrain, reasons from (select variant, concat_ws(',',
     case when round({FNR0}, 4) > 0.08::double then 'fnr' end, case when round({REC}, 4) < 0.92::double then 'recall' end,
     case when 1 - disagree < 0.75::double then 'rule_agreement' end) as reasons
@@ -740,9 +761,7 @@ cte("two_lane", f"""select scenario_id, cast(seq as int) as seq, 'V' || lpad(cas
   from (select scenario_id, seq, {pick("['north','south','east','west']", u('a'), 4)} as direction from (
     select o_orderkey as scenario_id, unnest(range(1, 3 + cast(floor({u('size', 0, 'o_orderkey')} * 7) as int))) as seq from orders))""")
 define("generated_scenarios", "select * from two_lane", "two_lane")
-define("generated_rows_cut", "select scenario_id, seq from two_lane order by scenario_id, seq limit 1000", "two_lane")
-
-
+define("generated_rows_cut", "select * from two_lane order by scenario_id, seq limit 1000", "two_lane")
 def eight_sql(size: str) -> str:
     return f"""select scenario_id, cast(seq as int) as seq, 'V' || cast(1000 + (seq - 1) * 450 + floor({u('b', 2)} * 450) as bigint) as vehicle_id, lane,
   20 + 60 * {u('b')} as speed, 50 + 450 * {u('b', 1)} as distance_to_intersection, direction, d,
@@ -761,12 +780,15 @@ define("balanced_scenarios", f""", fm as (select f.*, r.m, distance_to_intersect
   lab as (select o_orderkey as scenario_id, case when h.scenario_id is null then 'no' else 'yes' end as is_conflict from orders left join hit h on h.scenario_id = o_orderkey)
   select scenario_id, is_conflict from (select *, row_number() over (partition by is_conflict order by scenario_id) as rn from lab)
   where rn <= 501 order by scenario_id limit 1001""", "five", "reach")
-define("scenario_csv_scan", """select l.scenario_id, l.is_conflict, l.n as n_vehicles, f.speed as first_speed
-  from labels l join m f on f.scenario_id = l.scenario_id and f.seq = 1""", "labels", "m")
-define("vehicle_csv_scan", "select cast(scenario_id as varchar) as scenario_id, vehicle_id, lane, speed, decisions, waiting_times from raw_set", "raw_set")
-define("prediction_log_scan", """select l.scenario_id, l.n as n_vehicles, g.given_label as predicted, l.is_conflict as ground_truth,
-  g.given_label = l.is_conflict as rule_agreement, round(l.scenario_id % 1000 / 7.0::double, 1) as latency_ms
-  from labels l join given g using (scenario_id)""", "labels", "given")
+define("scenario_csv_scan", """select scenario_id, l.is_conflict, case when problem is null then vehicles end as vehicles, problem from (select *,
+    case when scenario_id % 5 = 0 then 'invalid JSON' when scenario_id % 7 = 0 then 'no vehicles key' when scenario_id % 11 = 0 then 'vehicles is not a list' end as problem
+    from labels) l join vt using (scenario_id)""", "labels", "vt")
+define("vehicle_csv_scan", "select * exclude (seq, d) replace (cast(scenario_id as varchar) as scenario_id) from raw_set", "raw_set")
+define("prediction_log_scan", """select l.scenario_id, vt.vehicles, g.given_label as predicted, w.lanes as waiting_times, w.lanes as priority_order,
+  l.is_conflict as ground_truth, g.given_label = l.is_conflict as rule_agreement, round(l.scenario_id % 1000 / 7.0::double, 1) as latency_ms,
+  'm1' as model_version, 'p1' as prompt_version, true as json_valid, false as fallback_used
+  from labels l join given g using (scenario_id) join vt using (scenario_id)
+  join (select scenario_id, string_agg(vehicle_id || ':' || lane, ',' order by vehicle_id) as lanes from m group by scenario_id) w using (scenario_id)""", "labels", "given", "vt", "m")
 define("reply_validity", "select scenario_id, scenario_id % 7 <> 0 and scenario_id % 11 <> 0 as json_valid from sc", "sc")
 define("answer_labels", """select scenario_id, is_conflict as contained, case when scenario_id % 3 = 1 then 'no' else is_conflict end as exact from labels""", "labels")
 define("scenario_type_filter", "select scenario_id, n as n_vehicles from sc where n = 4", "sc")

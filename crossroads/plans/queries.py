@@ -34,6 +34,17 @@ def _map_text(m: str):
         e["key"], F.lit(":"), F.coalesce(e["value"].cast("string"), F.lit("None")))), ",")
 
 
+def _messages(messages: str = "messages"):
+    """A chat record as text, every message with its role."""
+    return F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n").alias("messages")
+
+
+def _vehicles_text():
+    """The whole vehicle list as text, in its order."""
+    said = lambda v: F.concat_ws(" ", *[v[f] for f in S.VEHICLE_FIELDS if f != "seq"])
+    return F.array_join(F.transform("vehicles", said), ";").alias("vehicles")
+
+
 def _texts(made: DataFrame) -> DataFrame:
     """Whole decisions with lists and maps as text."""
     pair = lambda p: F.concat(p["vehicle1_id"], F.lit("-"), p["vehicle2_id"])
@@ -433,9 +444,7 @@ def analysis_text(spark, d):
 
 @query
 def chat_records(spark, d):
-    made = training_sets.label_records(_labels(spark, d), "is_conflict")
-    say = lambda i: F.col("messages")[i]["content"]
-    return made.select("scenario_id", say(1).alias("question"), say(2).alias("answer"))
+    return training_sets.label_records(_labels(spark, d), "is_conflict").select("scenario_id", _messages())
 
 
 @query
@@ -443,45 +452,31 @@ def chat_lines(spark, d):
     """Chat records written as lines of JSON and read back."""
     path = new_table_path(spark, "chat-lines")
     writers.write_chat_lines(training_sets.label_records(_labels(spark, d), "is_conflict"), path)
-    said = lambda i: F.get_json_object("value", f"$.messages[{i}].content")
-    return spark.read.text(path).select(said(1).alias("question"), said(2).alias("answer"))
+    return spark.read.schema("messages array<struct<role:string,content:string>>").json(path).select(_messages())
 
 
 @query
 def zero_shot_prompts(spark, d):
-    made = training_sets.prompts(A.scenarios(spark, d), "zero-shot")
-    return made.select("scenario_id", F.size("messages").alias("n_messages"), F.col("messages")[1]["content"].alias("question"))
+    return training_sets.prompts(A.scenarios(spark, d), "zero-shot").select("scenario_id", "mode", _messages())
 
 
 @query
 def decision_chat_records(spark, d):
     made = training_sets.decision_records(A.scenarios(spark, d), "Resolve the scenario.")
-    answer = F.col("messages")[2]["content"]
-    get = lambda p: F.get_json_object(answer, p)
-    return made.select(
-        "scenario_id", F.get_json_object(F.col("messages")[1]["content"], "$.vehicles[0].vehicle_id").alias("first_vehicle"),
-        get("$.is_conflict").alias("is_conflict"), get("$.number_of_conflicts").cast("int").alias("number_of_conflicts"),
-        get("$.decisions[0]").alias("first_decision"),
-    )
+    return made.select("scenario_id", _messages())
 
 
 @query
 def raw_row_chat_records(spark, d):
     made = training_sets.raw_row_records(A.raw_dataset(spark, d), "Resolve the scenario.")
-    asked, answer = F.col("messages")[1]["content"], F.col("messages")[2]["content"]
-    return made.select(
-        "scenario_id", F.get_json_object(asked, "$.vehicles[0].vehicle_id").alias("vehicle_id"),
-        F.get_json_object(answer, "$.waiting_times.V1001").cast("int").alias("first_wait"),
-        F.get_json_object(answer, "$.number_of_conflicts").cast("int").alias("number_of_conflicts"),
-    )
+    return made.select("scenario_id", _messages())
 
 
 @query
 def few_shot_prompts(spark, d):
     shown = [("Vehicle V1 alone.", "no"), ("Vehicles V1 and V2 meet.", "yes")]
     made = training_sets.prompts(A.scenarios(spark, d), "few-shot", examples=shown)
-    return made.select("scenario_id", F.size("messages").alias("n_messages"),
-                       F.col("messages")[4]["content"].alias("shown"), F.col("messages")[5]["content"].alias("question"))
+    return made.select("scenario_id", "mode", _messages())
 
 
 # --- metrics -----------------------------------------------------------------------------
@@ -822,16 +817,27 @@ def drift_flags(spark, d):
     return by("any").unionByName(by("share"))
 
 
+def _told(out: DataFrame) -> DataFrame:
+    return out.withColumn("triggers", F.array_join("triggers", "; "))
+
+
 @query
 def trigger_window(spark, d):
-    last = windows.last_n(A.prediction_events(spark, d), ["ts", "event_id"], C.WINDOW_SIZE)
-    return monitor.trigger(last).drop("triggers")
+    return _told(monitor.trigger(windows.last_n(A.prediction_events(spark, d), ["ts", "event_id"], C.WINDOW_SIZE)))
+
+
+@query
+def trigger_with_drift(spark, d):
+    """Drift comes as a table: it stays in the plan, the driver sees none of it."""
+    last = windows.last_n_per_key(A.prediction_events(spark, d), ["user_id"], ["ts", "event_id"], C.WINDOW_SIZE)
+    found = stats.drift(stats.ks_test(*_drift_sides(spark, d))).select("drift_detected")
+    return _told(monitor.trigger(last, ["user_id"], drift_detected=found))
 
 
 @query
 def trigger_per_user(spark, d):
     last = windows.last_n_per_key(A.prediction_events(spark, d), ["user_id"], ["ts", "event_id"], C.WINDOW_SIZE)
-    return monitor.trigger(last, ["user_id"]).drop("triggers")
+    return _told(monitor.trigger(last, ["user_id"]))
 
 
 @query
@@ -889,7 +895,7 @@ def stream_latency_histogram(spark, d):
 def stream_trigger(spark, d):
     path = new_table_path(spark, "triggers")
     out = stream.triggers(stream.event_stream(spark, d), path, ["user_id"], ["ts", "event_id"], C.WINDOW_SIZE)
-    return out.drop("triggers")
+    return _told(out)
 
 
 @query
@@ -937,27 +943,32 @@ def balanced_scenarios(spark, d):
 
 @query
 def generated_rows_cut(spark, d):
-    return generators.limit_rows(generators.two_lane(_order_ids(spark, d)), 1000).select("scenario_id", "seq")
+    return generators.limit_rows(generators.two_lane(_order_ids(spark, d)), 1000)
 
 
 @query
 def scenario_csv_scan(spark, d):
+    """Scenario cells of both keys, and three kinds of flaw that go to quarantine with their problem."""
     path = new_table_path(spark, "scenario-csv")
     s = _labels(spark, d)
     rows = S.to_json_text(s).join(s.select("scenario_id", F.upper("is_conflict").alias("is_conflict")), "scenario_id")
-    broken = F.when(F.col("is_conflict") == "YES", F.col("scenario")).otherwise(F.regexp_replace("scenario", "^\\{", "{\"other\":1,"))
-    writers.write_table(rows.withColumn("scenario", broken), path, "csv")
-    good, _ = readers.scenario_csv(spark, path)
-    return good.select(
-        F.col("scenario_id").cast("long").alias("scenario_id"), "is_conflict", F.size("vehicles").alias("n_vehicles"),
-        F.col("vehicles")[0]["speed"].alias("first_speed"))
+    i, cell = F.col("scenario_id"), F.col("scenario")
+    renamed = lambda key: F.regexp_replace(cell, "^\\{\"vehicles_scenario\"", "{\"" + key + "\"")
+    flawed = F.when(i % 5 == 0, F.left(cell, F.lit(30))).when(i % 7 == 0, renamed("cars")).when(
+        i % 11 == 0, '{"vehicles":"none"}').when(i % 2 == 0, renamed("vehicles")).otherwise(cell)
+    writers.write_table(rows.withColumn("scenario", flawed), path, "csv")
+    good, bad = readers.scenario_csv(spark, path)
+    return good.withColumn("problem", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True).select(
+        F.col("scenario_id").cast("long").alias("scenario_id"), "is_conflict",
+        F.when(F.col("vehicles").isNotNull(), _vehicles_text()).alias("vehicles"), "problem")
 
 
 @query
 def vehicle_csv_scan(spark, d):
     path = new_table_path(spark, "vehicle-csv")
-    writers.write_table(A.raw_dataset(spark, d).select(*readers.schema.RAW_VEHICLES.fieldNames()), path, "csv")
-    return readers.vehicle_csv(spark, path).select("scenario_id", "vehicle_id", "lane", "speed", "decisions", "waiting_times")
+    names = readers.schema.RAW_VEHICLES.fieldNames()
+    writers.write_table(A.raw_dataset(spark, d).select(*names), path, "csv")
+    return readers.vehicle_csv(spark, path).select(*names)
 
 
 def _log(spark, d) -> str:
@@ -976,8 +987,10 @@ def _log(spark, d) -> str:
 def prediction_log_scan(spark, d):
     flat = readers.flat_events(readers.prediction_log(spark, _log(spark, d)))
     return flat.select(
-        F.col("scenario_id").cast("long").alias("scenario_id"), F.size("vehicles").alias("n_vehicles"),
-        F.col("`prediction.is_conflict`").alias("predicted"), "ground_truth", "rule_agreement", "latency_ms")
+        F.col("scenario_id").cast("long").alias("scenario_id"), _vehicles_text(),
+        F.col("`prediction.is_conflict`").alias("predicted"), _map_text("`prediction.waiting_times`").alias("waiting_times"),
+        _map_text("`prediction.priority_order`").alias("priority_order"), "ground_truth", "rule_agreement", "latency_ms",
+        "model_version", "prompt_version", "json_valid", "fallback_used")
 
 
 @query
