@@ -4,20 +4,25 @@ The patterns are the windows of the benchmark items. For every pattern length a
 how far the search may jump after seeing a block of two words; a block that ends a pattern leads
 to a bucket, which is keyed by the first block of its patterns; what is left is compared word by
 word. Documents are only scanned: no shuffle. The pattern tables are broadcast and their size is
-checked before; a benchmark above ``most_bytes`` is searched in shares of that size, one pass over
-the documents for each share, the hits carried along in a table in the shared folder.
+checked before by what they grow with, the words of the benchmark: each word begins at most one
+window, at about 700 bytes of tables. A benchmark above ``most_words`` is searched in shares of about
+that size. Then the documents get a row number in a table in the shared folder, every share is
+searched in the same job and yields the number and the hits of documents that have any, and these are
+joined back. An item is never cut, so a share is as large as its longest item at least.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Defined cases: a null
 text has no words and is not hit; an empty benchmark hits nothing; items without words have no
 window; equal windows of several items count for each of them; an item_id that occurs twice is one
-item; windows of an item whose id is null hit words but are not listed; repeated documents are
-judged each for itself.
+item, and a repeated benchmark row is searched once; windows of an item whose id is null hit words
+but are not listed; repeated documents are judged each for itself.
 """
 
 from __future__ import annotations
 
 import math
+from ast import literal_eval
 from collections import defaultdict
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +35,8 @@ from crossroads.llm.frames import map_texts, stored
 _TABLE = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
+#: The same words in a text whose letters are as they were, for counting them on Spark's side.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -101,29 +108,23 @@ def _pack(spans: list[tuple[int, int]], items: set[str]) -> bytes:
     return repr((spans, sorted(items))).encode()
 
 
-def _unpack(state: bytes | None) -> tuple[list, list]:
-    if not state:
-        return [], []
-    import ast
-
-    return ast.literal_eval(state.decode())
-
-
-def _scan(docs: DataFrame, items: list, size: int, fields: list[StructField], columns: tuple[str, ...], keep: tuple[str, ...], finish) -> DataFrame:
+def _scan(docs: DataFrame, items: list, size: int, fields: list[StructField], keep: tuple[str, ...], finish) -> DataFrame:
+    """Documents against the windows of ``items``; hits of other shares come in ``__states``, if there is such a column."""
     spark = docs.sparkSession
+    columns = tuple(dict.fromkeys((*keep, "text", *[c for c in ("__states",) if c in docs.columns])))
     shared = spark.sparkContext.broadcast(WuManber(items, size).__dict__)
 
     def run(part: pa.RecordBatch) -> dict:
         index = WuManber.__new__(WuManber)
         index.__dict__ = shared.value
-        states = part.column("__state").to_pylist() if "__state" in columns else [None] * part.num_rows
+        states = part.column("__states").to_pylist() if "__states" in columns else [None] * part.num_rows
         rows = []
-        for text, state in zip(part.column("text").to_pylist(), states):
+        for text, told in zip(part.column("text").to_pylist(), states):
             words = words_of(text)
-            spans, names = _unpack(state)
             found = index.search(words)
-            spans = _united([*spans, *((s, s + n) for s, n, _ in found)])
-            rows.append(finish(len(words), spans, {*names, *(x for _, _, owners in found for x in owners)}))
+            others = [literal_eval(state.decode()) for state in told or ()]
+            spans = _united([*((s, s + n) for s, n, _ in found), *(span for spans, _ in others for span in spans)])
+            rows.append(finish(len(words), spans, {x for _, _, owners in found for x in owners}.union(*(names for _, names in others))))
         return {f.name: [r[i] for r in rows] for i, f in enumerate(fields)}
 
     return map_texts(docs, run, fields, columns, keep)
@@ -141,26 +142,30 @@ _FOUND = [
 
 
 def hits(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, most_bytes: int = 8 << 20, keep: tuple[str, ...] = ("doc_id",),
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, most_words: int = 300_000, keep: tuple[str, ...] = ("doc_id",),
     fields: list[StructField] = _FOUND, finish=_found,
 ) -> DataFrame:
     """The ``keep`` columns of each document, its number of words, the word ranges that are hit (end exclusive) and the items found.
 
-    The benchmark is measured first; it is searched whole if it has at most ``most_bytes`` of
-    text, else in shares of about that size.
+    The benchmark is measured first; it is searched whole if it has at most ``most_words`` words,
+    else in shares of about that size.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shares = max(1, math.ceil(total / most_bytes))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(_WORD)))).first()[0] or 0
+    shares = max(1, math.ceil(total / most_words))
+    rows_of = lambda wanted: [(r["item_id"], r["text"]) for r in wanted.toLocalIterator()]
+    if shares == 1:
+        return _scan(docs, rows_of(items), size, fields, keep, finish)
+    items = stored(items, "benchmark")
     share = F.pmod(F.xxhash64("item_id", "text"), F.lit(shares))
-    columns = tuple(dict.fromkeys((*keep, "text")))
-    for k in range(shares - 1):
-        rows = [(r["item_id"], r["text"]) for r in items.filter(share == k).toLocalIterator()]
-        read = columns if k == 0 else (*columns, "__state")
-        state = [StructField("__state", BinaryType())]
-        docs = stored(_scan(docs, rows, size, state, read, columns, lambda n, spans, names: (_pack(spans, names),)), "hits")
-    rows = [(r["item_id"], r["text"]) for r in items.filter(share == shares - 1).toLocalIterator()]
-    return _scan(docs, rows, size, fields, columns if shares == 1 else (*columns, "__state"), keep, finish)
+    columns = list(dict.fromkeys((*keep, "text")))
+    numbered = stored(docs.select(*columns, F.monotonically_increasing_id().alias("__row")), "hits")
+    state = [StructField("__state", BinaryType())]
+    pack = lambda n, spans, names: (_pack(spans, names) if spans else None,)
+    found = [_scan(numbered, rows_of(items.filter(share == k)), size, state, ("__row",), pack).filter("__state is not null") for k in range(shares)]
+    # at most one state per share and document
+    states = reduce(DataFrame.unionByName, found).groupBy("__row").agg(F.collect_list("__state").alias("__states"))
+    return _scan(numbered.join(states, "__row", "left"), [], size, fields, keep, finish)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:

@@ -57,7 +57,8 @@ def test_benchmark_hits(spark, table, documents):
     expected = lambda t: plain.contamination(t, items + more)
     same(hit_digests(decontamination.hits(table(texts), bench)), texts, expected)
     some = texts[::3] + texts[-3:]
-    same(hit_digests(decontamination.hits(table(some), bench, most_bytes=9000)), some, expected)
+    same(hit_digests(decontamination.hits(table(some), bench.unionByName(bench), most_words=1500)), some, expected)
+    same(hit_digests(decontamination.hits(table(some + some), bench, most_words=400)), some + some, expected)
     kept = decontamination.clean(table(texts), bench)
     assert kept.columns == table(texts).columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, t in texts if not expected(t)["contaminated"]}
