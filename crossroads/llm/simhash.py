@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from crossroads.llm.components import components, forest
-from crossroads.llm.frames import map_texts, stored
+from crossroads.llm.frames import joined_to_unique, map_texts, stored
 
 SHINGLE = 4
 SEED = 42
@@ -139,17 +139,24 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return _pairs(_blocks(fps.select("fingerprint").distinct()), radius).mapInArrow(run, "u long, v long")
 
 
-def _labelled(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``marked`` with the column ``__class``, the smallest fingerprint (as bigint) of its component."""
-    found = components(links(marked, radius)).select(F.col("node").alias("fingerprint"), F.col("component").alias("__class"))
-    return marked.join(found, "fingerprint", "left").withColumn("__class", F.coalesce("__class", "fingerprint"))
+def _labelled(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Distinct fingerprints with the column ``__class``, the smallest fingerprint (as bigint) of their component."""
+    found = components(links(prints, radius)).select(F.col("node").alias("fingerprint"), F.col("component").alias("__class"))
+    return prints.join(found, "fingerprint", "left").withColumn("__class", F.coalesce("__class", "fingerprint"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links."""
-    marked = _labelled(stored(fingerprints(docs), "fingerprints"), radius)
-    least = marked.groupBy("__class").agg(F.min("doc_id").alias("component_id"))
-    return marked.join(least, "__class").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links.
+
+    Classes are worked out on distinct fingerprints; a fingerprint or a class that holds much of the table never
+    brings its rows together in one task.
+    """
+    marked = stored(fingerprints(docs), "fingerprints")
+    prints = stored(_labelled(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), radius), "classes")
+    least = prints.groupBy("__class").agg(F.min("least").alias("component_id"))
+    named = stored(joined_to_unique(prints, least, ["__class"]).select("fingerprint", "component_id"), "components")
+    return joined_to_unique(marked, named, ["fingerprint"]).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def distinct(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -159,6 +166,7 @@ def distinct(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     columns = docs.columns
     marked = stored(fingerprints(docs, tuple(columns), "__fp").withColumn("__row", F.monotonically_increasing_id()), "fingerprints")
-    rows = marked.select("doc_id", "__row", F.col("__fp").alias("fingerprint"))
-    best = _labelled(rows, radius).groupBy("__class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row")).alias("best"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row")).alias("__first")
+    prints = marked.groupBy(F.col("__fp").alias("fingerprint")).agg(first)
+    best = _labelled(prints, radius).groupBy("__class").agg(F.min("__first").alias("best"))
     return marked.join(best.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select(*columns)
