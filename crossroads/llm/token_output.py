@@ -9,12 +9,15 @@ fingerprint, which tells keys that are not there, and the key's first row and nu
 offsets follow. A lookup reads one level after another (1.6 on average), one entry, one range of ids.
 
 Shards are cut at quantiles of doc_id, so the ids before a shard are the sum over the shards before
-it: one number for each shard. Documents are encoded where they are read; only ids are shuffled.
+it: one number for each shard, and there are at most ``MOST_SHARDS``, whose size grows beyond that. A
+doc_id at which several quantiles lie, or null, has that many shards of its own: its rows are dealt
+over them by a hash of the row number, and a lookup asks all of them. Row numbers follow the order of
+the input, so ``docs`` should be a table, whose tasks read the same rows in the same order when repeated. Documents are encoded where they are read; only ids are shuffled.
 Words are encoded once for each worker's cache, since this vocabulary's pre-tokens never reach over
 white space; words of plain letters and signs are put together from cached pieces. Files are renamed into place when whole, so repeated tasks agree.
 
 Defined cases: null and empty texts have the end id only; rows with one doc_id lie together, ordered
-by the hash of their text, and all come back for that key; null doc_ids come first and have an entry
+in each shard by the hash of their text, and all come back for that key; null doc_ids come first and have an entry
 of their own; an empty table makes no shard; only ``doc_id`` (bigint) and ``text`` are read.
 """
 
@@ -40,6 +43,9 @@ from crossroads.llm.shared_files import open_file, read_file, write_file
 from crossroads.session import new_table_path
 
 SHARD_BYTES = 16 << 20
+MOST_SHARDS = 50_000
+#: Where null doc_ids lie among the quantiles.
+NULL_AT = np.iinfo(np.int64).min
 END_ID = 1
 #: Entries in each of the two generations of a worker's caches.
 CACHED = 300_000
@@ -227,22 +233,33 @@ class Store:
     bounds: np.ndarray
     before: dict[int, int]
 
-    def shard_of(self, ids: pa.Array) -> np.ndarray:
-        return _shard_of(ids, self.bounds)
+    def shards_of(self, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The last shard that may hold each id, and how many do."""
+        return _shards_of(ids, self.bounds)
 
 
-def _shard_of(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
-    known = ids.is_valid().to_numpy(zero_copy_only=False)
-    return np.where(known, np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="right"), 0)
+def _shards_of(ids: pa.Array, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = ids.fill_null(NULL_AT).to_numpy()
+    last = np.searchsorted(bounds, at, side="right")
+    return last, np.maximum(1, last - np.searchsorted(bounds, at, side="left"))
+
+
+def _shard_of(ids: pa.Array, dealt: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The shard of each row; ``dealt`` (unsigned hashes) chooses among those of one id."""
+    last, many = _shards_of(ids, bounds)
+    # A known id of the least value comes after all nulls.
+    many[ids.is_valid().to_numpy(zero_copy_only=False) & (ids.fill_null(0).to_numpy() == NULL_AT)] = 1
+    return last - (dealt % many.astype(np.uint64)).astype(np.int64)
 
 
 def _bounds(docs: DataFrame, shard_bytes: int) -> np.ndarray:
+    """Quantiles of doc_id, ascending; one that many rows share is there several times."""
     size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    n = max(1, math.ceil((size[0] or 0) / shard_bytes))
+    n = min(MOST_SHARDS, max(1, math.ceil((size[0] or 0) / shard_bytes)))
     if n == 1:
         return np.zeros(0, np.int64)
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n)).first()[0] or []
-    return np.unique(np.array(cuts, np.int64))
+    cuts = docs.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(int(NULL_AT))), [k / n for k in range(1, n)], 100 * n)).first()[0] or []
+    return np.sort(np.array(cuts, np.int64))
 
 
 def write(docs: DataFrame, path: str, folder: str | None = None, shard_bytes: int = SHARD_BYTES) -> Store:
@@ -254,9 +271,9 @@ def write(docs: DataFrame, path: str, folder: str | None = None, shard_bytes: in
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, most=8 << 20):
-                ids = part.column("doc_id")
+                ids, dealt = part.column("doc_id"), part.column("dealt").to_numpy().view(np.uint64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_shard_of(ids, bounds), pa.int32()), ids, part.column("h"),
+                    pa.array(_shard_of(ids, dealt, bounds), pa.int32()), ids, part.column("h"),
                     pa.array(encoder(path).packed(part.column("text")), pa.binary()),
                 ], ["shard", "doc_id", "h", "ids"])
 
@@ -283,7 +300,8 @@ def write(docs: DataFrame, path: str, folder: str | None = None, shard_bytes: in
             write_file(folder, f"index-{number:06d}.bin", lambda out, ids=ids, ends=ends: out.write(_index(ids, ends, width)))
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([ends[-1]], pa.int64())], ["shard", "tokens"])
 
-    encoded = docs.withColumn("h", F.xxhash64("text")).mapInArrow(encode, "shard int, doc_id long, h long, ids binary")
+    numbered = docs.withColumns({"h": F.xxhash64("text"), "dealt": F.xxhash64(F.monotonically_increasing_id())})
+    encoded = numbered.mapInArrow(encode, "shard int, doc_id long, h long, ids binary")
     ordered = encoded.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "h")
     sizes = dict(map(tuple, ordered.mapInArrow(save, "shard int, tokens long").collect()))  # one row for each shard
     before, total = {}, 0
@@ -301,8 +319,10 @@ def read(keys: DataFrame, store: Store, fn=None, fields: str = "ids array<long>"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id")
-            yield pa.RecordBatch.from_arrays([pa.array(shared.value.shard_of(ids), pa.int32()), ids], ["shard", "doc_id"])
+            last, many = shared.value.shards_of(b.column("doc_id"))
+            which = np.repeat(np.arange(len(last)), many)
+            shard = np.repeat(last, many) - (np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many))
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column("doc_id").take(pa.array(which))], ["shard", "doc_id"])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, shard = None, None

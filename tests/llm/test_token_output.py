@@ -66,8 +66,25 @@ def test_perfect_hash():
 
 
 def test_bounds_send_nulls_first():
-    got = token_output._shard_of(pa.array([None, 1, 5, 6, 9], pa.int64()), np.array([5, 9]))
-    assert got.tolist() == [0, 0, 1, 1, 2]
+    ids, dealt = pa.array([None, 1, 5, 6, 9], pa.int64()), np.arange(5, dtype=np.uint64)
+    assert token_output._shard_of(ids, dealt, np.array([5, 9])).tolist() == [0, 0, 1, 1, 2]
+
+
+def test_one_id_and_nulls_over_several_shards(table, tmp_path):
+    least = -(2**63)
+    rows = [(7, f"the same words {i % 40}") for i in range(600)] + [(7, "one row many times")] * 200
+    rows += [(None, f"no id {i % 9}") for i in range(500)] + [(i, f"another {i}") for i in range(300) if i != 7] + [(least, "the least id")]
+    want = expected(rows)
+    docs = table(rows).repartition(4)
+    store = token_output.write(docs, PATH, folder=f"file:{tmp_path}/ids", shard_bytes=800)
+    assert (store.bounds == 7).sum() > 4 and (store.bounds == token_output.NULL_AT).sum() > 4
+    sizes = [len(token_output.Shard(store.folder, k).starts) - 1 for k in store.before]
+    assert max(sizes) < 200
+    out = [(r["doc_id"], r["start"], tuple(r["ids"])) for r in token_output.read(docs, store).collect()]
+    assert sorted((i is not None, i or 0, ids) for i, _, ids in out) == sorted((i is not None, i or 0, tuple(want[i, t])) for i, t in rows)
+    out.sort(key=lambda r: r[1])
+    assert [i for i, *_ in out] == [None] * 500 + sorted(i for i, _ in rows if i is not None)
+    assert [s for _, s, _ in out] == np.cumsum([0, *(len(x) for *_, x in out)])[:-1].tolist()
 
 
 @pytest.mark.parametrize("name", ["op10_token_output"])
