@@ -8,8 +8,9 @@ their bins share, so a run that conflicts as a whole is passed over at once: a s
 third of all documents does not make every search a walk over all bins.
 
 Documents are dealt by hash into groups of about ``GROUP`` items, longest first within a group, and
-groups are packed independently; only ids, lengths and hashes are shuffled. A hot source or cluster
-is spread over the groups like everything else. A document longer than a bin is cut into whole bins
+groups are packed independently; only ids, lengths and hashes are shuffled. The hash is of a row
+number, stored with them first, so that a repeated task deals alike and a hot source, a cluster or
+one row repeated many times is spread over the groups like everything else. A document longer than a bin is cut into whole bins
 and a rest; nothing is cut off. Length is counted in words unless another column is named.
 
 Defined cases: a document without words has one row with null bin and length 0; null sources are one
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crossroads.llm.frames import stored
+
 CAPACITY = 2048
 GROUP = 20_000
 RUN = 128
@@ -132,16 +135,16 @@ def copies(text: str = "text") -> Column:
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, length: Column | None = None, cluster: Column | None = None, group: int = GROUP) -> DataFrame:
     """doc_id, piece, piece_start, length, bin_id and bin_offset; a row for each document, more for those longer than a bin."""
-    items = docs.select(
+    items = stored(docs.select(
         "doc_id", F.col("source").cast("string").alias("source"), (words() if length is None else length.cast("long")).alias("n"),
-        (copies() if cluster is None else cluster).alias("cluster"),
-    )
+        (copies() if cluster is None else cluster).alias("cluster"), F.monotonically_increasing_id().alias("row"),
+    ), "items")
     pieces = items.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / capacity) - 1).cast("int")))).select(
-        "doc_id", "source", "cluster", "piece", (F.col("piece").cast("long") * capacity).alias("piece_start"),
+        "doc_id", "source", "cluster", "row", "piece", (F.col("piece").cast("long") * capacity).alias("piece_start"),
         F.least(F.lit(capacity), F.col("n") - F.col("piece").cast("long") * capacity).alias("length"),
     )
     groups = max(1, math.ceil(items.agg(F.count("*")).first()[0] / group))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(groups)).cast("int"))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).cast("int")).drop("row")
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "piece_start", "length", "bin_id", "bin_offset"]
 

@@ -89,6 +89,14 @@ def test_groups_pack_as_a_walk_does(table, documents):
     assert {k: sorted(v, key=repr) for k, v in got.items()} == {k: sorted(v, key=repr) for k, v in want.items()}
 
 
+def test_one_row_repeated_is_spread_over_groups(table):
+    out = packing.packed(table([(5, "a b c")] * 400 + [(None, None)] * 400).repartition(3), capacity=10, group=80).collect()
+    assert len(out) == 800 and sum(r["length"] for r in out) == 1200
+    bins = [r["bin_id"] for r in out if r["length"]]
+    assert len(set(bins)) == 400  # copies of one source never share a bin
+    assert len({b >> 32 for b in bins}) == 10
+
+
 def test_empty_table(table):
     assert packing.packed(table([])).count() == 0
 
