@@ -16,26 +16,20 @@ from . import lane, prefix
 def waits(scenarios: DataFrame) -> DataFrame:
     """One row per vehicle of every packed scenario; not in any pair: rank NULL, wait 0.
 
-    start_i = 2 i + max over j <= i of (t_j - 2 j), i being the place in arrival order. Windows
-    and grouping reuse the scenario's partitioning.
+    start_i = 2 i + max over j <= i of (t_j - 2 j), i being the place in arrival order. The queue
+    is a list in the scenario's row, so a task holds one scenario at a time.
     """
-    a, b = F.col("a"), F.col("b")
-    rows = (
-        lane.with_partners(scenarios)
-        .groupBy("scenario_id", a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"), a["t"].alias("t"))
-        .agg(F.max(lane.conflict(a, b)).alias("involved"))
-    )
-    queue = Window.partitionBy("scenario_id", "involved").orderBy("t", "seq")
-    placed = rows.withColumn("rank", F.row_number().over(queue))
-    lead = F.max(F.col("t") - C.CLEARING_S * (F.col("rank") - 1)).over(
-        queue.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    start = C.CLEARING_S * (F.col("rank") - 1) + F.col("lead")
-    return placed.withColumn("lead", lead).select(
-        "scenario_id", "seq", "vehicle_id",
-        F.when(F.col("involved"), F.col("rank")).alias("rank"),
-        F.when(F.col("involved"), whole_seconds(start - F.col("t"))).otherwise(0).alias("wait"),
-    )
+    v = F.col("vehicles")
+    meets = lambda a: F.coalesce(F.exists(v, lambda b: lane.conflict(a, b)), F.lit(False))
+    place = lambda a: F.struct((~meets(a)).alias("outside"), a["t"].alias("t"), a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"))
+    queue = F.array_sort(F.transform(v, place))  # those in no pair come last
+    rows = scenarios.select("scenario_id", queue.alias("queue"))
+    lead = lambda i: F.array_max(F.transform(F.slice("queue", F.lit(1), i + 1), lambda x, j: x["t"] - C.CLEARING_S * j))
+    wait = lambda x, i: whole_seconds(C.CLEARING_S * i + lead(i) - x["t"])
+    told = F.transform("queue", lambda x, i: F.struct(
+        x["seq"].alias("seq"), x["vehicle_id"].alias("vehicle_id"), F.when(~x["outside"], i + 1).cast("int").alias("rank"),
+        F.when(~x["outside"], wait(x, i)).otherwise(0).alias("wait")))
+    return rows.select("scenario_id", F.inline(told))
 
 
 def whole_seconds(seconds: Column) -> Column:

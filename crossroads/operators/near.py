@@ -7,14 +7,14 @@ list order, one that only loses comes last in list order; the wait comes from th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import scalar
 from . import prefix
 from . import scenarios as S
-from .lane import ordered_pairs, with_partners, yield_text
+from .lane import ordered_pairs, yield_text
 
 
 def approach(v: Column) -> Column:
@@ -71,88 +71,92 @@ def with_label(scenarios: DataFrame, name: str = "near_label", inclusive: bool =
     return scenarios.withColumn(name, scalar.yes_no(F.size(directions) >= 2))
 
 
-def ranked(scenarios: DataFrame, inclusive: bool = True, list_pairs: bool = False) -> DataFrame:
-    """One row per vehicle of every packed scenario, before ranks are numbered.
+def ranked(scenarios: DataFrame, inclusive: bool = True, list_pairs: bool = False, keep: list[str] = []) -> DataFrame:
+    """(scenario_id, ``keep``, ranked): per packed scenario its vehicles in order of rank, each with ``rank``, ``wait``, ``group`` and the
+    ``stronger`` one it first loses to.
 
     The first win of a vehicle is against its earliest weaker counterpart, the first loss
     against its earliest stronger one, so two minima per vehicle replace the walk over pairs.
-    ``list_pairs`` adds ``led``, the pairs in which the vehicle is the earlier one.
+    ``list_pairs`` adds ``led``, the pairs in which the vehicle is the earlier one. All stays in the
+    scenario's row: nothing is exploded or grouped, so a task holds one scenario at a time.
     """
-    a, b = F.col("a"), F.col("b")
-    reach = lambda v: scalar.is_near(v["distance_to_intersection"], inclusive)
-    meet = reach(a) & reach(b) & directions_meet(a, b)
-    beats = (a["speed"] > b["speed"]) | ((a["speed"] == b["speed"]) & (a["seq"] < b["seq"]))
-    stronger = F.struct(
+    near = F.filter("vehicles", lambda v: scalar.is_near(v["distance_to_intersection"], inclusive))
+    beats = lambda a, b: (a["speed"] > b["speed"]) | ((a["speed"] == b["speed"]) & (a["seq"] < b["seq"]))
+    met = lambda a, test: F.filter("near", lambda b: directions_meet(a, b) & test(b))
+    other = lambda b: F.struct(
         b["seq"].alias("seq"), b["vehicle_id"].alias("vehicle_id"),
         scalar.near_arrival_s(b["speed"], b["distance_to_intersection"]).alias("t"),
     )
-    leads = meet & (a["seq"] < b["seq"])
-    pair = F.struct(b["seq"].alias("seq2"), a["vehicle_id"].alias("vehicle1_id"), b["vehicle_id"].alias("vehicle2_id"))
-    listed = [F.array_sort(F.collect_list(F.when(leads, pair))).alias("led")] if list_pairs else []
-    per_vehicle = (
-        with_partners(scenarios)
-        .groupBy("scenario_id", a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"))
-        .agg(
-            F.min(F.when(meet & beats, b["seq"])).alias("weaker"),
-            F.min(F.when(meet & ~beats, stronger)).alias("stronger"),
-            F.count_if(leads).alias("pairs_led"), *listed,
+
+    def minima(a):
+        reaches = scalar.is_near(a["distance_to_intersection"], inclusive)
+        pair = lambda b: F.struct(b["seq"].alias("seq2"), a["vehicle_id"].alias("vehicle1_id"), b["vehicle_id"].alias("vehicle2_id"))
+        listed = [F.when(reaches, F.transform(met(a, lambda b: a["seq"] < b["seq"]), pair)).alias("led")] if list_pairs else []
+        return F.struct(
+            a["seq"].alias("seq"), a["vehicle_id"].alias("vehicle_id"),
+            F.when(reaches, F.array_min(F.transform(met(a, lambda b: beats(a, b)), lambda b: b["seq"]))).alias("weaker"),
+            F.when(reaches, F.array_min(F.transform(met(a, lambda b: ~beats(a, b)), other))).alias("stronger"), *listed,
         )
-    )
-    return per_vehicle.select("*", *standing())
 
+    def place(v):
+        kept = ["seq", "vehicle_id", "stronger", *(["led"] if list_pairs else [])]
+        group, place1, place2, wait = standing(v)
+        return F.struct(group, place1, place2, *[v[f].alias(f) for f in kept], wait)
 
-def standing() -> list[Column]:
+    found = scenarios.filter(F.size("vehicles") > 0).select("scenario_id", *keep, *([] if "vehicles" in keep else ["vehicles"]), near.alias("near"))
+    found = found.select("scenario_id", *keep, F.transform("vehicles", minima).alias("found"))
+    placed = found.select("scenario_id", *keep, F.array_sort(F.transform("found", place)).alias("placed"))
+    numbered = lambda v, i: v.withField("rank", (i + 1).cast("int"))
+    return placed.select("scenario_id", *keep, F.transform("placed", numbered).alias("ranked"))
+
+
+def standing(v: Column) -> list[Column]:
     """From the earliest weaker seq and the stronger counterpart: group, place in it, and wait."""
-    group = F.when(F.col("weaker").isNotNull(), 0).when(F.col("stronger").isNull(), 1).otherwise(2)
-    won = F.col("weaker").isNotNull()
+    won, lost = v["weaker"].isNotNull(), v["stronger"].isNotNull()
     return [
-        group.alias("group"),
-        F.when(won, F.least("seq", "weaker")).otherwise(F.col("seq")).alias("place1"),
-        F.when(won, F.greatest("seq", "weaker")).otherwise(0).alias("place2"),
-        F.when(F.col("stronger").isNotNull(), loser_wait(F.col("stronger.t"))).otherwise(0).alias("wait"),
+        F.when(won, 0).when(~lost, 1).otherwise(2).alias("group"),
+        F.when(won, F.least(v["seq"], v["weaker"])).otherwise(v["seq"]).alias("place1"),
+        F.when(won, F.greatest(v["seq"], v["weaker"])).otherwise(0).alias("place2"),
+        F.when(lost, loser_wait(v["stronger"]["t"])).otherwise(0).alias("wait"),
     ]
 
 
 def priorities(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
     """One row per vehicle of every packed scenario: rank, wait, and whether it only loses."""
-    order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
-    return ranked(scenarios, inclusive).select(
-        "scenario_id", "seq", "vehicle_id", F.row_number().over(order).alias("rank"), "wait",
-        (F.col("group") == 2).alias("only_loses"),
+    return ranked(scenarios, inclusive).select("scenario_id", F.explode("ranked").alias("v")).select(
+        "scenario_id", "v.seq", "v.vehicle_id", "v.rank", "v.wait", (F.col("v.group") == 2).alias("only_loses"),
     )
 
 
-def summary(rows: DataFrame) -> DataFrame:
-    """Ranked vehicle rows (with ``led``, ``rank`` and ``wait``) to one row per scenario.
+def summary(scenarios: DataFrame) -> DataFrame:
+    """Ranked scenarios (with ``led``) with what a decision says.
 
-    ``losses`` has one text per losing vehicle in the order of first losses, ``pairs`` all
+    ``decisions`` has one text per losing vehicle in the order of first losses, ``conflict_vehicles`` all
     pairs in list order, ``entries`` the vehicles in list order. At most 20 vehicles each.
     """
-    lost = F.col("stronger").isNotNull()
-    loss = F.struct(
-        F.least("seq", "stronger.seq").alias("p1"), F.greatest("seq", "stronger.seq").alias("p2"),
-        yield_text(F.col("vehicle_id"), F.col("stronger.vehicle_id")).alias("text"),
-    )
-    out = rows.groupBy("scenario_id").agg(
-        F.sum("pairs_led").cast("int").alias("number_of_conflicts"),
-        F.array_sort(F.collect_list(F.when(lost, loss))).alias("losses"),
-        F.array_sort(F.collect_list(F.struct("seq", "led"))).alias("led"),
-        F.array_sort(F.collect_list(F.struct("seq", "vehicle_id", "rank", "wait"))).alias("entries"),
+    loss = lambda v: F.struct(
+        F.least(v["seq"], v["stronger"]["seq"]).alias("p1"), F.greatest(v["seq"], v["stronger"]["seq"]).alias("p2"),
+        yield_text(v["vehicle_id"], v["stronger"]["vehicle_id"]).alias("text"),
     )
-    any_pair = F.col("number_of_conflicts") > 0
+    losers = F.filter("ranked", lambda v: v["stronger"].isNotNull())
+    entry = lambda v: F.struct(*[v[f].alias(f) for f in ("seq", "vehicle_id", "rank", "wait", "led")])
+    kept = [c for c in scenarios.columns if c not in ("scenario_id", "ranked")]
+    out = scenarios.select(
+        "scenario_id", *kept, F.array_sort(F.transform(losers, loss)).alias("losses"), F.array_sort(F.transform("ranked", entry)).alias("entries"))
     bare = lambda p: F.struct(p["vehicle1_id"], p["vehicle2_id"])
+    led = F.flatten(F.transform("entries", lambda x: F.coalesce(F.transform(x["led"], bare), F.array())))
+    out = out.withColumn("conflict_vehicles", led)
+    any_pair = F.size("conflict_vehicles") > 0
     return out.select(
-        "scenario_id", scalar.yes_no(any_pair).alias("is_conflict"), "number_of_conflicts",
+        "scenario_id", *kept, scalar.yes_no(any_pair).alias("is_conflict"), F.size("conflict_vehicles").alias("number_of_conflicts"),
         F.when(any_pair, F.array(F.lit("intersection"))).otherwise(F.array().cast("array<string>")).alias("places_of_conflicts"),
-        F.transform(F.flatten(F.transform("led", lambda x: x["led"])), bare).alias("conflict_vehicles"),
-        F.transform("losses", lambda x: x["text"]).alias("decisions"), "entries",
+        "conflict_vehicles", F.transform("losses", lambda x: x["text"]).alias("decisions"), "entries",
     )
 
 
 def decisions(scenarios: DataFrame, inclusive: bool = True) -> DataFrame:
     """One decision per scenario, with or without conflict."""
-    order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
-    out = summary(ranked(scenarios, inclusive, list_pairs=True).withColumn("rank", F.row_number().over(order)))
+    out = summary(ranked(scenarios, inclusive, list_pairs=True))
     by_id = lambda value: S.map_by_id(F.col("entries"), value)
     return out.withColumns({"priority_order": by_id("rank"), "waiting_times": by_id("wait")}).drop("entries")
 
@@ -202,7 +206,7 @@ def priorities_of_rows(vehicles: DataFrame) -> DataFrame:
     ordered = met.select(
         "scenario_id", "seq", "vehicle_id", earliest_other("weaker")["seq"].alias("weaker"),
         earliest_other("stronger").alias("stronger"),
-    ).select("scenario_id", "seq", "vehicle_id", *standing())
+    ).select("scenario_id", "seq", "vehicle_id", *standing(F.struct("seq", "weaker", "stronger")))
     # Places are list places: the rows themselves, once for each group, tell where to cut.
     places = vehicles.select(
         "scenario_id", F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("group"), F.col("seq").alias("place1"), F.lit(0).alias("place2"), "seq"

@@ -24,21 +24,29 @@ def packed_fields(vehicles: DataFrame) -> list[str]:
     return VEHICLE_FIELDS + [f for f in PREPARED_FIELDS if f in vehicles.columns]
 
 
-def pack(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES) -> DataFrame:
+def gathered(numbered: DataFrame, nth: str, fields: list[str]) -> DataFrame:
+    """(scenario_id, vehicles): vehicle rows numbered from 1 in ``nth`` by a window over their scenario, packed where they lie.
+
+    The rows are already sorted by scenario, so a window without an order gathers them as they stream by: a task holds
+    one scenario at a time. A grouped list would sort the partition again and keep all its lists in memory.
+    """
+    whole = F.collect_list(F.struct(*fields)).over(Window.partitionBy("scenario_id"))
+    return numbered.select("scenario_id", nth, whole.alias("_all")).filter(F.col(nth) == 1).select(
+        "scenario_id", F.array_sort("_all").alias("vehicles"))
+
+
+def pack(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES, extra: list[str] = []) -> DataFrame:
     """(scenario_id, vehicles, oversized): at most ``max_vehicles`` rows of a scenario meet in one task.
 
     The rank filter is applied on the map side as well, so a scenario that holds a large
     part of the table sends ``max_vehicles + 1`` rows per task. Such a scenario is marked
     ``oversized`` and its array is NULL; nothing is resolved from a cut array.
     """
-    fields = packed_fields(vehicles)
+    fields = [*packed_fields(vehicles), *extra]
     nth = F.row_number().over(Window.partitionBy("scenario_id").orderBy("seq"))
+    kept = vehicles.select("scenario_id", *fields).withColumn("_nth", nth).filter(F.col("_nth") <= max_vehicles + 1)
     return (
-        vehicles.select("scenario_id", *fields)
-        .withColumn("_nth", nth)
-        .filter(F.col("_nth") <= max_vehicles + 1)
-        .groupBy("scenario_id")
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("vehicles"))
+        gathered(kept, "_nth", fields)
         .withColumn("oversized", F.size("vehicles") > max_vehicles)
         .withColumn("vehicles", F.when(~F.col("oversized"), F.col("vehicles")))
     )
@@ -47,13 +55,8 @@ def pack(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES) -> DataFrame:
 def heads(vehicles: DataFrame, n: int) -> DataFrame:
     """(scenario_id, vehicles): the first ``n`` vehicles of each scenario; the rank filter also runs before the exchange."""
     nth = F.row_number().over(Window.partitionBy("scenario_id").orderBy("seq"))
-    return (
-        vehicles.select("scenario_id", *VEHICLE_FIELDS)
-        .withColumn("_nth", nth)
-        .filter(F.col("_nth") <= n)
-        .groupBy("scenario_id")
-        .agg(F.array_sort(F.collect_list(F.struct(*VEHICLE_FIELDS))).alias("vehicles"))
-    )
+    kept = vehicles.select("scenario_id", *VEHICLE_FIELDS).withColumn("_nth", nth).filter(F.col("_nth") <= n)
+    return gathered(kept, "_nth", VEHICLE_FIELDS)
 
 
 def first_of_id(entries: Column, key: str = "vehicle_id") -> Column:

@@ -59,9 +59,7 @@ def scenarios(spark: SparkSession, sf_dir: str, layout: scalar.Layout = C.LAYOUT
     An order has few lines (17 at most in the test data) and its lines meet in one task anyway to be numbered.
     """
     rows = lane.prepared(raw_rows(spark, sf_dir), layout)
-    return rows.groupBy("scenario_id").agg(
-        F.array_sort(F.collect_list(F.struct(*S.packed_fields(rows)))).alias("vehicles")
-    )
+    return S.gathered(rows, "seq", S.packed_fields(rows))
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,15 +138,13 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_dataset(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     """The 14-column table with Python-literal text columns, labelled by the generator's rule.
 
-    Ranks, waits and texts are made and spread to the vehicles within the scenario's partition.
+    Ranks, waits and texts are made in the scenario's row and go out with each of its vehicles: no join, no group.
     """
     made = scenarios(spark, sf_dir)
-    order = Window.partitionBy("scenario_id").orderBy("group", "place1", "place2", "seq")
-    drawn = near.generator_wait(F.col("scenario_id"), F.col("seq"), seed)
-    rows = near.ranked(made, False, list_pairs=True).withColumns({
-        "rank": F.when(F.col("group") != 2, F.row_number().over(order)),
-        "wait": F.when(F.col("stronger").isNotNull(), drawn).otherwise(0),
-    })
+    # the generator leaves vehicles that only lose unranked and draws the waits of all that ever lose
+    told = lambda v: v.withField("rank", F.when(v["group"] != 2, v["rank"])).withField(
+        "wait", F.when(v["stronger"].isNotNull(), near.generator_wait(F.col("scenario_id"), v["seq"], seed)).otherwise(0))
+    rows = near.ranked(made, False, list_pairs=True, keep=["vehicles"]).withColumn("ranked", F.transform("ranked", told))
     quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
     listed = lambda items: F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
     dict_text = lambda value: F.concat(F.lit("{"), F.array_join(F.transform("entries", lambda e: F.concat(
@@ -156,13 +152,14 @@ def raw_dataset(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     pair_text = lambda p: F.concat(
         F.lit("{'vehicle1_id': "), quoted(p["vehicle1_id"]), F.lit(", 'vehicle2_id': "), quoted(p["vehicle2_id"]), F.lit("}"))
     labels = near.summary(rows).select(
-        "scenario_id", "is_conflict", "number_of_conflicts",
+        "scenario_id", "vehicles", "is_conflict", "number_of_conflicts",
         listed(F.transform("places_of_conflicts", quoted)).alias("places_text"),
         listed(F.transform("conflict_vehicles", pair_text)).alias("pairs_text"),
         listed(F.transform("decisions", quoted)).alias("decisions_text"),
         dict_text("rank").alias("priority_order"), dict_text("wait").alias("waiting_times"),
     ).withColumnsRenamed({"places_text": "places_of_conflicts", "pairs_text": "conflict_vehicles", "decisions_text": "decisions"})
-    return S.unpack(made).drop("seq", *S.PREPARED_FIELDS).join(labels, "scenario_id")
+    each = S.unpack(labels, *[c for c in labels.columns if c not in ("scenario_id", "vehicles")])
+    return each.select("scenario_id", *[f for f in S.VEHICLE_FIELDS if f != "seq"], *labels.columns[2:])
 
 
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,12 +84,24 @@ def ids(spark, n: int) -> DataFrame:
 def labelled(vehicles: DataFrame, seed: int = 42) -> DataFrame:
     """Generated vehicle rows with their labels: rank and wait by the generator's rule, and the scenario's yes/no and pairs.
 
-    Labels are made in the scenario's partition and joined back by (scenario, place), one row to one row.
+    Labels are made in the scenario's row and go out with its vehicles: the rows are made and packed once, nothing is joined.
     """
-    made = S.pack(vehicles).drop("oversized")
-    decided = near.decisions(made, inclusive=False).select("scenario_id", "is_conflict", "number_of_conflicts")
-    each = near.generator_labels(made, seed).select("scenario_id", "seq", "rank", "wait")
-    return vehicles.join(each, ["scenario_id", "seq"]).join(decided, "scenario_id")
+    own = [c for c in vehicles.columns if c != "scenario_id"]
+    made = S.pack(vehicles, extra=[c for c in own if c not in S.packed_fields(vehicles)]).filter("scenario_id is not null")
+    rows = near.ranked(made, inclusive=False, list_pairs=True, keep=["vehicles"])
+    loses = lambda v: v["wait"].isNull() | (v["wait"] > 0)
+    told = lambda v: F.struct(
+        v["seq"].alias("seq"), F.when(v["group"] != 2, v["rank"]).alias("rank"),
+        F.when(loses(v), near.generator_wait(F.col("scenario_id"), v["seq"], seed)).otherwise(0).alias("wait"),
+    )
+    pairs = F.aggregate("ranked", F.lit(0), lambda n, v: n + F.coalesce(F.size(v["led"]), F.lit(0)))
+    # both lists by place: a vehicle meets its own label
+    both = rows.select("scenario_id", pairs.alias("number_of_conflicts"), "vehicles", F.array_sort(F.transform("ranked", told)).alias("label"))
+    each = both.select("scenario_id", "number_of_conflicts", F.inline(F.arrays_zip("vehicles", "label")))
+    return each.select(
+        "scenario_id", *[F.col(f"vehicles.{c}").alias(c) for c in own], "label.rank", "label.wait",
+        scalar.yes_no(F.col("number_of_conflicts") > 0).alias("is_conflict"), "number_of_conflicts",
+    )
 
 
 def limit_rows(vehicles: DataFrame, n: int) -> DataFrame:
