@@ -43,15 +43,17 @@ def waits_of_rows(vehicles: DataFrame, layout: scalar.Layout = C.LAYOUT_EIGHT_LA
     Places and the running maximum are taken inside each part of the queue. A part begins after the
     ``n`` vehicles of all earlier parts, so its values move by two seconds for each of them.
     """
-    own = ["scenario_id", "_part"]
+    own, order = ["scenario_id", "_part"], ["t", "seq"]
     rows = lane.involved_of_rows(vehicles, layout).select("scenario_id", "seq", "vehicle_id", "t", "involved")
-    cut = prefix.ranged(rows, ["scenario_id"], ["t", "seq"], cut_by=lane.prepared(vehicles, layout))
-    along = Window.partitionBy(*own).orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    along = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     free = F.when(F.col("involved"), F.col("t") - C.CLEARING_S * (F.col("rank") - 1))
-    local = cut.withColumn("rank", F.count_if("involved").over(along)).withColumn("lead", F.max(free).over(along))
+    queued = lambda cut: cut.withColumn("rank", F.count_if("involved").over(along)).withColumn("lead", F.max(free).over(along))
+    points, place, parts = prefix.points(lane.prepared(vehicles, layout), ["scenario_id"], order)
+    local = queued(prefix.placed(rows, ["scenario_id"], points, place, parts))
+    several = queued(prefix.placed(prefix.of_cut_keys(rows, ["scenario_id"], points), ["scenario_id"], points, place, parts))
     before = Window.partitionBy("scenario_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        local.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own).agg(F.max("rank").alias("n"), F.max("lead").alias("lead"))
+        several.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own).agg(F.max("rank").alias("n"), F.max("lead").alias("lead"))
         .withColumn("_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .withColumn("_lead", F.max(F.col("lead") - C.CLEARING_S * F.col("_n")).over(before))
         .select(*own, "_n", "_lead")

@@ -42,29 +42,58 @@ def cut_points(df: DataFrame, place: Column, parts: int) -> DataFrame:
     return some.select(F.array_distinct(F.filter(picked, lambda p: p.isNotNull())).alias("_cuts"))
 
 
-def part_number(cuts: Column, place: Column, parts: int) -> Column:
-    """How many cuts are at or below ``place``: first among every w-th cut, then between two of these."""
-    w = max(1, int(parts ** 0.5))
+def _step(parts: int) -> int:
+    return max(1, int(parts ** 0.5))
+
+
+def part_number(cuts: Column, coarse: Column, place: Column, parts: int) -> Column:
+    """How many cuts are at or below ``place``: first among ``coarse``, every w-th cut, then between two of these."""
+    w = _step(parts)
     up_to = lambda a: F.size(F.filter(a, lambda b: b <= place))
-    coarse = F.filter(cuts, lambda b, i: (i + 1) % w == 0)
     whole = up_to(coarse) * w
     return (whole + up_to(F.slice(cuts, whole + 1, F.lit(w - 1))) if w > 1 else whole).cast("int")
 
 
+def _key(keys: list[str]) -> Column:
+    return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
+
+
+def points(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> tuple[DataFrame, Column, int]:
+    """The one row of cuts, the place that is cut, and the number of parts."""
+    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = F.struct(_key(keys).alias("k"), *[c.alias(f"o{i}") for i, c in enumerate(order_values(order))])
+    return cut_points(df, place, parts), place, parts
+
+
 def ranged(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None, cut_by: DataFrame | None = None) -> DataFrame:
     """``df`` with its part number ``_part`` along (keys, order), and whether the key goes on in the next or came from an earlier part.
 
-    Keys count by their hash here: which of two keys comes first does not matter. ``cut_by`` is a table with the same keys and
-    order columns, cheaper to make than ``df``, whose quantiles are good enough; any give the same values.
+    Keys count by their hash here: which of two keys comes first does not matter. A key with no cut inside is one group
+    whatever its number, which is 0: only rows of the few keys that a cut falls into look for their place. ``cut_by`` is a table with the
+    same keys and order columns, cheaper to make than ``df``, whose quantiles are good enough; any give the same values.
     """
-    parts = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    key = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
-    place = F.struct(key.alias("k"), *[c.alias(f"o{i}") for i, c in enumerate(order_values(order))])
-    cuts = F.col("_cuts")
-    inside = lambda i: F.coalesce(F.get(cuts, i)["k"] == key, F.lit(False))
-    one_row = F.broadcast(cut_points(df if cut_by is None else cut_by, place, parts))
-    numbered = df.join(one_row, how="cross").withColumn("_part", part_number(cuts, place, parts))
-    return numbered.withColumns({"_goes_on": inside(F.col("_part")), "_came": inside(F.col("_part") - 1)}).drop("_cuts")
+    cuts, place, parts = points(df if cut_by is None else cut_by, keys, order, parts)
+    return placed(df, keys, cuts, place, parts)
+
+
+def placed(df: DataFrame, keys: list[str], points: DataFrame, place: Column, parts: int) -> DataFrame:
+    """``ranged`` by cuts that ``points`` made."""
+    cuts, key, w = F.col("_cuts"), _key(keys), _step(parts)
+    one_row = points.select("_cuts", F.filter("_cuts", lambda b, i: (i + 1) % w == 0).alias("_coarse"), _cut_keys().alias("_keys"))
+    number = F.when(F.array_contains("_keys", key), part_number(cuts, F.col("_coarse"), place, parts)).otherwise(0)
+    # get() of an index below 0 is NULL: the first part came from none
+    inside = lambda i: F.array_contains("_keys", key) & F.coalesce(F.get(cuts, i)["k"] == key, F.lit(False))
+    numbered = df.join(F.broadcast(one_row), how="cross").withColumn("_part", number)
+    return numbered.withColumns({"_goes_on": inside(F.col("_part")), "_came": inside(F.col("_part") - 1)}).drop(*one_row.columns)
+
+
+def _cut_keys() -> Column:
+    return F.array_distinct(F.transform("_cuts", lambda c: c["k"]))
+
+
+def of_cut_keys(df: DataFrame, keys: list[str], points: DataFrame) -> DataFrame:
+    """The rows of keys that a cut falls into. The keys are one value of the plan, so the filter moves down to where ``df`` is read."""
+    return df.filter(F.array_contains(points.select(_cut_keys().alias("_keys")).scalar(), _key(keys)))
 
 
 def running(
@@ -83,11 +112,13 @@ def running(
     ``order`` must be unique within a key. A sum over no rows is NULL.
     """
     backward = backward or {}
-    cut = ranged(df, keys, order, parts, cut_by)
+    cuts, place, parts = points(df if cut_by is None else cut_by, keys, order, parts)
+    cut = placed(df, keys, cuts, place, parts)
+    several = placed(of_cut_keys(df, keys, cuts), keys, cuts, place, parts) if keys else cut
     own = [*keys, "_part"]
     everything = values | backward
     totals = (
-        cut.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own)
+        several.filter(F.col("_goes_on") | F.col("_came")).groupBy(*own)
         .agg(*[_AGG[kind](value).alias(f"_{name}") for name, (kind, value) in everything.items()])
     )
     # A frame that ends at the last row costs a pass for every row: what runs from the end is ordered from the end.
@@ -118,9 +149,9 @@ def _combined(kind: str, name: str) -> Column:
     return _MERGE[kind](here, carried)
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "idx") -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "idx", cut_by: DataFrame | None = None) -> DataFrame:
     """Adds the 0-based position of each row within its key."""
-    return running(df, keys, order, {name: ("sum", F.lit(1))}).withColumn(name, F.col(name) - 1)
+    return running(df, keys, order, {name: ("sum", F.lit(1))}, cut_by=cut_by).withColumn(name, F.col(name) - 1)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -14,6 +14,7 @@ from . import metrics, prefix
 
 def rolling(
     df: DataFrame, keys: list[str], order: list[str], width: int, values: dict[str, Column], chunk: int = 1_000_000,
+    cut_by: DataFrame | None = None,
 ) -> DataFrame:
     """Adds windowed values over the last ``width`` rows (fewer at the start).
 
@@ -21,7 +22,7 @@ def rolling(
     width - 1 rows of a chunk are copied to the next, so every window is whole in its chunk.
     """
     chunk = max(chunk, width)
-    numbered = prefix.numbered(df, keys, order, "_idx")
+    numbered = prefix.numbered(df, keys, order, "_idx", cut_by)
     home = F.floor(F.col("_idx") / chunk)
     visits = F.when(
         F.col("_idx") % chunk >= chunk - (width - 1), F.array(home, home + 1)
@@ -44,13 +45,13 @@ def rolling_fnr(records: DataFrame, keys: list[str], order: list[str], width: in
     return rolling(records, keys, order, width, {"rolling_fnr": value}, **kw)
 
 
-def running_metrics(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def running_metrics(records: DataFrame, keys: list[str], order: list[str], cut_by: DataFrame | None = None) -> DataFrame:
     """The scores after each prediction of the run."""
     t, p = F.col("true_label") == "yes", F.col("predicted_label") == "yes"
     one = lambda cond: ("sum", cond.cast("int"))
     counted = prefix.running(records, keys, order, {
         "tp": one(t & p), "fn": one(t & ~p), "fp": one(~t & p), "tn": one(~t & ~p), "step": ("sum", F.lit(1)),
-    })
+    }, cut_by=cut_by)
     return counted.select(*records.columns, "step", *metrics.scores(no_positive=1.0))
 
 

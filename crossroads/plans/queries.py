@@ -609,19 +609,19 @@ def scenario_sizes(spark, d):
 
 @query
 def rolling_accuracy(spark, d):
-    out = windows.rolling_accuracy(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"])
+    out = windows.rolling_accuracy(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"], cut_by=A.prediction_places(spark, d))
     return out.select("variant", "scenario_id", "idx", F.round("rolling_accuracy", 4).alias("rolling_accuracy"))
 
 
 @query
 def rolling_fnr(spark, d):
-    out = windows.rolling_fnr(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"])
+    out = windows.rolling_fnr(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"], cut_by=A.prediction_places(spark, d))
     return out.select("variant", "scenario_id", "idx", F.round("rolling_fnr", 4).alias("rolling_fnr"))
 
 
 @query
 def running_metrics(spark, d):
-    out = windows.running_metrics(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"])
+    out = windows.running_metrics(A.predictions(spark, d), ["variant"], ["ts", "scenario_id"], cut_by=A.prediction_places(spark, d))
     return out.select("variant", "scenario_id", "step", "accuracy", "precision", "recall", "f1", "fnr")
 
 
@@ -938,7 +938,7 @@ def generated_eight_lane(spark, d):
 def balanced_scenarios(spark, d):
     made = generators.eight_lane(_order_ids(spark, d), num_vehicles=5)
     labelled = lane.with_label(lane.packed(made), "is_conflict").select("scenario_id", "is_conflict")
-    return generators.class_balanced(labelled, 1001)
+    return generators.class_balanced(labelled, 1001, cut_by=_order_ids(spark, d))
 
 
 @query

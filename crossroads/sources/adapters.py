@@ -112,6 +112,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prediction_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variant, time and id of all orders: where predictions lie in their sequences, without scoring them."""
+    placed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("scenario_id"), F.col("o_orderdate").alias("ts"))
+    return placed.withColumn("variant", F.explode(F.array(*[F.lit(v) for v, _, _ in VARIANTS])))
+
+
 def as_prediction_events(events: DataFrame) -> DataFrame:
     """The prediction log, from the events table; works on a stream as well."""
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")

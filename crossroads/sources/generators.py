@@ -3,7 +3,7 @@ the same rows under any partitioning and after any retry."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -109,9 +109,24 @@ def limit_rows(vehicles: DataFrame, n: int) -> DataFrame:
     return vehicles.orderBy("scenario_id", "seq").limit(n)
 
 
-def class_balanced(labelled: DataFrame, total: int, label: str = "is_conflict", id_col: str = "scenario_id") -> DataFrame:
-    """Scenarios in id order, each class accepted while it has fewer than half of ``total``."""
-    placed = prefix.numbered(labelled, [label], [id_col], "_idx")
-    half = (total + 1) // 2
-    accepted = placed.filter(F.col("_idx") < half)
-    return prefix.numbered(accepted, [], [id_col], "_all").filter(F.col("_all") < total).drop("_idx", "_all")
+def class_balanced(
+    labelled: DataFrame, total: int, label: str = "is_conflict", id_col: str = "scenario_id", cut_by: DataFrame | None = None
+) -> DataFrame:
+    """Scenarios in id order, each class accepted while it has fewer than half of ``total``.
+
+    Ids are cut into even parts, by ``cut_by`` when it is cheaper to make. How many of each class a part holds tells where
+    classes and the whole are full: the table is made twice, for these counts and for the places inside the parts.
+    """
+    half, own = (total + 1) // 2, ["_part", label]
+    cuts, place, parts = prefix.points(labelled if cut_by is None else cut_by, [], [id_col])
+    cut = prefix.placed(labelled.select(*labelled.columns), [], cuts, place, parts).drop("_goes_on", "_came")
+    earlier = lambda *keys: Window.partitionBy(*keys).orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(*own).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier(label)), F.lit(0)))
+    taken = F.greatest(F.lit(0), F.least("_n", F.lit(half) - F.col("_before")))
+    # a row per part and class
+    carried = counts.withColumn("_taken", F.coalesce(F.sum(taken).over(earlier()), F.lit(0))).filter(
+        (F.col("_before") < half) & (F.col("_taken") < total)).select("_part", F.col(label).alias("_label"), "_before", "_taken")
+    rows = cut.join(F.broadcast(carried), ["_part"]).filter(F.col(label).eqNullSafe(F.col("_label")))
+    accepted = rows.withColumn("_idx", F.row_number().over(Window.partitionBy(*own).orderBy(id_col))).filter(F.col("_before") + F.col("_idx") <= half)
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(id_col))
+    return accepted.withColumn("_nth", nth).filter(F.col("_taken") + F.col("_nth") <= total).select(*labelled.columns)
