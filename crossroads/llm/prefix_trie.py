@@ -1,15 +1,15 @@
-"""The prefix trie of conversations, with subtree totals by parallel tree contraction.
+"""The prefix trie of conversations, with subtree totals from running sums along its paths.
 
 A node is a distinct beginning of ``depth`` turns (role and text); its members are the conversations that
 begin so. Beginnings are told apart by 128 bits: the exclusive-or of two hashes of each turn and its place,
 taken as a running value, so a conversation of any length spreads over tasks. A node is named by its smallest
 member and its depth.
 
-Totals over subtrees come from rounds of joins. Rake: nodes without children give their totals to their
-parents, pre-aggregated, so a parent with very many children is one sum. Compress: of the nodes left with one
-child an independent set is taken out; the child moves up to its grandparent with what lay between. A chain of
-length n so takes about 2 log n rounds. The nodes taken out are put back in reverse order and get their totals
-from the child they had. Every round is a stored table, and one number comes to the driver.
+Totals over subtrees need no walk over levels. A conversation that names a node, as its smallest member, names every
+node below it on its own path: what it names is the end of its path. So each node lies on the path of exactly one
+conversation that names it, and the nodes below v are the nodes named by v's members at v or deeper. A running sum from
+the end of each path, over the nodes it names, says what a member adds to v; a sum over the members is v's total. The
+number of jobs does not depend on the depth or the width of the trie.
 
 Defined cases: a null role or text is empty; turns come in order of ``turn`` (null first), ties by role and the
 md5 of the text; equal rows are separate turns; rows without a conv_id belong to no conversation and are not read;
@@ -22,7 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crossroads.llm.frames import joined_to_unique, partitions, stored
@@ -55,15 +55,19 @@ def rebuilt(numbered: DataFrame, every: int = 100, most: int = 6) -> DataFrame:
     given = numbered.filter((F.col("conv_id") == donor) & (F.col("idx") < most - 1)).select(F.col("conv_id").alias("donor"), "idx", "digest", "chars")
     taken = convs.join(given, "donor").filter("idx < h").select("conv_id", "idx", "digest", "chars")
     own = numbered.filter(F.col("idx") >= h)
-    return prefix.numbered(taken.unionByName(own), ["conv_id"], ["idx"], "depth").select(
+    # stored: running values read their input several times, and one over another would multiply the plan
+    both = stored(taken.unionByName(own), "both")
+    return prefix.numbered(both, ["conv_id"], ["idx"], "depth", cut_by=both.select("conv_id", "idx")).select(
         "conv_id", (F.col("depth") + 1).alias("depth"), "digest", "chars")
 
 
 def members(sequences: DataFrame) -> DataFrame:
-    """(conv_id, depth, p1, p2, q1, q2, chars, last): a row for each beginning of each conversation, with its own and its parent's name."""
+    """(conv_id, depth, p1, p2, q1, q2, chars, last) of a stored table: a row for each beginning of each conversation, with its own and its parent's name."""
     own = [F.xxhash64("depth", "digest").alias("h1"), F.xxhash64(F.lit("second"), "digest", "depth").alias("h2")]
     rows = sequences.select("conv_id", "depth", "chars", *own)
-    run = prefix.running(rows, ["conv_id"], ["depth"], {"p1": ("xor", F.col("h1")), "p2": ("xor", F.col("h2"))}, backward={"left": ("sum", F.lit(1))})
+    run = prefix.running(
+        rows, ["conv_id"], ["depth"], {"p1": ("xor", F.col("h1")), "p2": ("xor", F.col("h2"))}, backward={"left": ("sum", F.lit(1))},
+        cut_by=sequences.select("conv_id", "depth"))
     return run.select(
         "conv_id", "depth", "p1", "p2", F.col("p1").bitwiseXOR(F.col("h1")).alias("q1"), F.col("p2").bitwiseXOR(F.col("h2")).alias("q2"),
         "chars", (F.col("left") == 1).alias("last"),
@@ -80,51 +84,18 @@ def nodes(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return below.withColumn("depth", F.col("depth").cast("long")).unionByName(root)
 
 
-def _flip(round_no: int, conv: str, depth: str) -> Column:
-    """A side, 0 or 1, for each node: bits of the depth and of a hash in turn. Along a chain of all depths the bits halve it."""
-    if round_no % 2:
-        return F.pmod(F.xxhash64(F.lit(round_no), conv, depth), F.lit(2))
-    return F.shiftright(F.col(depth), round_no // 2 % 62).bitwiseAND(F.lit(1))
+def subtree_sums(paths: DataFrame, tree: DataFrame, values: list[str]) -> DataFrame:
+    """(depth, p1, p2, *values): sums over subtrees, their top included.
 
-
-def subtree_sums(tree: DataFrame, values: list[str]) -> DataFrame:
-    """(conv_id, depth, *values): sums over subtrees, their top included, by rake and compress.
-
-    ``tree`` has a row for each node: conv_id, depth, parent_conv_id and parent_depth (null for the root), k (children)
-    and the values, longs.
+    ``paths`` has a row for each conversation and each node on its path: conv_id, depth, p1, p2. ``tree`` has a row for each
+    node: conv_id, depth and the values, longs. conv_id and depth are unique in both, so no key of the join is large.
     """
-    name, up = ["conv_id", "depth"], ["parent_conv_id", "parent_depth"]
-    via = [f"via_{v}" for v in values]
-    alive = stored(tree.select(*name, *up, "k", *values, *[F.lit(0).cast("long").alias(v) for v in via]), "alive")
-    done, out, round_no = [], [], 0
-    while alive.head(1):
-        leaf = F.col("k") == 0
-        done.append(alive.filter(leaf).select(*name, *values))
-        # One row for each parent: what its leaves give it, and of the other children how many, and the only one.
-        given = alive.filter(F.col(up[0]).isNotNull()).groupBy(*up).agg(
-            *[F.coalesce(F.sum(F.when(leaf, F.col(v) + F.col(f"via_{v}"))), F.lit(0)).alias(f"leaf_{v}") for v in values],
-            F.count_if(~leaf).alias("rest"), F.min(F.when(~leaf, F.struct(*name))).alias("child"),
-            *[F.min(F.when(~leaf, F.col(v))).alias(f"child_{v}") for v in via],
-        ).withColumnsRenamed(dict(zip(up, name)))
-        raked = stored(alive.filter(~leaf).join(given, name).select(
-            *name, *up, F.col("rest").alias("k"), *[(F.col(v) + F.col(f"leaf_{v}")).alias(v) for v in values], *via,
-            "child", *[f"child_{v}" for v in via]), "raked")
-        goes = (F.col("k") == 1) & F.col(up[0]).isNotNull() & (_flip(round_no, *name) == 1) & (_flip(round_no, *up) == 0)
-        gone = raked.filter(goes)
-        out.append(gone.select(*name, "child", *[(F.col(v) + F.col(f"child_via_{v}")).alias(v) for v in values]))
-        moved = gone.select(
-            F.col("child.conv_id").alias("conv_id"), F.col("child.depth").alias("depth"), F.lit(True).alias("moved"),
-            *[F.col(c).alias(f"new_{c}") for c in up], *[(F.col(v) + F.col(f"via_{v}")).alias(f"more_{v}") for v in values])
-        alive = stored(raked.filter(F.coalesce(~goes, F.lit(True))).drop("child", *[f"child_{v}" for v in via]).join(moved, name, "left").select(
-            *name, *[F.when(F.col("moved"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in up], "k", *values,
-            *[(F.col(f"via_{v}") + F.coalesce(f"more_{v}", F.lit(0))).alias(f"via_{v}") for v in values]), "alive")
-        round_no += 1
-    whole = stored(prefix.union_all(done), "totals") if done else alive.select(*name, *values)
-    for gone in reversed(out):
-        below = whole.select(F.struct(*name).alias("child"), *[F.col(v).alias(f"below_{v}") for v in values])
-        back = gone.join(below, "child").select(*name, *[(F.col(v) + F.col(f"below_{v}")).alias(v) for v in values])
-        whole = whole.unionByName(stored(back, "totals"))
-    return whole
+    known = tree.select("conv_id", "depth", *values)
+    own = stored(paths.join(known, ["conv_id", "depth"], "left").select("conv_id", *KEY, *[F.coalesce(v, F.lit(0)).alias(v) for v in values]), "own")
+    # quantiles come from the narrow columns alone
+    below = prefix.running(
+        own, ["conv_id"], ["depth"], {}, backward={f"below_{v}": ("sum", F.col(v)) for v in values}, cut_by=own.select("conv_id", "depth"))
+    return below.groupBy(*KEY).agg(*[F.sum(f"below_{v}").alias(v) for v in values])
 
 
 def ends(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -185,7 +156,7 @@ def trie(conversations: DataFrame, rebuild=rebuilt) -> DataFrame:
     """
     numbered = stored(turns(conversations), "turns")
     sequences = rebuild(numbered) if rebuild else numbered.select("conv_id", (F.col("idx") + 1).alias("depth"), "digest", "chars")
-    rows = stored(members(sequences), "members")
+    rows = stored(members(stored(sequences, "sequences")), "members")
     ids = numbered.select("conv_id").distinct().join(
         rows.filter("depth = 1").select("conv_id", F.lit(False).alias("t")), "conv_id", "left").select("conv_id", F.col("t").isNull().alias("turnless"))
     named = stored(nodes(rows, ids), "nodes")
@@ -194,11 +165,12 @@ def trie(conversations: DataFrame, rebuild=rebuilt) -> DataFrame:
         (F.col("depth") - 1).alias("depth"), F.col("q1").alias("p1"), F.col("q2").alias("p2"), "k")
     linked = joined_to_unique(named, parents, ["depth", "q1", "q2"]).join(children, KEY, "left").withColumn("k", F.coalesce("k", F.lit(0)))
     linked = stored(linked, "linked")
-    sums = subtree_sums(linked.select(
-        "conv_id", "depth", "parent_conv_id", F.when(F.col("parent_conv_id").isNotNull(), F.col("depth") - 1).alias("parent_depth"), "k",
-        ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"), (F.col("k") == 0).cast("long").alias("n_leaves"),
+    zero = F.lit(0).cast("long")
+    top = ids.select("conv_id", zero.alias("depth"), zero.alias("p1"), zero.alias("p2"))
+    sums = subtree_sums(top.unionByName(rows.select("conv_id", F.col("depth").cast("long").alias("depth"), "p1", "p2")), linked.select(
+        "conv_id", "depth", ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"), (F.col("k") == 0).cast("long").alias("n_leaves"),
     ), ["saved_tokens", "n_leaves"])
     none = hashlib.sha256().hexdigest()
-    return linked.join(sums, ["conv_id", "depth"]).join(ends(rows, ids), KEY, "left").select(
+    return linked.join(sums, KEY).join(ends(rows, ids), KEY, "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", F.col("k").alias("n_children"), "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256"))

@@ -7,6 +7,7 @@ import pytest
 from tests.llm import plain
 
 from crossroads.llm import prefix_trie
+from crossroads.llm.frames import stored
 
 SCHEMA = "conv_id long, turn long, role string, text string, depth long, k string"
 
@@ -86,3 +87,32 @@ def test_trie_equals_loops(spark, monkeypatch, rebuild):
 
 def test_no_conversations(spark):
     assert prefix_trie.trie(spark.createDataFrame([(None, 1, "user", "nobody", 1, "x")], SCHEMA)).count() == 0
+
+
+def test_jobs_do_not_grow_with_the_depth(spark, monkeypatch):
+    """A chain of 70 turns with a leaf at every turn, beside a plain chain: as many tables are stored as for one turn."""
+    made = []
+    monkeypatch.setattr(prefix_trie, "stored", lambda df, name: made.append(name) or stored(df, name))
+    used = {}
+    for depth in (1, 70):
+        rows = [(7000, t, "user", "long") for t in range(depth)]
+        for n in range(depth):
+            rows += [(7001 + n, t, "user", "comb") for t in range(n)] + [(7001 + n, n, "user", f"tip {n}")]
+        convs = ordered(rows)
+        out = prefix_trie.trie(spark.createDataFrame([(*r, 9, "x") for r in rows], SCHEMA), rebuild=None)
+        assert rows_of(out) == expected(convs)
+        used[depth], made[:] = len(made), []
+    assert used[1] == used[70] <= 8
+
+
+def test_no_running_value_stands_on_another(spark, monkeypatch):
+    """Each reads its input several times: one on another multiplied the plan to over a thousand exchanges."""
+    sizes = []
+
+    def sized(df, name):
+        sizes.append(df._jdf.queryExecution().optimizedPlan().toString().count("Window ["))
+        return stored(df, name)
+
+    monkeypatch.setattr(prefix_trie, "stored", sized)
+    prefix_trie.trie(spark.createDataFrame([(c, t, "user", "x", 9, "x") for c in range(3) for t in range(4)], SCHEMA))
+    assert max(sizes) <= 8
