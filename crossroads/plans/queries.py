@@ -15,7 +15,7 @@ from ..operators import (
     windows,
 )
 from ..operators import scenarios as S
-from ..session import new_table_path
+from ..session import new_table_path, stored
 from ..sources import adapters as A
 from ..sources import generators, readers, writers
 from ..streaming import events as stream
@@ -395,7 +395,8 @@ def semi_join_vehicles(spark, d):
 @query
 def balanced_supplement(spark, d):
     key = S.content_key(F.col("vehicles"))
-    rows = _labels(spark, d).select("scenario_id", "is_conflict", F.size("vehicles").alias("n"), key.alias("key"))
+    # read by both sides, the exclusions, the counts and the draw; labels and digests are made once
+    rows = stored(_labels(spark, d).select("scenario_id", "is_conflict", F.size("vehicles").alias("n"), key.alias("key")), "labelled")
     eight = rows.filter("n = 8").drop("n")
     used = sampling.overall(rows.drop("n"), 50, seed=7)
     return sampling.supplemented(eight, rows.drop("n"), used, 400, "key").select("scenario_id", "is_conflict")
