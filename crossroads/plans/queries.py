@@ -865,7 +865,7 @@ def report_tables(spark, d):
 @query
 def evaluation_reports(spark, d):
     """The bias, robustness, explanation and combined reports as one tidy table."""
-    rates = _rates(spark, d)
+    rates = stored(_rates(spark, d), "rates")  # a few dozen rows, read by two reports
     p = A.predictions(spark, d)
     return writers.report_table(
         bias=audit.subgroup_metrics(_audit_records(spark, d)), robustness=rates, stability=perturb.stability(rates),
