@@ -32,7 +32,7 @@ def gathered(numbered: DataFrame, nth: str, fields: list[str]) -> DataFrame:
     """
     whole = F.collect_list(F.struct(*fields)).over(Window.partitionBy("scenario_id"))
     return numbered.select("scenario_id", nth, whole.alias("_all")).filter(F.col(nth) == 1).select(
-        "scenario_id", F.array_sort("_all").alias("vehicles"))
+        "scenario_id", F.sort_array("_all").alias("vehicles"))
 
 
 def pack(vehicles: DataFrame, max_vehicles: int = C.MAX_VEHICLES, extra: list[str] = []) -> DataFrame:
