@@ -53,6 +53,8 @@ FOLDS, HELD_OUT = 5, 1
 HELD = 3 << 20
 #: Steps of the logarithms (base 10) of quotients and of left-over weights, both kept in two bytes.
 Q_STEP, G_STEP = 0.0005, 0.0005
+#: What each two-byte code stands for.
+_Q_VALUES, _G_VALUES = 10.0 ** (-Q_STEP * np.arange(1 << 16)), 10.0 ** (-G_STEP * np.arange(1 << 16))
 _END = np.uint64(0x5E0FF5E0FF5E0FF5)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -127,7 +129,7 @@ def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 def _open(folder: str, name: str) -> dict[str, np.ndarray]:
-    raw = mapped_file(folder, name)
+    raw = np.asarray(mapped_file(folder, name))
     size = 256
     while not (stop := np.flatnonzero(raw[:size] == 10)).size:
         size *= 2
@@ -169,30 +171,40 @@ class Reader:
             count[i:j][hit] = arrays["counts"][at[hit]]
         return number[inverse], count[inverse]
 
+    def weights(self, level: int, parents: np.ndarray) -> np.ndarray:
+        """The left-over weight of each parent; parents rise."""
+        starts = np.array([p[0] for p in self.model.levels[level - 1].parents], np.int64)
+        out = np.empty(len(parents))
+        for s, i, j in _parts(parents, starts):
+            out[i:j] = _G_VALUES[self.shard(level, s)[0]["g"][parents[i:j] - starts[s]]]
+        return out
+
     def children(self, level: int, parent: np.ndarray, word: np.ndarray, values: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Node of each (parent, word) at a level, -1 if none; its quotient (0 if none); the parent's left-over weight."""
         level_, width = self.model.levels[level - 1], np.uint64(self.model.words)
-        ok = np.flatnonzero((parent >= 0) & (word >= 0))
-        node, q, g = np.full(len(parent), -1, np.int64), np.zeros(len(parent)), np.ones(len(parent))
-        starts = np.array([p[0] for p in level_.parents], np.int64)
-        if values:
-            known = np.flatnonzero(parent >= 0)
-            distinct, inverse = np.unique(parent[known], return_inverse=True)
-            weight = np.empty(len(distinct))
-            for s, i, j in _runs(np.searchsorted(starts, distinct, side="right") - 1):
-                weight[i:j] = 10.0 ** (-G_STEP * self.shard(level, s)[0]["g"][distinct[i:j] - starts[s]])
-            g[known] = weight[inverse]
-        shard = np.searchsorted(starts, parent[ok], side="right") - 1
-        key = (parent[ok] - starts[shard]).astype(np.uint64) * width + word[ok].astype(np.uint64)
-        order = np.lexsort((key, shard))
-        for s, i, j in _runs(shard[order]):
+        starts = np.array([p[0] for p in level_.parents], np.uint64) * width
+        ok = (parent >= 0) & (word >= 0)
+        if (all_ok := bool(ok.all())):
+            ok = slice(None)
+        # Each pair is looked up once, in rising order; parent and word of a level are one number of 64 bits.
+        distinct, inverse = np.unique(parent[ok].astype(np.uint64) * width + word[ok].astype(np.uint64), return_inverse=True)
+        found, quotient = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct))
+        for s, i, j in _parts(distinct, starts):
             arrays, code = self.shard(level, s)
-            pick = ok[order[i:j]]
-            at = code.find(key[order[i:j]])
-            hit = at >= 0
-            node[pick[hit]] = level_.first[s] + at[hit]
+            at = code.find(distinct[i:j] - starts[s])
+            hit = np.flatnonzero(at >= 0)
+            at = at[hit]
+            found[i + hit] = level_.first[s] + at
             if values:
-                q[pick[hit]] = 10.0 ** (-Q_STEP * arrays["q"][at[hit]])
+                quotient[i + hit] = _Q_VALUES[arrays["q"][at]]
+        node, q, g = np.full(len(parent), -1, np.int64), np.zeros(len(parent)), np.ones(len(parent))
+        node[ok] = found[inverse]
+        if values:
+            q[ok] = quotient[inverse]
+            g[ok] = self.weights(level, (distinct // width).astype(np.int64))[inverse]
+            if not all_ok and len(rest := np.flatnonzero((parent >= 0) & ~ok)):
+                distinct, inverse = np.unique(parent[rest], return_inverse=True)
+                g[rest] = self.weights(level, distinct)[inverse]
         return node, q, g
 
     def node_counts(self, level: int, low: int, high: int) -> np.ndarray:
@@ -204,7 +216,7 @@ class Reader:
                 parts.append(self.shard(level, s)[0]["counts"][max(0, low - first):high - first])
         return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
-    def nodes(self, hashes: np.ndarray, n: np.ndarray, upto: int) -> Iterator[tuple]:
+    def nodes(self, hashes: np.ndarray, n: np.ndarray, upto: int, values: bool = True) -> Iterator[tuple]:
         """(level, node of the n-gram that ends at each token or -1, quotient, weight) of levels 2 to ``upto``."""
         number, count = self.number_words(hashes)
         yield 1, number, count, None
@@ -216,7 +228,7 @@ class Reader:
             before[first] = number[first + n - 1]
         word, parent = number, before
         for level in range(2, upto + 1):
-            node, q, g = self.children(level, parent, word)
+            node, q, g = self.children(level, parent, word, values)
             yield level, node, q, g
             parent = np.full(len(node), -1, np.int64)
             parent[1:] = node[:-1]
@@ -229,6 +241,14 @@ def _runs(of: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(of[i]), i, j
 
 
+def _parts(rising: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, from, to) of the shards that rising numbers fall in."""
+    cuts = [0, *np.searchsorted(rising, starts[1:]).tolist(), len(rising)]
+    for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if i < j:
+            yield s, i, j
+
+
 def _bucket_start(s: int, n: int) -> int:
     """The least hash of a bucket: ``bucket_of`` takes the upper half of the hash."""
     return -(-(s << 32) // n) << 32
@@ -333,7 +353,7 @@ def _train_level(docs: DataFrame, model: Model, level: int, least: int) -> None:
 
     def keys_of(part: pa.RecordBatch) -> np.ndarray:
         hashes, n = _tokens(part)
-        found = list(_reader(key).nodes(hashes, n, level - 1))
+        found = list(_reader(key).nodes(hashes, n, level - 1, values=False))
         number, node = found[0][1], found[-1][1]
         first = np.cumsum(n) - n
         parent = np.empty_like(node)
