@@ -68,11 +68,11 @@ def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of a slice, an end token after each text, and the number of tokens of each text."""
     text = part.column("text").fill_null("").cast(pa.large_string())
     ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
-    raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    lowered = _LOWER[np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]]
     starts = ends[:-1] - ends[0]
     # Texts that are empty share their start with the next: words belong to the last of those.
-    at, to, doc = words(_LOWER[raw], starts)
-    h = span_hash(prefix_sums(_LOWER[raw]), at, to)
+    at, to, doc = words(lowered, starts)
+    h = span_hash(prefix_sums(lowered), at, to)
     n = np.bincount(doc, minlength=len(text)) + 1
     out = np.full(int(n.sum()), _END, np.uint64)
     out[np.arange(len(h)) + doc] = h
@@ -260,6 +260,14 @@ def _reader(key: str) -> Reader:
     return Reader(Model(folder, n_words, tokens, shards, [Level([p and tuple(p) for p in lv[0]], lv[1], lv[2]) for lv in levels]))
 
 
+def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order and the sum of the counts of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[at], np.add.reduceat(counts[order], at, dtype=np.int64)
+
+
 def _counted(docs: DataFrame, keys_of, bucket) -> DataFrame:
     """(bucket, keys, counts) with sums of the task: ``keys_of`` gives the keys of a slice, ``bucket`` those of sorted keys."""
 
@@ -267,8 +275,7 @@ def _counted(docs: DataFrame, keys_of, bucket) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(inverse, weights=np.concatenate([c for _, c in held]), minlength=len(keys)).astype(np.int64)
+            return _sums(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
 
         def send() -> Iterator[pa.RecordBatch]:
             keys, counts = merged()
@@ -297,8 +304,7 @@ def _summed(group: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
     keys = np.concatenate([_unpacked(r["keys"], r["n"]) for r in rows])
     parts = [np.frombuffer(pa.decompress(r["counts"], 8 * r["n"], "zstd", asbytes=True), np.uint8) for r in rows]
     counts = np.concatenate([p.reshape(8, -1).T.copy().view("<u8").ravel() for p in parts])
-    keys, inverse = np.unique(keys, return_inverse=True)
-    return rows[0]["bucket"], keys, np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
+    return rows[0]["bucket"], *_sums(keys, counts)
 
 
 def _written(counted: DataFrame, save, shards: int) -> dict[int, tuple[int, int]]:
