@@ -21,8 +21,14 @@ def write_features(df: DataFrame, path: str, ts: str = "event_timestamp") -> Non
     write_table(df.withColumn("event_date", F.to_date(ts)), path, partition_by=["event_date"])
 
 
-def write_chat_lines(records: DataFrame, path: str) -> None:
-    records.select(F.to_json(F.struct("messages")).alias("value")).write.mode("overwrite").text(path)
+def write_chat_lines(records: DataFrame, path: str, compression: str = "gzip", lines_per_file: int = 500_000) -> None:
+    """Chat records as lines of JSON.
+
+    Every line repeats the instruction, so plain lines take many times the input; ``compression="none"`` writes them for a
+    tool that takes no other. A compressed file is read by one task, hence the bound on its lines.
+    """
+    lines = records.select(F.to_json(F.struct("messages")).alias("value"))
+    lines.write.mode("overwrite").option("maxRecordsPerFile", lines_per_file).text(path, compression=compression)
 
 
 def prediction_events(scored: DataFrame) -> DataFrame:
