@@ -37,7 +37,9 @@ def mean_reference_wait(scenarios: DataFrame) -> DataFrame:
     keep = [c for c in scenarios.columns if c not in ("scenario_id", "vehicles")]
     paired = lane.with_pairs(scenarios)
     outcomes = lane.outcome_array(F.col("vehicles"), F.col("pairs"))
-    waits = paired.select("scenario_id", "vehicles", *keep, F.transform(outcomes, lambda o: o["wait"]).alias("w"))
+    # without pairs there is no outcome to look for
+    told = F.when(F.size("pairs") > 0, F.transform(outcomes, lambda o: o["wait"])).otherwise(F.array().cast("array<int>"))
+    waits = paired.select("scenario_id", "vehicles", *keep, told.alias("w"))
     total = F.aggregate("w", F.lit(0), lambda a, x: a + x)
     return waits.select(
         "scenario_id", "vehicles", *keep,

@@ -102,8 +102,9 @@ def content_key(vehicles: Column, fields: list[str] | None = None) -> Column:
 
 
 def first_value(vehicles: Column, field: str) -> Column:
-    """First non-NULL value of one field in scenario order."""
-    return F.get(F.filter(F.transform(vehicles, lambda v: v[field]), lambda x: x.isNotNull()), F.lit(0))
+    """First non-NULL value of one field in scenario order; the list is only searched when the first vehicle has none."""
+    known = F.filter(F.transform(vehicles, lambda v: v[field]), lambda x: x.isNotNull())
+    return F.coalesce(F.get(vehicles, F.lit(0))[field], F.get(known, F.lit(0)))
 
 
 def only_size(scenarios: DataFrame, n: int | None) -> DataFrame:

@@ -643,10 +643,11 @@ def last_n_per_user(spark, d):
 def _audit_records(spark, d) -> DataFrame:
     s = lane.with_label(A.scenarios(spark, d), "true_label")
     near_v = F.filter("vehicles", lambda v: scalar.is_near(v["distance_to_intersection"], False))
-    of_direction = lambda x: F.size(F.filter(near_v, lambda v: v["direction"] == x))
-    total = F.size(near_v)
+    s = s.withColumn("_from", F.transform(near_v, lambda v: v["direction"]))  # listed once, counted in generated code
+    total = F.size("_from")
+    of_direction = lambda x: total - F.size(F.array_remove("_from", x))
     same = sum((of_direction(x) * (of_direction(x) - 1) / 2 for x in C.DIRECTIONS), F.lit(0))
-    s = s.withColumn("number_of_conflicts", (total * (total - 1) / 2 - same).cast("int"))
+    s = s.withColumn("number_of_conflicts", (total * (total - 1) / 2 - same).cast("int")).drop("_from")
     s = audit.scenario_attributes(audit.mean_reference_wait(s))
     p = A.with_variants(s).filter("variant = 'A'")
     return p.withColumn("wait_error", F.when(F.col("predicted_label") == "yes", 0.0).otherwise(F.col("avg_ref_wait")))
@@ -867,6 +868,7 @@ def evaluation_reports(spark, d):
     """The bias, robustness, explanation and combined reports as one tidy table."""
     rates = stored(_rates(spark, d), "rates")  # a few dozen rows, read by two reports
     p = A.predictions(spark, d)
+    p = stored(p.select("variant", "true_label", "predicted_label", "rule_label", "json_valid"), "predictions")  # read by two reports
     return writers.report_table(
         bias=audit.subgroup_metrics(_audit_records(spark, d)), robustness=rates, stability=perturb.stability(rates),
         explain=perturb.sensitivity(A.scenarios(spark, d)).select("feature", "normalised"),
